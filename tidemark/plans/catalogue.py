@@ -1,6 +1,662 @@
-"""The query catalogue: name -> (spark, sf_dir) -> DataFrame, and the SQL that must agree."""
+"""The query catalogue: name -> (spark, sf_dir) -> DataFrame, and the SQL that must agree.
+
+The driver's tables stand in for the engine's: `events` is an observation log (page := user_id, item :=
+event_type, amount := value), `part` a catalogue, `pages` raw HTML, `orders` a change log, `labels` a
+list of overlays. Every query reads its whole tables.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import price as fp
+from ..functions import text as ft
+from ..functions import urls as fu
+from ..operators import changes as ch
+from ..operators import document as doc
+from ..operators import reports as rp
+from ..operators import runs as rn
+from ..sources import archive, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- observations and their moves --------------------------------------------------------------------
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last value of each series and day."""
+    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return e.groupBy("user_id", "event_type", "day").agg(F.max_by("value", "ts").alias("v"))
+
+
+_DAILY = "d AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(value, ts) AS v FROM events GROUP BY ALL)"
+_LAGGED = f"WITH {_DAILY}, l AS (SELECT *, lag(v) OVER (PARTITION BY user_id, event_type ORDER BY day) AS p FROM d)"
+
+
+@query(f"""{_LAGGED} SELECT day, count(*) AS n_series, count(*) FILTER (p IS NULL) AS n_first, count(*) FILTER (v > p) AS n_up,
+  count(*) FILTER (v < p) AS n_down, max(CASE WHEN p > 0 THEN round((v - p) / p * 100, 2) END) AS top_pct FROM l GROUP BY day""")
+def price_moves_daily(spark, sf_dir):
+    rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"])
+    d = fp.direction(F.col("prev_v"), F.col("v"))
+    moved = F.col("v") != F.col("prev_v")
+    return rows.groupBy("day").agg(
+        F.count(F.lit(1)).alias("n_series"),
+        F.count_if(F.col("prev_v").isNull()).alias("n_first"),
+        F.count_if(d == "up").alias("n_up"),
+        F.count_if(moved & (d == "down")).alias("n_down"),
+        F.max(fp.pct_change(F.col("prev_v"), F.col("v"))).alias("top_pct"),
+    )
+
+
+@query(f"""{_LAGGED} SELECT day, count(*) AS n_first_seen FROM l WHERE p IS NULL GROUP BY day""")
+def first_seen_daily(spark, sf_dir):
+    rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"])
+    return rows.where("prev_v IS NULL").groupBy("day").agg(F.count(F.lit(1)).alias("n_first_seen"))
+
+
+@query("""SELECT l.event_id, (SELECT arg_max(r.value, r.ts) FROM events r WHERE r.user_id = l.user_id AND r.event_type = 'click' AND r.ts < l.ts) AS prev_value
+FROM events l WHERE l.event_type = 'purchase'""")
+def asof_previous_click(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    left = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    right = e.where("event_type = 'click'").select("user_id", "ts", "value")
+    return ch.asof_previous(left, right, ["user_id"], "ts", ["value"]).select("event_id", "prev_value")
+
+
+@query("""WITH s AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(floor(value / 100), ts) AS a FROM events GROUP BY ALL),
+o AS (SELECT * FROM s WHERE day = DATE '2024-01-10'), n AS (SELECT * FROM s WHERE day = DATE '2024-01-11')
+SELECT coalesce(o.user_id, n.user_id) AS user_id, coalesce(o.event_type, n.event_type) AS event_type,
+  CASE WHEN o.user_id IS NULL THEN 'added' WHEN n.user_id IS NULL THEN 'removed' WHEN o.a <> n.a THEN 'changed' ELSE 'same' END AS status
+FROM o FULL JOIN n ON o.user_id = n.user_id AND o.event_type = n.event_type""")
+def snapshot_diff_full_outer(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    side = lambda d, c: e.where(F.col("day") == F.lit(d).cast("date")).groupBy("user_id", "event_type").agg(F.max_by(F.floor(F.col("value") / 100), "ts").alias(c))
+    both = side("2024-01-10", "o").join(side("2024-01-11", "n"), ["user_id", "event_type"], "full_outer")
+    return both.select("user_id", "event_type", F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed").otherwise("same").alias("status"))
+
+
+def _plan_rows(spark, sf_dir, day: str) -> DataFrame:
+    """Observations of a day as plan rows: currency, unit and slots are made from the properties."""
+    e = _t(spark, sf_dir, "events").where(F.to_date("ts") == F.lit(day).cast("date"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    amount = F.expr("nullif(floor(value / 40), 0)").cast("double")
+    return e.select(
+        F.col("user_id").alias("slug"),
+        F.col("event_id").alias("pos"),
+        F.col("event_type").alias("name"),
+        F.col("value").cast("string").alias("price_raw"),
+        amount.alias("amount"),
+        F.when(k % 5 < 3, "USD").when(k % 5 == 3, "EUR").alias("currency"),
+        F.when(k % 7 < 4, "month").when(k % 7 == 4, "year").alias("period"),
+        F.array((k % 3).cast("string"), F.lit("x")).alias("features"),
+        F.when(k % 4 == 0, F.array(amount, F.floor(F.col("value") / 20).cast("double"))).otherwise(F.array(amount)).alias("slot_prices"),
+    )
+
+
+_PLAN_SQL = """WITH e AS (
+  SELECT user_id AS slug, event_id AS pos, event_type AS name, nullif(floor(value / 40), 0)::DOUBLE AS amount, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+    floor(value / 20)::DOUBLE AS other, CAST(ts AS DATE) AS day FROM events
+), r AS (
+  SELECT *, CASE WHEN k % 5 < 3 THEN 'USD' WHEN k % 5 = 3 THEN 'EUR' END AS currency, CASE WHEN k % 7 < 4 THEN 'month' WHEN k % 7 = 4 THEN 'year' END AS period,
+    row_number() OVER (PARTITION BY slug, name, day ORDER BY pos) AS rn, count(DISTINCT amount) OVER (PARTITION BY slug, name, day) + max((amount IS NULL)::INT) OVER (PARTITION BY slug, name, day) > 1 AS amb
+  FROM e WHERE day IN (DATE '2024-01-10', DATE '2024-01-11')
+), j AS (
+  SELECT coalesce(o.slug, n.slug) AS slug, coalesce(o.name, n.name) AS plan, o.slug AS os, n.slug AS ns, o.amount AS oa, n.amount AS na, o.currency AS oc, n.currency AS nc,
+    o.period AS op, n.period AS np, coalesce(o.amb, false) OR coalesce(n.amb, false) AS amb, o.k AS ok, n.k AS nk, o.other AS oo, n.other AS no
+  FROM (SELECT * FROM r WHERE rn = 1 AND day = DATE '2024-01-10') o FULL JOIN (SELECT * FROM r WHERE rn = 1 AND day = DATE '2024-01-11') n ON o.slug = n.slug AND o.name = n.name
+), t AS (
+  SELECT *, CASE WHEN os IS NULL THEN 'plan_added' WHEN ns IS NULL THEN 'plan_removed' WHEN oc <> nc THEN 'currency_changed' WHEN op <> np THEN 'period_changed'
+    WHEN oa IS DISTINCT FROM na AND amb THEN 'plan_name_ambiguous'
+    WHEN oa IS DISTINCT FROM na AND oa IS NOT NULL AND na IS NOT NULL AND (ok % 4 = 0 OR nk % 4 = 0)
+      AND (coalesce(na = oa OR (ok % 4 = 0 AND na = oo), false) OR coalesce(oa = na OR (nk % 4 = 0 AND oa = no), false)) THEN 'price_display_changed'
+    WHEN oa IS DISTINCT FROM na THEN 'price_changed' WHEN op IS DISTINCT FROM np THEN 'period_changed' END AS type FROM j
+)"""
+
+
+@query(f"""{_PLAN_SQL} SELECT slug, type, plan, CASE WHEN type = 'price_changed' AND oa > 0 THEN round((na - oa) / oa * 100, 2) END AS pct_change,
+  CASE WHEN type = 'price_changed' THEN CASE WHEN na > oa THEN 'up' WHEN na <= oa THEN 'down' END END AS direction FROM t WHERE type IS NOT NULL
+UNION ALL SELECT slug, 'features_changed', plan, NULL, NULL FROM t WHERE os IS NOT NULL AND ns IS NOT NULL AND ok % 3 <> nk % 3""")
+def event_cascade_guards(spark, sf_dir):
+    pairs = ch.plan_pairs(_plan_rows(spark, sf_dir, "2024-01-10"), _plan_rows(spark, sf_dir, "2024-01-11"), ["slug"])
+    return ch.plan_events(pairs, ["slug"]).select("slug", "type", "plan", "pct_change", "direction")
+
+
+@query(f"""{_PLAN_SQL}, x AS (SELECT slug, count(*) FILTER (type = 'price_changed') AS m, count(*) FILTER (type IN ('plan_added', 'plan_removed')) AS c, count(type) + count(*) FILTER (os IS NOT NULL AND ns IS NOT NULL AND ok % 3 <> nk % 3) AS n FROM t GROUP BY slug)
+SELECT slug, CASE WHEN m > 0 THEN 'price_change' WHEN c > 0 THEN 'catalog_change' WHEN n > 0 THEN 'plan_detail_change' ELSE 'page_change' END AS kind FROM x""")
+def change_kind_by_page(spark, sf_dir):
+    pairs = ch.plan_pairs(_plan_rows(spark, sf_dir, "2024-01-10"), _plan_rows(spark, sf_dir, "2024-01-11"), ["slug"])
+    ev = ch.plan_events(pairs, ["slug"]).groupBy("slug").agg(F.count_if(F.col("type") == "price_changed").alias("m"), F.count_if(F.col("type").isin("plan_added", "plan_removed")).alias("c"), F.count(F.lit(1)).alias("n"))
+    pages = pairs.select("slug").distinct().join(ev, "slug", "left").na.fill(0)
+    no = F.lit(False)
+    return pages.select("slug", ch.change_kind(no, no, no, F.col("m"), F.col("c"), F.col("n")).alias("kind"))
+
+
+@query(f"""{_PLAN_SQL} SELECT CASE WHEN type = 'price_changed' AND slug % 3 = 0 THEN 'extractor_changed' WHEN type = 'price_changed' AND slug % 5 = 0 THEN 'locale_changed' ELSE type END AS type, count(*) AS n FROM t WHERE type IS NOT NULL GROUP BY 1""")
+def relabelled_events(spark, sf_dir):
+    pairs = ch.plan_pairs(_plan_rows(spark, sf_dir, "2024-01-10"), _plan_rows(spark, sf_dir, "2024-01-11"), ["slug"])
+    ev = ch.plan_events(pairs, ["slug"]).where("type <> 'features_changed'")
+    ev = ev.withColumn("x", F.col("slug") % 3 == 0).withColumn("l", F.col("slug") % 5 == 0)
+    return ch.relabel(ev, "x", "l").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _model_rows(spark, sf_dir, day: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").where(F.to_date("ts") == F.lit(day).cast("date"))
+    v = F.floor(F.col("value") / 40).cast("double")
+    k = F.get_json_object("props", "$.k").cast("int")
+    price = lambda a: F.struct(a.cast("string").alias("raw"), a.alias("amount"))
+    # on some rows the two columns are the other way round
+    a, b = F.when(k % 2 == 0, v).otherwise(v + 1), F.when(k % 2 == 0, v + 1).otherwise(v)
+    return e.select(F.col("user_id").alias("slug"), F.col("event_id").alias("pos"), F.col("event_type").alias("key"), F.col("event_type").alias("model"), F.create_map(F.lit("input"), price(a), F.lit("output"), price(b)).alias("prices"), F.lit("").alias("unit"))
+
+
+@query("""WITH r AS (
+  SELECT user_id AS slug, event_type AS key, CAST(ts AS DATE) AS day, floor(value / 40)::DOUBLE AS v, CAST(json_extract(props, '$.k') AS INTEGER) % 2 AS odd,
+    row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id DESC) AS rn FROM events
+), s AS (SELECT *, v + odd AS a, v + 1 - odd AS b FROM r WHERE rn = 1), j AS (
+  SELECT coalesce(o.slug, n.slug) AS slug, coalesce(o.key, n.key) AS key, o.slug AS os, n.slug AS ns, (o.a <> n.a)::INT + (o.b <> n.b)::INT AS c, o.v = n.v AS same
+  FROM (SELECT * FROM s WHERE day = DATE '2024-01-10') o FULL JOIN (SELECT * FROM s WHERE day = DATE '2024-01-11') n ON o.slug = n.slug AND o.key = n.key
+) SELECT slug, key AS model, CASE WHEN os IS NULL THEN 'model_added' WHEN ns IS NULL THEN 'model_removed' WHEN same THEN 'model_price_relabeled' ELSE 'model_price_changed' END AS type,
+  CASE WHEN os IS NULL OR ns IS NULL THEN 0 ELSE c END AS n_changes FROM j WHERE os IS NULL OR ns IS NULL OR c > 0""")
+def model_event_cascade(spark, sf_dir):
+    ev = ch.model_events(_model_rows(spark, sf_dir, "2024-01-10"), _model_rows(spark, sf_dir, "2024-01-11"), ["slug"])
+    return ev.select("slug", "model", "type", F.coalesce(F.size("changes"), F.lit(0)).alias("n_changes")).withColumn("n_changes", F.greatest("n_changes", F.lit(0)))
+
+
+@query("""SELECT p_brand, lower(trim(p_name)) AS plan_key FROM part GROUP BY ALL HAVING count(DISTINCT nullif(p_size, 7)) + max((nullif(p_size, 7) IS NULL)::INT) > 1""")
+def ambiguous_names(spark, sf_dir):
+    p = _t(spark, sf_dir, "part").select("p_brand", fp.name_key(F.col("p_name")).alias("plan_key"), F.expr("nullif(p_size, 7)").alias("amount"))
+    return ch.ambiguous_names(p, ["p_brand", "plan_key"])
+
+
+@query("""SELECT p_brand, lower(trim(p_name)) AS plan_key, arg_min(p_partkey, p_partkey) AS p_partkey, arg_min(p_retailprice, p_partkey) AS p_retailprice FROM part GROUP BY ALL""")
+def first_wins_plans(spark, sf_dir):
+    p = _t(spark, sf_dir, "part").select("p_brand", fp.name_key(F.col("p_name")).alias("plan_key"), "p_partkey", "p_retailprice")
+    return ch.first_wins(p, ["p_brand", "plan_key"], "p_partkey")
+
+
+@query("""SELECT user_id, event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY ALL""")
+def last_wins_models(spark, sf_dir):
+    return ch.last_wins(_t(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], "event_id")
+
+
+@query(f"""{_LAGGED}, m AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY day DESC) AS rn FROM l WHERE v <> p)
+SELECT user_id, event_type, day, p AS from_value, v AS to_value, round((v - p) / p * 100, 2) AS pct FROM m WHERE rn = 1""")
+def last_move_per_item(spark, sf_dir):
+    rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"]).where("v <> prev_v")
+    rows = rows.select("user_id", "event_type", "day", F.col("prev_v").alias("from_value"), F.col("v").alias("to_value"), fp.pct_change(F.col("prev_v"), F.col("v")).alias("pct"))
+    return rp.last_moves(rows.withColumn("seq", F.lit(0)), ["user_id", "event_type"], "day").drop("seq")
+
+
+@query("""WITH s AS (SELECT l_orderkey, l_partkey, l_returnflag, CASE WHEN l_linenumber % 2 = 0 THEN 'Model · ' || l_linenumber ELSE 'Model' END AS item,
+  CAST(round(l_extendedprice * 100) AS BIGINT) * 10 + l_linenumber AS seq FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_returnflag ORDER BY contains(item, ' · ') DESC, seq) AS rn, min(seq) OVER (PARTITION BY l_orderkey, l_partkey, l_returnflag) AS first FROM s)
+SELECT l_orderkey, l_partkey, l_returnflag, item, first AS seq FROM r WHERE rn = 1""")
+def twin_removal(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    item = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("Model · "), F.col("l_linenumber"))).otherwise("Model")
+    rows = li.select("l_orderkey", "l_partkey", "l_returnflag", item.alias("item"), (F.round(F.col("l_extendedprice") * 100).cast("long") * 10 + F.col("l_linenumber")).alias("seq"))
+    return rp.drop_twins(rows, ["l_orderkey", "l_partkey", "l_returnflag"])
+
+
+@query("""SELECT md5('x') IS NOT NULL AS ok, p_brand, sha256(string_agg(p_name || '|' || p_size || '|' || coalesce(nullif(p_type, 'ECONOMY'), '?'), '
+' ORDER BY p_name, p_size, coalesce(nullif(p_type, 'ECONOMY'), '?'))) AS digest FROM part GROUP BY p_brand""")
+def structured_fingerprint(spark, sf_dir):
+    p = _t(spark, sf_dir, "part").select("p_brand", F.struct("p_name", "p_size", F.coalesce(F.expr("nullif(p_type, 'ECONOMY')"), F.lit("?")).alias("t")).alias("x"))
+    rows = p.groupBy("p_brand").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    text = F.array_join(F.transform("xs", lambda x: F.concat_ws("|", x["p_name"], x["p_size"].cast("string"), x["t"])), "\n")
+    return rows.select(F.lit(True).alias("ok"), "p_brand", ft.content_hash(text).alias("digest"))
+
+
+@query("""WITH u AS (SELECT user_id, list_sort(list_distinct(list(event_type) FILTER (CAST(ts AS DATE) = DATE '2024-01-10'))) AS o,
+  list_sort(list_distinct(list(event_type) FILTER (CAST(ts AS DATE) = DATE '2024-01-11'))) AS n FROM events GROUP BY user_id)
+SELECT user_id, list_sort(list_filter(coalesce(n, []), lambda x: NOT list_contains(coalesce(o, []), x)))::VARCHAR AS added, list_sort(list_filter(coalesce(o, []), lambda x: NOT list_contains(coalesce(n, []), x)))::VARCHAR AS removed FROM u""")
+def features_set_diff(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    u = e.groupBy("user_id").agg(*[F.collect_set(F.when(F.col("day") == F.lit(d).cast("date"), F.col("event_type"))).alias(c) for d, c in (("2024-01-10", "o"), ("2024-01-11", "n"))])
+    show = lambda a, b: F.concat(F.lit("["), F.array_join(F.array_sort(F.array_except(a, b)), ", "), F.lit("]"))
+    return u.select("user_id", show("n", "o").alias("added"), show("o", "n").alias("removed"))
+
+
+@query("""WITH u AS (SELECT user_id, list_sort(list(floor(value / 100)) FILTER (CAST(ts AS DATE) = DATE '2024-01-10')) AS o, list_sort(list(floor(value / 100)) FILTER (CAST(ts AS DATE) = DATE '2024-01-11')) AS n FROM events GROUP BY user_id)
+SELECT user_id, coalesce(o, []) = coalesce(n, []) AS same FROM u""")
+def multiset_equal(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("a", F.floor(F.col("value") / 100))
+    u = e.groupBy("user_id").agg(*[F.array_sort(F.collect_list(F.when(F.col("day") == F.lit(d).cast("date"), F.col("a")))).alias(c) for d, c in (("2024-01-10", "o"), ("2024-01-11", "n"))])
+    return u.select("user_id", (F.col("o") == F.col("n")).alias("same"))
+
+
+_HINTS = "VALUES (1, 'from 8.75 CAD or CA$37'), (2, 'USED CARS AND MORE'), (3, 'USD 5, EUR 7, USD 9'), (4, 'R$ 10 and US$ 3'), (5, '€5 £6 ¥7'), (6, ''), (7, 'priceHK$ 8'), (8, 'NZ$4 IDR')"
+
+
+@query(f"""WITH v(id, t) AS ({_HINTS}) SELECT id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(t, '\\b(USD|EUR|GBP|CAD|AUD|SGD|INR|JPY|BRL|MXN|IDR|CHF|SEK|NZD|HKD)\\b', 1),
+  regexp_extract_all(t, '(^|[^A-Za-z])(CA\\$|A\\$|NZ\\$|S\\$|HK\\$|R\\$|US\\$|€|£|¥|₹)', 2)))), ',') AS hints FROM v""")
+def currency_hints(spark, sf_dir):
+    v = spark.sql(f"SELECT * FROM {_HINTS} AS v(id, t)")
+    return v.select("id", F.array_join(ft.currency_hints(F.col("t")), ",").alias("hints"))
+
+
+@query("""SELECT user_id, coalesce(list_has_any(list_filter(list_distinct(list(event_type) FILTER (h = 0)), lambda x: x <> 'view'), ['click', 'error']), false) AS any_flag FROM (SELECT user_id, event_type, event_id % 2 AS h FROM events) GROUP BY user_id""")
+def hint_overlap(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    u = e.groupBy("user_id").agg(F.collect_set(F.when(F.col("event_id") % 2 == 0, F.col("event_type"))).alias("h"))
+    return u.select("user_id", F.arrays_overlap(F.array_except("h", F.array(F.lit("view"))), F.array(F.lit("click"), F.lit("error"))).alias("any_flag"))
+
+
+@query("""WITH v(o, n) AS (VALUES ('CAD', ''), ('USD', 'USD'), ('', ''), ('USD', ''), ('EUR,USD', 'USD'), ('CAD', 'CAD,USD')),
+s AS (SELECT o, n, list_filter(string_split(o, ','), lambda x: x <> '') AS a, list_filter(string_split(n, ','), lambda x: x <> '') AS b FROM v)
+SELECT o, n, (len(a) > 0 OR len(b) > 0) AND list_has_any(list_concat(list_filter(a, lambda x: NOT list_contains(b, x)), list_filter(b, lambda x: NOT list_contains(a, x))), ['CAD', 'EUR', 'GBP', 'AUD']) AS shifted FROM s""")
+def hint_symdiff(spark, sf_dir):
+    v = spark.sql("SELECT * FROM VALUES ('CAD', ''), ('USD', 'USD'), ('', ''), ('USD', ''), ('EUR,USD', 'USD'), ('CAD', 'CAD,USD') AS v(o, n)")
+    arr = lambda c: F.filter(F.split(c, ","), lambda x: x != "")
+    return v.select("o", "n", ch.locale_shift(arr("o"), arr("n")).alias("shifted"))
+
+
+# --- pages and text ------------------------------------------------------------------------------------
+_KEY_SQL = r"""k AS (SELECT page_id, url, lower(regexp_extract(b, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || '://' || lower(regexp_extract(b, '://([^/?]*)', 1)) ||
+  CASE WHEN regexp_replace(regexp_extract(b, '://[^/?]*([^?]*)', 1), '/+$', '') = '' THEN '/' ELSE regexp_replace(regexp_extract(b, '://[^/?]*([^?]*)', 1), '/+$', '') END || regexp_extract(b, '(\?.*)$', 1) AS fetch_key
+  FROM (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS b FROM pages))"""
+
+
+@query(f"WITH {_KEY_SQL} SELECT page_id, fetch_key, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM k")
+def fetch_keys(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", fu.fetch_key(F.col("url")).alias("fetch_key"), fu.host(F.col("url")).alias("host"))
+
+
+def _page_targets(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select(F.col("page_id").alias("slug"), "url", F.col("page_id").alias("seq"))
+
+
+@query(f"WITH {_KEY_SQL} SELECT fetch_key, min(page_id) AS slug FROM k GROUP BY fetch_key")
+def dedupe_first_by_url(spark, sf_dir):
+    return rn.first_by_url(_page_targets(spark, sf_dir))[0].select("fetch_key", "slug")
+
+
+@query(f"WITH {_KEY_SQL}, m AS (SELECT *, min(page_id) OVER (PARTITION BY fetch_key) AS kept_slug FROM k) SELECT page_id AS slug, kept_slug, fetch_key FROM m WHERE page_id > kept_slug")
+def dropped_pairs(spark, sf_dir):
+    return rn.first_by_url(_page_targets(spark, sf_dir))[1]
+
+
+@query(f"WITH {_KEY_SQL} SELECT fetch_key, array_to_string(list(page_id ORDER BY page_id), ',') AS slugs FROM k GROUP BY fetch_key HAVING count(*) > 1")
+def duplicate_pages(spark, sf_dir):
+    return rn.duplicate_pages(_page_targets(spark, sf_dir)).select("fetch_key", F.array_join(F.transform("slugs", lambda x: x.cast("string")), ",").alias("slugs"))
+
+
+_STRIP = r"regexp_replace(regexp_replace({}, '[ \t\n\r]*\n[ \t\n\r]*', chr(10), 'g'), '^\n+|\n+$', '', 'g')"
+_TAGS = "coalesce(html, '')"
+for _tag in ("script", "style", "nav", "footer"):
+    _TAGS = f"regexp_replace({_TAGS}, '(?is)<{_tag}[^>]*>.*?</{_tag}>', chr(10), 'g')"
+_STRIP = _STRIP.format(f"regexp_replace(regexp_replace({_TAGS}, '(?s)<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g')")
+
+
+@query(f"SELECT page_id, sha256(t) AS content_hash, octet_length(encode(t)) AS text_bytes, octet_length(encode(t)) < 500 AS thin FROM (SELECT page_id, {_STRIP} AS t FROM pages)")
+def page_text_hash(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages").select("page_id", ft.strip_markup(F.col("html")).alias("t"))
+    return p.select("page_id", ft.content_hash(F.col("t")).alias("content_hash"), ft.text_bytes(F.col("t")).alias("text_bytes"), ft.is_thin(F.col("t")).alias("thin"))
+
+
+_MASK = "text"
+for _p, _m in ((r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b", "<uuid>"), (r"(?i)\b[0-9a-f]{16,}\b", "<hex>"), (r"\b\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z?\b", "<timestamp>"), (r"\b\d{10,13}\b", "<epoch>"), (r"(?i)\b(?:\d+|an?|one)\s+(?:second|minute|hour|day|week|month|year)s?\s+ago\b", "<relative-time>")):
+    _MASK = f"regexp_replace({_MASK}, '{_p}', '{_m}', 'g')"
+
+
+@query(f"SELECT doc_id, sha256({_MASK}) AS masked_hash, length({_MASK}) AS masked_chars FROM documents")
+def mask_volatile(spark, sf_dir):
+    m = ft.mask_volatile(F.col("text"))
+    return _t(spark, sf_dir, "documents").select("doc_id", ft.content_hash(m).alias("masked_hash"), F.char_length(m).alias("masked_chars"))
+
+
+_SECRET_ROWS = "VALUES (1, concat('key sk', '-ant-', repeat('a1', 10), ' end')), (2, concat('x gh', 'p_', repeat('Z9', 18))), (3, concat('AK', 'IA', repeat('A1', 8))), (4, 'nothing here'), (5, concat('acme', '_token_', repeat('q', 20))), (6, concat('eyJ', repeat('a', 9), '.', repeat('b', 9), '.', repeat('c', 9)))"
+
+
+@query(f"""WITH v(id, t) AS ({_SECRET_ROWS}) SELECT id, CASE id WHEN 1 THEN 'key <secret-redacted> end' WHEN 2 THEN 'x <secret-redacted>' WHEN 4 THEN t ELSE '<secret-redacted>' END AS redacted FROM v""")
+def redact_secrets(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_SECRET_ROWS} AS v(id, t)").select("id", ft.redact_secrets(F.col("t")).alias("redacted"))
+
+
+_COUNTER = "VALUES (1, '173.1K'), (2, '10K requests per month'), (3, '5M+'), (4, '12'), (5, '1,5B'), (6, '173.1k')"
+
+
+@query(f"WITH v(id, t) AS ({_COUNTER}) SELECT id, regexp_replace(t, '^\\d{{1,3}}([.,]\\d+)?\\s?[KMB]\\+?$', '<count>') AS line FROM v")
+def mask_counters(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_COUNTER} AS v(id, t)").select("id", ft.mask_counter_lines(F.array("t"))[0].alias("line"))
+
+
+@query(r"""SELECT page_id, len(regexp_extract_all(html, '(?i)<a\s[^>]*href=')) AS n_links, len(regexp_extract_all(html, '(?i)<h[1-6][\s>]')) AS n_headings, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages""")
+def link_and_heading_extract(spark, sf_dir):
+    n = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0)))
+    return _t(spark, sf_dir, "pages").select("page_id", n(r"(?i)<a\s[^>]*href=").alias("n_links"), n(r"(?i)<h[1-6][\s>]").alias("n_headings"), F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"))
+
+
+@query()
+def extract_pages(spark, sf_dir):
+    """Document trees of all pages: text, plans, models and tables (no SQL can walk a tree)."""
+    rows = doc.extract_pages(_t(spark, sf_dir, "pages"), ["page_id"])
+    return rows.select("page_id", ft.content_hash(F.col("text")).alias("content_hash"), "extractor", "confidence", F.size("plans").alias("n_plans"), F.size("models").alias("n_models"), F.size("tables").alias("n_tables"))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_name, CAST(p_retailprice AS DECIMAL(10, 2)) AS a FROM part)
+SELECT p_partkey, 1 AS n_plans, lower(p_name) AS plan, a::DOUBLE AS amount, 'USD' AS currency, 'month' AS period FROM p WHERE lower(trim(p_name)) NOT IN ('')""")
+def extract_plan_cards(spark, sf_dir):
+    """A price card made from each part, read back through the document tree."""
+    p = _t(spark, sf_dir, "part")
+    card = F.concat(F.lit("<html><body><div><nav><a>x</a></nav></div><div class='card'><h3>"), F.col("p_name"), F.lit("</h3><p>$"), F.col("p_retailprice").cast("decimal(10,2)").cast("string"), F.lit(" /month</p><ul><li>one thing<li>two things</ul></div></body></html>"))
+    rows = doc.extract_pages(p.select("p_partkey", card.alias("html")), ["p_partkey"])
+    one = F.get("plans", F.lit(0))
+    return rows.select("p_partkey", F.size("plans").alias("n_plans"), F.lower(one["name"]).alias("plan"), one["amount"].alias("amount"), one["currency"].alias("currency"), one["period"].alias("period"))
+
+
+@query("""SELECT p_brand, count(*) AS n_models, min(amount) AS least, max(amount) AS most FROM (
+  SELECT p_brand, p_name, CAST(min(p_retailprice) AS DECIMAL(10, 2))::DOUBLE AS amount FROM part GROUP BY ALL) GROUP BY p_brand HAVING count(*) >= 2""")
+def extract_model_tables(spark, sf_dir):
+    """A price table made for each brand, read back as model rows."""
+    p = _t(spark, sf_dir, "part").groupBy("p_brand", "p_name").agg(F.min("p_retailprice").cast("decimal(10,2)").alias("a"))
+    row = F.concat(F.lit("<tr><td>"), F.col("p_name"), F.lit("<td>$"), F.col("a").cast("string"), F.lit("</tr>"))
+    t = p.groupBy("p_brand").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    html = F.concat(F.lit("<body><table><caption>Price per 1M tokens</caption><tr><th>Model<th>Input</tr>"), F.array_join("rows", ""), F.lit("</table></body>"))
+    rows = doc.extract_pages(t.select("p_brand", html.alias("html")), ["p_brand"]).select("p_brand", F.explode("models").alias("m")).select("p_brand", F.element_at("m.prices", "input")["amount"].alias("a"))
+    return rows.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_models"), F.min("a").alias("least"), F.max("a").alias("most")).where("n_models >= 2")
+
+
+@query("""SELECT p_partkey, CAST(p_retailprice AS DECIMAL(10, 2))::DOUBLE AS amount, 'EUR' AS currency, p_name AS plan FROM part""")
+def extract_json_ld(spark, sf_dir):
+    """Two offers per part in JSON-LD; the second one is read back."""
+    p = _t(spark, sf_dir, "part")
+    offer = lambda n, a: F.struct(F.lit("Offer").alias("@type"), n.alias("name"), a.alias("price"), F.lit("EUR").alias("priceCurrency"))
+    price = F.col("p_retailprice").cast("decimal(10,2)").cast("string")
+    ld = F.to_json(F.struct(F.lit("Product").alias("@type"), F.array(offer(F.lit("Base"), F.lit("0")), offer(F.col("p_name"), price)).alias("offers")))
+    html = F.concat(F.lit('<html><head><script type="application/ld+json">'), ld, F.lit("</script></head><body></body></html>"))
+    rows = doc.extract_pages(p.select("p_partkey", html.alias("html")), ["p_partkey"])
+    last = F.element_at("plans", -1)
+    return rows.select("p_partkey", last["amount"].alias("amount"), last["currency"].alias("currency"), last["name"].alias("plan"))
+
+
+# --- scalars -------------------------------------------------------------------------------------------
+_PRICES = "VALUES (1, '$1500/mo'), (2, '$ 1121'), (3, '$1,500/mo'), (4, '$1,234,567'), (5, '$12.50'), (6, '$0.000012'), (7, 'Rp 150'), (8, '$1.5k'), (9, '$0'), (10, 'free'), (11, 'CA$37'), (12, '€ 9.99 per user'), (13, '5 EUR 7'), (14, '$2m'), (15, '$3 million')"
+_PRICE_RE = r"(?i)(US\$|A\$|C\$|S\$|\$|€|£|¥|USD|EUR|GBP|IDR|Rp)\s?(\d{1,3}(?:,\d{3})+(?:\.\d{1,6})?|\d+(?:\.\d{1,6})?)(\s?[kKmM]\b)?"
+
+
+@query(f"""WITH v(id, t) AS ({_PRICES}) SELECT id, TRY_CAST(replace(nullif(regexp_extract(t, '{_PRICE_RE}', 2), ''), ',', '') AS DOUBLE) *
+  CASE lower(trim(regexp_extract(t, '{_PRICE_RE}', 3))) WHEN 'k' THEN 1000 WHEN 'm' THEN 1000000 ELSE 1 END AS amount,
+  CASE regexp_extract(t, '{_PRICE_RE}', 1) WHEN '$' THEN 'USD' WHEN '€' THEN 'EUR' WHEN 'EUR' THEN 'EUR' WHEN 'A$' THEN 'AUD' END AS currency, trim(regexp_extract(t, '{_PRICE_RE}', 0)) AS raw FROM v
+UNION ALL SELECT 1000 + p_partkey, CAST(p_retailprice AS DECIMAL(10, 2))::DOUBLE, 'USD', '$' || CAST(p_retailprice AS DECIMAL(10, 2)) FROM part""")
+def parse_price_cases(spark, sf_dir):
+    v = spark.sql(f"SELECT * FROM {_PRICES} AS v(id, t)").select(F.col("id").cast("long").alias("id"), "t")
+    p = _t(spark, sf_dir, "part").select((F.col("p_partkey") + 1000).alias("id"), F.concat(F.lit("from $"), F.col("p_retailprice").cast("decimal(10,2)").cast("string"), F.lit(" per seat")).alias("t"))
+    return v.union(p).select("id", fp.parse_price(F.col("t")).alias("x")).select("id", "x.amount", "x.currency", "x.raw")
+
+
+_UNITS = "VALUES (1, '/ month', 'month'), (2, '/min', 'minute'), (3, '/minute', 'minute'), (4, '/ second', 'second'), (5, '/sec', 'second'), (6, 'per GPU-hour', 'gpu-hour'), (7, 'per vCPU-hour*', 'vcpu-hour'), (8, '/GB', 'GB'), (9, 'per invoice', 'invoice'), (10, 'none', NULL), (11, '/month and /GB', 'month'), (12, 'per editor', 'user'), (13, '/yr', 'year')"
+
+
+@query(f"WITH v(id, t, p) AS ({_UNITS}) SELECT id, p AS period FROM v")
+def parse_period_cases(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_UNITS} AS v(id, t, p)").select("id", fp.parse_period(F.col("t")).alias("period"))
+
+
+_SLOTS = "VALUES (1, 'Starts at $68 $34 monthly', '68,34'), (2, 'from $0.40 /hr median $0.67/hr', '0.4'), (3, 'none', ''), (4, '$5 - $5 | $6', '5,6')"
+
+
+@query(f"WITH v(id, t, p) AS ({_SLOTS}) SELECT id, p AS slots FROM v")
+def slot_price_cases(spark, sf_dir):
+    shown = F.transform(fp.slot_prices(F.col("t")), lambda x: F.regexp_replace(x.cast("string"), r"\.0$", ""))
+    return spark.sql(f"SELECT * FROM {_SLOTS} AS v(id, t, p)").select("id", F.array_join(shown, ",").alias("slots"))
+
+
+_NAMES = "VALUES (1, 'Pro', true), (2, 'Everything in Pro and:', false), (3, 'Pricing', false), (4, 'Pricing Pro', true), (5, '$20', false), (6, 'by', false), (7, 'Why us', false), (8, 'Usage pricing', false), (9, 'a b c d e f', false), (10, 'Get started', false), (11, 'Freelancer', true), (12, 'What?', false), (13, '123', false), (14, 'Teams:', true)"
+
+
+@query(f"WITH v(id, t, ok) AS ({_NAMES}) SELECT id, ok AS plausible FROM v")
+def plan_name_cases(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_NAMES} AS v(id, t, ok)").select("id", fp.plausible_name(F.col("t")).alias("plausible"))
+
+
+_COLS = "VALUES (1, 'Model', true), (2, 'Base Model', true), (3, 'Model features', false), (4, 'GPU Type', true), (5, 'Plan', false), (6, '', false), (7, 'Base model parameter count', true)"
+
+
+@query(f"WITH v(id, t, ok) AS ({_COLS}) SELECT id, ok AS is_model FROM v")
+def model_column_cases(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_COLS} AS v(id, t, ok)").select("id", fp.is_model_column(fp.norm_label(F.col("t"))).alias("is_model"))
+
+
+_MONEY = "VALUES (1, '40', 'USD', '$40'), (2, '$40', 'USD', '$40'), (3, '500', 'SGD', '500 SGD'), (4, '', 'USD', ''), (5, '7', NULL, '7'), (6, '9 EUR', 'EUR', '9 EUR'), (7, '150', 'IDR', 'Rp 150')"
+
+
+@query(f"WITH v(id, raw, cur, s) AS ({_MONEY}) SELECT id, s AS shown FROM v")
+def money_cases(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_MONEY} AS v(id, raw, cur, s)").select("id", fp.money(F.col("raw"), F.col("cur")).alias("shown"))
+
+
+_LABELS = "VALUES (1, 'kolom 2', 'column 2', '2026-10', 'October 2026', 'hour', 'per hour', 12.5, '+12.5%'), (2, 'input', 'input', 'soon', 'soon', NULL, 'not stated', -3.0, '-3%'), (3, 'kolom x', 'kolom x', '2024-01', 'January 2024', 'fortnight', 'fortnight', NULL, '')"
+
+
+@query(f"WITH v(id, a, b, c, d, e, f, g, h) AS ({_LABELS}) SELECT id, b AS column_label, d AS month_label, f AS period_label, h AS pct_label FROM v")
+def label_cases(spark, sf_dir):
+    v = spark.sql(f"SELECT * FROM {_LABELS} AS v(id, a, b, c, d, e, f, g, h)")
+    return v.select("id", fp.column_label(F.col("a")).alias("column_label"), fp.month_label(F.col("c")).alias("month_label"), fp.period_label(F.col("e")).alias("period_label"), fp.pct_label(F.col("g").cast("double")).alias("pct_label"))
+
+
+_CLAMP = "VALUES (1, 0, 2500), (2, NULL, 2500), (3, 100, 2500), (4, 5000, 5000), (5, 99999, 20000)"
+
+
+@query(f"WITH v(id, a, b) AS ({_CLAMP}) SELECT id, b AS ms FROM v")
+def settle_clamp(spark, sf_dir):
+    return spark.sql(f"SELECT * FROM {_CLAMP} AS v(id, a, b)").select("id", fp.settle_ms(F.col("a")).alias("ms"))
+
+
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def json_props_extract(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "int").alias("k"))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%a, %d %b %Y') || ' 00:00:00 +0000' AS pub_date, replace(replace(replace(o_orderpriority || '<&>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM orders""")
+def feed_scalars(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").select("o_orderkey", fp.rfc822_day(F.col("o_orderdate")).alias("pub_date"), ft.escape_markup(F.concat("o_orderpriority", F.lit("<&>"))).alias("escaped"))
+
+
+# --- the change log and its reports --------------------------------------------------------------------
+def _changes(spark, sf_dir) -> DataFrame:
+    """Orders as change entries: a page moves on a date; some entries are reparses."""
+    o = _t(spark, sf_dir, "orders")
+    return o.select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("slug"), F.when(F.col("o_orderstatus") == "P", "parser_upgrade").otherwise("price_change").alias("kind"), F.col("o_orderkey").alias("seq"), F.col("o_totalprice").alias("amount"), "o_orderpriority")
+
+
+def _corrections(spark, sf_dir) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return o.select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("slug"), F.when(F.col("o_orderkey") % 2 == 0, "price_change").alias("kind"))
+
+
+_CHG = """c AS (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS slug, CASE WHEN o_orderstatus = 'P' THEN 'parser_upgrade' ELSE 'price_change' END AS kind, o_orderkey AS seq, o_totalprice AS amount, o_orderpriority FROM orders),
+k AS (SELECT DISTINCT date, slug FROM c WHERE o_orderpriority = '1-URGENT')"""
+
+
+@query(f"WITH {_CHG} SELECT seq, date, slug FROM c WHERE kind <> 'parser_upgrade' AND NOT EXISTS (SELECT 1 FROM k WHERE k.date = c.date AND k.slug = c.slug)")
+def corrections_anti(spark, sf_dir):
+    return rp.counted(_changes(spark, sf_dir), _corrections(spark, sf_dir)).select("seq", "date", "slug")
+
+
+@query(f"WITH {_CHG} SELECT seq, date, slug FROM c WHERE EXISTS (SELECT 1 FROM k WHERE k.date = c.date AND k.slug = c.slug)")
+def corrections_semi(spark, sf_dir):
+    return rp.retracted(_changes(spark, sf_dir), _corrections(spark, sf_dir)).select("seq", "date", "slug")
+
+
+def _entries(spark, sf_dir) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    return e.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.count_if(F.col("event_type").isin("click", "view")).alias("plan_moves"), F.count_if(F.col("event_type") == "purchase").alias("model_moves")).withColumn("is_gpu", F.col("user_id") % 4 == 0)
+
+
+_ENT = "e AS (SELECT user_id, CAST(ts AS DATE) AS date, count(*) FILTER (event_type IN ('click', 'view')) AS plan_moves, count(*) FILTER (event_type = 'purchase') AS model_moves, user_id % 4 = 0 AS is_gpu FROM events GROUP BY ALL)"
+
+
+@query(f"""WITH {_ENT} SELECT count(*) FILTER (NOT is_gpu AND plan_moves > 0) AS plan_page_days, count(*) FILTER (NOT is_gpu AND model_moves > 0) AS row_page_days, count(*) FILTER (is_gpu AND plan_moves + model_moves > 0) AS special_page_days,
+  sum(plan_moves) FILTER (NOT is_gpu)::BIGINT AS plan_numbers, sum(model_moves) FILTER (NOT is_gpu)::BIGINT AS row_numbers, sum(plan_moves + model_moves) FILTER (is_gpu)::BIGINT AS special_numbers FROM e""")
+def gate_layers(spark, sf_dir):
+    return rp.gate_layers(_entries(spark, sf_dir), "is_gpu")
+
+
+@query(f"""WITH {_ENT} SELECT min(date) AS first_day, max(date) AS last_day, max(date) - min(date) + 1 AS days, round_even(sum(plan_moves) FILTER (NOT is_gpu) / (max(date) - min(date) + 1) * 90, 0) AS projected FROM e""")
+def gate_projection(spark, sf_dir):
+    e = _entries(spark, sf_dir)
+    total = e.agg(F.sum(F.when(~F.col("is_gpu"), F.col("plan_moves"))).alias("n"))
+    return rp.day_span(e).crossJoin(total).select("first_day", "last_day", "days", rp.projection(F.col("n"), F.col("days")).alias("projected"))  # one row each
+
+
+@query("SELECT user_id, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY user_id ORDER BY n DESC, user_id LIMIT 6")
+def top_contributors(spark, sf_dir):
+    return rp.top_k(_t(spark, sf_dir, "events").where("event_type = 'purchase'"), ["user_id"], 6, [F.col("user_id")])
+
+
+@query("""SELECT date, slug, array_to_string(list(seq || ':' || amount ORDER BY seq), ';') AS moves FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS slug, o_orderkey AS seq, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS amount FROM orders) GROUP BY ALL ORDER BY date DESC, slug DESC LIMIT 50""")
+def feed_topk(spark, sf_dir):
+    rows = _changes(spark, sf_dir).select("date", "slug", "seq", F.col("seq").cast("string").alias("item"), F.lit("").alias("from"), F.col("amount").cast("decimal(18,2)").cast("string").alias("to"), F.lit(None).cast("double").alias("pct"))
+    got = rp.feed(rows, 50)
+    return got.select("date", "slug", F.array_join(F.transform("moves", lambda m: F.concat_ws(":", m["item"], m["to"])), ";").alias("moves"))
+
+
+@query("""WITH m AS (SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders) SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS date FROM orders, m WHERE CAST(o_orderdate AS DATE) >= d - 30""")
+def recent_30d(spark, sf_dir):
+    c = _changes(spark, sf_dir)
+    last = F.broadcast(c.agg(F.max("date").alias("until")))  # one row
+    return rp.recent(c.crossJoin(last), F.col("until")).select("seq", "date")
+
+
+@query(f"""{_LAGGED} SELECT strftime(day, '%Y-%m') AS month, count(*) AS n_moves, count(DISTINCT day) AS n_days, count(*) FILTER (v > p) AS n_up, count(*) FILTER (v < p) AS n_down FROM l WHERE v <> p GROUP BY 1""")
+def month_rollup(spark, sf_dir):
+    rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"]).where("v <> prev_v")
+    return rp.month_rollup(rows.withColumn("pct", F.col("v") - F.col("prev_v")), "day")
+
+
+@query("""WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders) SELECT month, lag(month) OVER (ORDER BY month) AS prev_month, lead(month) OVER (ORDER BY month) AS next_month FROM m""")
+def month_nav(spark, sf_dir):
+    return rp.month_nav(_t(spark, sf_dir, "orders").select(rp.month_of(F.col("o_orderdate")).alias("month")).distinct())
+
+
+@query("""WITH r AS (SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rank, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)
+SELECT o_orderpriority, o_orderkey, rank, greatest(n - 20, 0) AS rest FROM r WHERE rank <= 20""")
+def truncate_with_remainder(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return rp.truncate_with_rest(o, ["o_orderpriority"], [F.desc("o_totalprice"), F.col("o_orderkey")], 20).select("o_orderpriority", "o_orderkey", "rank", "rest")
+
+
+@query("""SELECT doc_id % 50 AS grp, arg_max(nullif(quality, 0), doc_id) FILTER (nullif(quality, 0) IS NOT NULL) AS quality, arg_max(nullif(toxic, 0), doc_id) FILTER (nullif(toxic, 0) IS NOT NULL) AS toxic FROM labels GROUP BY 1""")
+def correction_overlay_merge(spark, sf_dir):
+    rows = _t(spark, sf_dir, "labels").select((F.col("doc_id") % 50).alias("grp"), "doc_id", F.expr("nullif(quality, 0)").alias("quality"), F.expr("nullif(toxic, 0)").alias("toxic"))
+    return rp.overlay(rows, ["grp"], "doc_id", ["quality", "toxic"])
+
+
+@query("""WITH t AS (SELECT l_orderkey, lower(l_returnflag) AS label, row_number() OVER (PARTITION BY l_orderkey, lower(l_returnflag) ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS n, l_linenumber, l_partkey, l_suppkey FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN n = 1 THEN label ELSE label || ' (' || n || ')' END AS label FROM t""")
+def column_label_numbering(spark, sf_dir):
+    from pyspark.sql import Window
+
+    li = _t(spark, sf_dir, "lineitem").withColumn("label", fp.norm_label(F.col("l_returnflag")))
+    n = F.row_number().over(Window.partitionBy("l_orderkey", "label").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(n == 1, F.col("label")).otherwise(F.concat("label", F.lit(" ("), n.cast("string"), F.lit(")"))).alias("label"))
+
+
+@query("""SELECT l_orderkey, l_partkey FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_linenumber) > 1""")
+def headerless_collisions(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    return li.groupBy("l_orderkey", "l_partkey").agg(F.count_distinct("l_linenumber").alias("n")).where("n > 1").select("l_orderkey", "l_partkey")
+
+
+# --- runs ----------------------------------------------------------------------------------------------
+def _runs(spark, sf_dir) -> DataFrame:
+    """Events as run entries: a slug is a user's series, a status is made from the type."""
+    e = _t(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(F.to_date("ts").alias("date"), F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("slug"), F.when(F.col("event_type") == "error", "http_error").otherwise("ok").alias("status"), F.when(F.col("event_type") == "error", 400 + k * 2).otherwise(200).alias("http_status"), (k % 10 == 0).alias("dry_run"), (k % 3 == 0).alias("changed"), F.col("event_id").alias("event_id"), k.alias("rows"))
+
+
+_RUN = """r AS (SELECT CAST(ts AS DATE) AS date, user_id || '/' || event_type AS slug, CASE WHEN event_type = 'error' THEN 'http_error' ELSE 'ok' END AS status, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+  CASE WHEN event_type = 'error' THEN 400 + CAST(json_extract(props, '$.k') AS INTEGER) * 2 ELSE 200 END AS http_status, event_id FROM events)"""
+
+
+@query(f"WITH {_RUN} SELECT date, count(*) AS total, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (k % 3 = 0) AS changed, count(*) FILTER (status = 'http_error') AS n_http_error FROM r GROUP BY date")
+def run_summary(spark, sf_dir):
+    s = rn.run_summary(_runs(spark, sf_dir), ["date"])
+    return s.select("date", "total", "ok", "changed", F.coalesce(F.try_element_at("by_status", F.lit("http_error")), F.lit(0)).alias("n_http_error"))
+
+
+@query(f"""WITH {_RUN}, t AS (SELECT DISTINCT slug FROM r) SELECT slug FROM t WHERE slug NOT IN (SELECT slug FROM r WHERE date = DATE '2024-01-15' AND k % 10 <> 0 AND (status = 'ok' OR http_status BETWEEN 400 AND 499))""")
+def once_per_day_guard(spark, sf_dir):
+    r = _runs(spark, sf_dir)
+    return rn.not_done(r.select("slug").distinct(), r.where("date = DATE '2024-01-15'"))
+
+
+@query(f"""WITH {_RUN}, o AS (SELECT slug, max(event_id) AS id FROM r WHERE date < DATE '2024-01-20' GROUP BY slug), n AS (SELECT slug, max(event_id) AS id FROM r WHERE date >= DATE '2024-01-20' GROUP BY slug)
+SELECT coalesce(n.slug, o.slug) AS slug, coalesce(n.id, o.id) AS event_id FROM o FULL JOIN n ON o.slug = n.slug""")
+def run_log_merge(spark, sf_dir):
+    r = _runs(spark, sf_dir)
+    last = lambda x: x.groupBy("slug").agg(F.max("event_id").alias("event_id"))
+    return rn.merge_run_log(last(r.where("date < DATE '2024-01-20'")), last(r.where("date >= DATE '2024-01-20'")), ["slug"])
+
+
+@query(f"""WITH {_RUN}, d AS (SELECT date, ceil(row_number() OVER (ORDER BY date DESC) / 7) AS win FROM (SELECT DISTINCT date FROM r)),
+p AS (SELECT slug, coalesce(max(CASE WHEN win = 2 THEN k END), 0) AS before, coalesce(max(CASE WHEN win = 1 THEN k END), 0) AS after FROM r JOIN d USING (date) GROUP BY slug)
+SELECT slug, before, after, CASE WHEN before = 0 AND after = 0 THEN 'zero' WHEN before > 0 AND after = 0 THEN 'vanished' WHEN 2 * after < before THEN 'shrunk' WHEN after > greatest(2 * before, 1) THEN 'grew' ELSE 'stable' END AS verdict FROM p""")
+def coverage_audit(spark, sf_dir):
+    return rn.coverage_audit(_runs(spark, sf_dir), ["slug"], F.col("rows"), 7)
+
+
+@query("""SELECT page_id, CASE WHEN length(html) < 2000 AND page_id % 2 = 0 THEN 'thin: try rendering' WHEN length(html) < 2000 THEN 'thin even when rendered' WHEN page_id % 3 = 0 AND page_id % 5 = 0 THEN 'no plans, no tables' WHEN page_id % 3 = 0 THEN 'no plans' WHEN page_id % 3 = 1 THEN 'one plan' ELSE '' END AS diagnosis FROM pages""")
+def target_diagnosis(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages")
+    i = F.col("page_id")
+    return p.select("page_id", rn.diagnosis(F.char_length("html") < 2000, i % 2 != 0, i % 3, F.when(i % 5 == 0, 0).otherwise(1)).alias("diagnosis"))
+
+
+@query("""SELECT p_type AS category, count(*) AS n_tools, min(p_name) AS first_tool FROM part GROUP BY p_type""")
+def tools_by_category(spark, sf_dir):
+    t = _t(spark, sf_dir, "part").select(F.col("p_type").alias("category"), F.col("p_name").alias("name"))
+    return rp.tools_by_category(t).select("category", "n_tools", F.col("tools")[0].alias("first_tool"))
+
+
+@query("""SELECT s.s_suppkey, s.s_name, n.n_name, r.r_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey WHERE s.s_acctbal > 0""")
+def target_dimension(spark, sf_dir):
+    s, n, r = (_t(spark, sf_dir, x) for x in ("supplier", "nation", "region"))
+    return s.where("s_acctbal > 0").join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def events_tumbling(spark, sf_dir):
+    from ..streaming.snapshots import tumbling_counts
+
+    e = _t(spark, sf_dir, "events")
+    out = tumbling_counts(e, "ts", ["event_type"], "1 hour", "2 hours")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+@query("""SELECT o_orderkey, '{"date":"' || strftime(o_orderdate, '%Y-%m-%d') || '","total":' || o_custkey || ',"unknown":null}' AS json FROM orders""")
+def status_document(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    doc_ = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_custkey").alias("total"), F.lit(None).cast("int").alias("unknown"))
+    return o.select("o_orderkey", F.to_json(doc_, {"ignoreNullFields": "false"}).alias("json"))
+
+
+@query("""SELECT p_partkey, '| ' || p_name || ' | ' || p_brand || ' | ' || p_size || ' |' AS line FROM part""")
+def markdown_rows(spark, sf_dir):
+    return _t(spark, sf_dir, "part").select("p_partkey", sinks.markdown_row([F.col("p_name"), F.col("p_brand"), F.col("p_size")]).alias("line"))
+
+
+@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, max(CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY 1)
+SELECT '<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">' || string_agg('<url><loc>https://example.org/m/' || month || '.html</loc><lastmod>' || strftime(d, '%Y-%m-%d') || '</lastmod></url>', '' ORDER BY month) || '</urlset>' AS xml FROM m""")
+def sitemap_xml(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").groupBy(rp.month_of(F.col("o_orderdate")).alias("month")).agg(F.max(F.to_date("o_orderdate")).alias("lastmod"))
+    return sinks.sitemap(o.select(F.concat(F.lit("m/"), "month", F.lit(".html")).alias("path"), "lastmod"), "https://example.org")
