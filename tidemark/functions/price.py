@@ -22,7 +22,7 @@ def currency_of(sign: Column) -> Column:
 def parse_price(c: Column) -> Column:
     """struct(amount, currency, raw) of the first price in a text; nulls and '' if there is none."""
     at = lambda g: F.regexp_extract(c, _ANY_CASE + P.PRICE, g)
-    F.nullif(F.replace(at(2), F.lit(","), F.lit("")), F.lit("")).cast("double")
+    number = F.nullif(F.replace(at(2), F.lit(","), F.lit("")), F.lit("")).cast("double")
     suffix = F.lower(F.trim(at(3)))
     scale = F.when(suffix == "k", 1e3).when(suffix == "m", 1e6).otherwise(1.0)
     return F.struct((number * scale).alias("amount"), currency_of(F.nullif(at(1), F.lit(""))).alias("currency"), F.coalesce(F.trim(at(0)), F.lit("")).alias("raw"))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import patterns as P
 
@@ -28,7 +29,7 @@ def mask_counter_lines(lines: Column) -> Column:
     return F.transform(lines, lambda x: F.when(x.rlike(P.COUNTER_LINE), F.lit("<count>")).otherwise(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
@@ -115,7 +116,7 @@ def line_diff(before: Column, after: Column, most: int = 60) -> Column:
     return _line_diff(F.coalesce(before, F.lit("")), F.coalesce(after, F.lit("")), F.lit(most))
 
 
-@F.pandas_udf("lines_added int, lines_removed int, sample_added array<string>, sample_removed array<string>")
+@F.pandas_udf(T.StructType([T.StructField("lines_added", T.IntegerType()), T.StructField("lines_removed", T.IntegerType()), T.StructField("sample_added", T.ArrayType(T.StringType())), T.StructField("sample_removed", T.ArrayType(T.StringType()))]))
 def _line_diff(before: pd.Series, after: pd.Series, most: pd.Series) -> pd.DataFrame:
     import difflib
 

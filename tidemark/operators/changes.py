@@ -158,7 +158,7 @@ def model_events(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def fingerprint(plans: Column, models: Column) -> Column:
     """Order-insensitive digest of (name, amount, currency, period) rows and model rows; null sorts stay stable."""
-    p = F.array_sort(F.transform(F.coalesce(plans, F.expr("cast(array() as array<struct<name: string, amount: double, currency: string, period: string>>)")), lambda x: F.struct(x["name"].alias("name"), x["amount"].alias("amount"), x["currency"].alias("currency"), x["period"].alias("period"))))
+    p = F.coalesce(F.array_sort(F.transform(plans, lambda x: F.struct(x["name"].alias("name"), x["amount"].alias("amount"), x["currency"].alias("currency"), x["period"].alias("period")))), F.expr("cast(array() as array<struct<name: string, amount: double, currency: string, period: string>>)"))
     m = F.coalesce(F.array_sort(F.transform(models, lambda x: F.to_json(F.struct(x["key"].alias("key"), F.array_sort(F.transform(F.map_entries(x["prices"]), lambda e: F.to_json(e))).alias("prices"))))), F.expr("cast(array() as array<string>)"))
     return F.sha2(F.to_json(F.struct(p.alias("plans"), m.alias("models"))), 256)
 

@@ -117,7 +117,7 @@ def allowed_by_robots(urls: DataFrame, robots: DataFrame, agent: str, url_col: s
     """
     from ..functions.urls import host
 
-    kinds = dict(urls.dtypes)
+    kinds, named = dict(urls.dtypes), list(urls.columns)
     joined = urls.withColumn("host", host(F.col(url_col))).join(robots.select("host", "http_status", "body"), "host", "left")
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in urls.columns) + ", allowed boolean, crawl_delay double"
 
@@ -142,7 +142,7 @@ def allowed_by_robots(urls: DataFrame, robots: DataFrame, agent: str, url_col: s
                 allowed.append(bool(rules.can_fetch(agent, url) and rules.can_fetch("*", url)))
                 d = rules.crawl_delay(agent)
                 delay.append(float(d) if d is not None else None)
-            out = pdf[urls.columns].copy()
+            out = pdf[named].copy()
             out["allowed"], out["crawl_delay"] = allowed, delay
             yield out
 
