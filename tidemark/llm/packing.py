@@ -158,7 +158,7 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int, vocab_path: str, i
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, k long" + ", ids binary" * with_ids
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(vocab_path)
+        bpe = ByteBpe.shared(vocab_path)
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)

@@ -161,7 +161,7 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = 2, vocab_path: st
     vocab, root = vocab_path or default_path("byte_bpe_50k.json"), as_uri(out)
 
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(vocab, f"<u{width}")
+        bpe = ByteBpe.shared(vocab, f"<u{width}")
         end = np.array([end_id], f"<u{width}").tobytes()
         part, shard = TaskContext.get().partitionId(), 0
         names, counts, blobs, size = [], [], [], 0

@@ -9,44 +9,83 @@ import numpy as np
 
 #: A space that a later white-space character or the end follows: the text is then encoded whole.
 _ODD = re.compile(r" (?=\s)| $")
-#: Distinct chunks a worker keeps before it starts anew; bounds memory, never results.
-CACHE_CHUNKS = 250_000
+#: Distinct chunks, and distinct words, that a worker keeps; later ones live for their batch. Bounds memory, never results.
+CACHE_ENTRIES = 700_000
+_OPEN: dict = {}
 
 
 class ByteBpe:
     """Ids of whole texts as little-endian bytes, equal to tokenizers' encode(text, add_special_tokens=False).
 
-    The pre-tokenizer always cuts before a space that a non-space follows, so the chunks between such
-    cuts are encoded one by one; each worker encodes a distinct chunk once while it is in its cache.
+    The pre-tokenizer always cuts before a space that a non-space follows, so texts are cut there first and
+    each distinct chunk is kept. A new chunk is cut into the pre-tokenizer's words, and only words that are
+    new as well go to the library's BPE model, in its byte alphabet, as its pre-tokenizer would hand them on.
     """
 
     def __init__(self, path: str, dtype: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import public_tokenizers
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
         self.dtype = dtype
-        self.cache: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        self.words_of = regex.compile(public_tokenizers.PATTERN).findall
+        # the byte alphabet, by its rule: printable Latin-1 bytes stand for themselves, the others follow from 256 on
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        if set(self.letters.values()) != set(pre_tokenizers.ByteLevel.alphabet()):
+            raise ValueError("unexpected byte alphabet")
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    @classmethod
+    def shared(cls, path: str, dtype: str = "<u4") -> ByteBpe:
+        """One per worker process and file, so that tasks that follow one another share what is known."""
+        if (path, dtype) not in _OPEN:
+            _OPEN[path, dtype] = cls(path, dtype)
+        return _OPEN[path, dtype]
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _word(self, word: str) -> bytes:
+        spelled = "".join(map(self.letters.__getitem__, word.encode("utf-8")))
+        got = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
+        if len(self.words) < CACHE_ENTRIES:
+            self.words[word] = got
+        return got
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode chunks, each of which stands after a space."""
+        words, word, find, chunks = self.words, self._word, self.words_of, self.chunks
+        odd = []
+        for c in new:
+            if any(s in c for s in self.special):
+                odd.append(c)
+                continue
+            parts = find(" " + c)
+            chunks[c] = b"".join([words.get(w) or word(w) for w in parts])
+        chunks.update(zip(odd, self._library([" " + c for c in odd])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        chunks = [None if _ODD.search(t) else t.replace(" ", "\0 ").split("\0") if "\0" not in t else None for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE_CHUNKS:
-            cache.clear()
-        new = list(set().union(*(c for c in chunks if c is not None)).difference(cache))
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                cache[w] = self._bytes(e.ids)
-        whole = [t for t, c in zip(texts, chunks) if c is None]
-        rest = iter(self.tok.encode_batch_fast(whole, add_special_tokens=False)) if whole else iter(())
-        return [self._bytes(next(rest).ids) if c is None else b"".join(map(cache.__getitem__, c)) for c in chunks]
+        # the first chunk, which no space precedes, is encoded apart
+        cut = [None if _ODD.search(t) else t.split(" ") for t in texts]
+        known = self.chunks
+        room = CACHE_ENTRIES - len(known)
+        new = list(set().union(*[c[1:] for c in cut if c is not None]).difference(known))
+        self._learn(new)
+        apart = iter(self._library([t if c is None else c[0] for t, c in zip(texts, cut)]))
+        out = [next(apart) if c is None else next(apart) + b"".join(map(known.__getitem__, c[1:])) for c in cut]
+        for c in new[max(0, room) :]:
+            del known[c]
+        return out
 
 
 def default_path(name: str) -> str:
