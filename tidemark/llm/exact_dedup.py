@@ -28,6 +28,8 @@ _ROCKS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: no space set aside for each one's logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
