@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes as C
@@ -6,13 +5,18 @@ from tidemark.operators import changes as C
 PLAN = "side string, slug string, pos int, name string, price_raw string, amount double, currency string, period string, features array<string>, slot_prices array<double>"
 
 
-def events(spark, old, new):
-    def rows(side, plans):
-        return [(side, "s", i, p.get("name", "Pro"), str(p.get("amount")), p.get("amount"), p.get("currency", "USD"), p.get("period", "month"), p.get("features", []), p.get("slots")) for i, p in enumerate(plans)]
+def events(spark, cases):
+    """Events of each (old, new) case; all cases go through one comparison, a slug each."""
 
-    df = spark.createDataFrame(rows("old", old) + rows("new", new), PLAN)
+    def rows(side, slug, plans):
+        return [(side, slug, i, p.get("name", "Pro"), str(p.get("amount")), p.get("amount"), p.get("currency", "USD"), p.get("period", "month"), p.get("features", []), p.get("slots")) for i, p in enumerate(plans)]
+
+    df = spark.createDataFrame([r for n, (old, new, *_) in enumerate(cases) for r in rows("old", str(n), old) + rows("new", str(n), new)], PLAN)
     pairs = C.plan_pairs(df.where("side = 'old'").drop("side"), df.where("side = 'new'").drop("side"), ["slug"])
-    return sorted((r.type, r.plan, r.pct_change, r.direction) for r in C.plan_events(pairs, ["slug"]).collect())
+    got = [[] for _ in cases]
+    for r in C.plan_events(pairs, ["slug"]).collect():
+        got[int(r.slug)].append((r.type, r.plan, r.pct_change, r.direction))
+    return [sorted(g, key=str) for g in got]
 
 
 A = {"amount": 20.0}
@@ -38,17 +42,17 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize(("old", "new", "want"), CASES)
-def test_plan_cascade(spark, old, new, want):
-    assert events(spark, old, new) == want
+def test_plan_cascade(spark):
+    for case, got in zip(CASES, events(spark, CASES)):
+        assert got == case[2], case
 
 
 def test_invariants(spark):
     old = [{"name": n, "amount": a} for n, a in (("Pro", 1.0), ("Team", 2.0), ("Max", None))]
     new = [{"name": n, "amount": a} for n, a in (("Pro", 1.5), ("Solo", 2.0))]
-    assert events(spark, old, old) == []
+    same, there, back = events(spark, [(old, old), (old, new), (new, old)])
     kinds = lambda ev, t: {p for k, p, *_ in ev if k == t}
-    there, back = events(spark, old, new), events(spark, new, old)
+    assert same == []
     assert kinds(there, "plan_added") == kinds(back, "plan_removed") and kinds(there, "plan_removed") == kinds(back, "plan_added")
 
 
@@ -64,18 +68,12 @@ def model(key, **prices):
     return (key, key, {k: (str(v), v) for k, v in prices.items()}, "USD", "")
 
 
-def compare(spark, old, new):
-    got = C.compare_snapshots(spark.createDataFrame([old] if old else [], SNAP), spark.createDataFrame([new], SNAP)).collect()
-    return got[0] if got else None
-
-
 def types(r):
     return sorted(e.type for e in (r.plan_events or [])) + sorted(e.type for e in (r.model_events or []))
 
 
-@pytest.mark.parametrize(
-    ("old", "new", "kind", "events"),
-    [
+def test_compare(spark):
+    cases = [
         (None, snap(), "first_seen", []),
         (snap(), snap(), None, None),
         (snap(), snap(amount=21.0), "price_change", ["price_changed"]),
@@ -90,13 +88,16 @@ def types(r):
         (snap(models=[model("m", i=1.0)]), snap("h2", models=[model("m", i=1.5)]), "price_change", ["model_price_changed"]),
         (snap(models=[model("m", i=1.0, o=2.0)]), snap("h2", models=[model("m", i=2.0, o=1.0)]), "page_change", ["model_price_relabeled"]),
         (snap(models=[model("m", i=1.0)]), snap("h2", models=[model("m", j=1.5)]), "page_change", []),
-    ],
-)
-def test_compare(spark, old, new, kind, events):
-    got = compare(spark, old, new)
-    assert (got and got.kind) == kind
-    if events is not None:
-        assert types(got) == events
+    ]
+    named = lambda n, row: (str(n), *row[1:])
+    old = spark.createDataFrame([named(n, c[0]) for n, c in enumerate(cases) if c[0]], SNAP)
+    new = spark.createDataFrame([named(n, c[1]) for n, c in enumerate(cases)], SNAP)
+    got = {int(r.slug): r for r in C.compare_snapshots(old, new).collect()}
+    for n, (_, _, kind, want) in enumerate(cases):
+        r = got.get(n)
+        assert (r and r.kind) == kind, cases[n]
+        if want is not None:
+            assert types(r) == want, cases[n]
 
 
 def test_fingerprint_ignores_order(spark):
