@@ -7,6 +7,7 @@ list of overlays. Every query reads its whole tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +26,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, dates: tuple[str, ...] = ()):
+    """Register a query and its SQL; date columns leave both as text, which every client reads alike."""
+
     def add(f):
-        QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(spark, sf_dir).withColumns({c: F.col(c).cast("string") for c in dates}) if dates else f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
+            shown = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
+            ORACLE_SQL[f.__name__] = f"SELECT * REPLACE ({shown}) FROM ({sql})" if dates else sql
+        return run
 
     return add
 
@@ -51,7 +59,7 @@ _LAGGED = f"WITH {_DAILY}, l AS (SELECT *, lag(v) OVER (PARTITION BY user_id, ev
 
 
 @query(f"""{_LAGGED} SELECT day, count(*) AS n_series, count(*) FILTER (p IS NULL) AS n_first, count(*) FILTER (v > p) AS n_up,
-  count(*) FILTER (v < p) AS n_down, max(CASE WHEN p > 0 THEN round((v - p) / p * 100, 2) END) AS top_pct FROM l GROUP BY day""")
+  count(*) FILTER (v < p) AS n_down, max(CASE WHEN p > 0 THEN round((v - p) / p * 100, 2) END) AS top_pct FROM l GROUP BY day""", dates=("day",))
 def price_moves_daily(spark, sf_dir):
     rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"])
     d = fp.direction(F.col("prev_v"), F.col("v"))
@@ -65,7 +73,7 @@ def price_moves_daily(spark, sf_dir):
     )
 
 
-@query(f"""{_LAGGED} SELECT day, count(*) AS n_first_seen FROM l WHERE p IS NULL GROUP BY day""")
+@query(f"""{_LAGGED} SELECT day, count(*) AS n_first_seen FROM l WHERE p IS NULL GROUP BY day""", dates=("day",))
 def first_seen_daily(spark, sf_dir):
     rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"])
     return rows.where("prev_v IS NULL").groupBy("day").agg(F.count(F.lit(1)).alias("n_first_seen"))
@@ -197,7 +205,7 @@ def last_wins_models(spark, sf_dir):
 
 
 @query(f"""{_LAGGED}, m AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY day DESC) AS rn FROM l WHERE v <> p)
-SELECT user_id, event_type, day, p AS from_value, v AS to_value, round((v - p) / p * 100, 2) AS pct FROM m WHERE rn = 1""")
+SELECT user_id, event_type, day, p AS from_value, v AS to_value, round((v - p) / p * 100, 2) AS pct FROM m WHERE rn = 1""", dates=("day",))
 def last_move_per_item(spark, sf_dir):
     rows = ch.with_previous(_daily(spark, sf_dir), ["user_id", "event_type"], "day", ["v"]).where("v <> prev_v")
     rows = rows.select("user_id", "event_type", "day", F.col("prev_v").alias("from_value"), F.col("v").alias("to_value"), fp.pct_change(F.col("prev_v"), F.col("v")).alias("pct"))
@@ -486,12 +494,12 @@ _CHG = """c AS (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS slug, CAS
 k AS (SELECT DISTINCT date, slug FROM c WHERE o_orderpriority = '1-URGENT')"""
 
 
-@query(f"WITH {_CHG} SELECT seq, date, slug FROM c WHERE kind <> 'parser_upgrade' AND NOT EXISTS (SELECT 1 FROM k WHERE k.date = c.date AND k.slug = c.slug)")
+@query(f"WITH {_CHG} SELECT seq, date, slug FROM c WHERE kind <> 'parser_upgrade' AND NOT EXISTS (SELECT 1 FROM k WHERE k.date = c.date AND k.slug = c.slug)", dates=("date",))
 def corrections_anti(spark, sf_dir):
     return rp.counted(_changes(spark, sf_dir), _corrections(spark, sf_dir)).select("seq", "date", "slug")
 
 
-@query(f"WITH {_CHG} SELECT seq, date, slug FROM c WHERE EXISTS (SELECT 1 FROM k WHERE k.date = c.date AND k.slug = c.slug)")
+@query(f"WITH {_CHG} SELECT seq, date, slug FROM c WHERE EXISTS (SELECT 1 FROM k WHERE k.date = c.date AND k.slug = c.slug)", dates=("date",))
 def corrections_semi(spark, sf_dir):
     return rp.retracted(_changes(spark, sf_dir), _corrections(spark, sf_dir)).select("seq", "date", "slug")
 
@@ -510,7 +518,7 @@ def gate_layers(spark, sf_dir):
     return rp.gate_layers(_entries(spark, sf_dir), "is_gpu")
 
 
-@query(f"""WITH {_ENT} SELECT min(date) AS first_day, max(date) AS last_day, max(date) - min(date) + 1 AS days, round_even(sum(plan_moves) FILTER (NOT is_gpu) / (max(date) - min(date) + 1) * 90, 0) AS projected FROM e""")
+@query(f"""WITH {_ENT} SELECT min(date) AS first_day, max(date) AS last_day, max(date) - min(date) + 1 AS days, round_even(sum(plan_moves) FILTER (NOT is_gpu) / (max(date) - min(date) + 1) * 90, 0) AS projected FROM e""", dates=("first_day", "last_day"))
 def gate_projection(spark, sf_dir):
     e = _entries(spark, sf_dir)
     total = e.agg(F.sum(F.when(~F.col("is_gpu"), F.col("plan_moves"))).alias("n"))
@@ -522,14 +530,14 @@ def top_contributors(spark, sf_dir):
     return rp.top_k(_t(spark, sf_dir, "events").where("event_type = 'purchase'"), ["user_id"], 6, [F.col("user_id")])
 
 
-@query("""SELECT date, slug, array_to_string(list(seq || ':' || amount ORDER BY seq), ';') AS moves FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS slug, o_orderkey AS seq, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS amount FROM orders) GROUP BY ALL ORDER BY date DESC, slug DESC LIMIT 50""")
+@query("""SELECT date, slug, array_to_string(list(seq || ':' || amount ORDER BY seq), ';') AS moves FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS slug, o_orderkey AS seq, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS amount FROM orders) GROUP BY ALL ORDER BY date DESC, slug DESC LIMIT 50""", dates=("date",))
 def feed_topk(spark, sf_dir):
     rows = _changes(spark, sf_dir).select("date", "slug", "seq", F.col("seq").cast("string").alias("item"), F.lit("").alias("from"), F.col("amount").cast("decimal(18,2)").cast("string").alias("to"), F.lit(None).cast("double").alias("pct"))
     got = rp.feed(rows, 50)
     return got.select("date", "slug", F.array_join(F.transform("moves", lambda m: F.concat_ws(":", m["item"], m["to"])), ";").alias("moves"))
 
 
-@query("""WITH m AS (SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders) SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS date FROM orders, m WHERE CAST(o_orderdate AS DATE) >= d - 30""")
+@query("""WITH m AS (SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders) SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS date FROM orders, m WHERE CAST(o_orderdate AS DATE) >= d - 30""", dates=("date",))
 def recent_30d(spark, sf_dir):
     c = _changes(spark, sf_dir)
     last = F.broadcast(c.agg(F.max("date").alias("until")))  # one row
@@ -588,7 +596,7 @@ _RUN = """r AS (SELECT CAST(ts AS DATE) AS date, user_id || '/' || event_type AS
   CASE WHEN event_type = 'error' THEN 400 + CAST(json_extract(props, '$.k') AS INTEGER) * 2 ELSE 200 END AS http_status, event_id FROM events)"""
 
 
-@query(f"WITH {_RUN} SELECT date, count(*) AS total, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (k % 3 = 0) AS changed, count(*) FILTER (status = 'http_error') AS n_http_error FROM r GROUP BY date")
+@query(f"WITH {_RUN} SELECT date, count(*) AS total, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (k % 3 = 0) AS changed, count(*) FILTER (status = 'http_error') AS n_http_error FROM r GROUP BY date", dates=("date",))
 def run_summary(spark, sf_dir):
     s = rn.run_summary(_runs(spark, sf_dir), ["date"])
     return s.select("date", "total", "ok", "changed", F.coalesce(F.try_element_at("by_status", F.lit("http_error")), F.lit(0)).alias("n_http_error"))
