@@ -53,6 +53,9 @@ class ToxicParams:
     one_edit: int = 5
     two_edits: int = 10
     stem_lengths: tuple[int, ...] = (4, 5, 6, 7)
+    #: Log odds of a form in toxic against clean rows: the least to count at all, and for full weight.
+    min_odds: float = 2.0
+    full_odds: float = 5.0
     threshold: float = 0.3
 
 
@@ -132,9 +135,10 @@ class Scorer:
     def __init__(self, lex: Lexicon, p: ToxicParams):
         self.lex, self.p = lex, p
         self.seen: dict[str, tuple[float, int] | None] = {}
-        # one edit leaves the term's first two letters or its last ones in place
-        self.starts = {w[:2] for w in lex.terms} | {w[0] + w[2:3] for w in lex.terms} | {w[:1] + w[0:1] for w in lex.terms}
+        # an edit leaves a term's first three letters, or its last three, or two at either end in place
+        self.starts = {w[:3] for w in lex.terms}
         self.ends = {w[-3:] for w in lex.terms}
+        self.both = {w[:2] + w[-2:] for w in lex.terms}
         self.stems = {w[:4] for w in lex.stems}
         self.firsts = {w[0] for w in [*lex.terms, *lex.stems]}
 
@@ -152,8 +156,13 @@ class Scorer:
 
     def maybe(self, words: list[str]) -> set[str]:
         """Distinct words worth matching: they share a stem's, or a term's, beginning or end."""
-        starts, ends, stems, firsts = self.starts, self.ends, self.stems, self.firsts
-        return {w for w in set(words) if (w[:4] in stems) or (w[:1] in firsts and (w[:2] in starts or w[-3:] in ends)) or (not w.isalpha() and w.translate(SIGNS)[:2] in starts)}
+        starts, ends, both, stems, firsts = self.starts, self.ends, self.both, self.stems, self.firsts
+
+        def like(w: str) -> bool:
+            return w[:3] in starts or w[:4] in stems or (w[-3:] in ends and w[:1] in firsts) or w[:2] + w[-2:] in both
+
+        words = set(words)
+        return {w for w in words if like(w) or (not w.isalpha() and like(w.translate(SIGNS)))}
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         """(log of weighted hits, their density, the heaviest hit)."""
@@ -228,24 +237,26 @@ def learn(docs: DataFrame, labels: DataFrame, p: ToxicParams = ToxicParams(), id
     n0 = clean.pop("\0", 0)
     terms, stems = dict.fromkeys(SEED_TERMS, 1.0), {}
     if n1 and n0:
-        # a form with no link to the label has its rows all toxic by chance rate ** rows
-        rate = n1 / (n1 + n0)
-        need = math.log(p.chance / max(1, len(toxic))) / math.log(rate)
+        # Chernoff's bound on the chance that a form with no link to the label stands in so many toxic rows of its rows
+        rate, least = n1 / (n1 + n0), math.log(max(1, len(toxic)) / p.chance)
         taken = {}
         for form, k in toxic.items():
             c = clean.get(form, 0)
+            share = k / (k + c)
             odds = math.log((k + 0.5) / (n1 + 1)) - math.log((c + 0.5) / (n0 + 1))
-            if k >= need and k >= 20 * c and odds > 2:
-                taken[form] = 1.0
-        # the shortest pure beginning speaks for the longer ones, a whole word only for itself
-        for form in sorted((f for f in taken if f[-1] == "*"), key=len):
-            if not any(form.startswith(s) for s in stems):
+            bound = k * math.log(share / rate) + (c * math.log((1 - share) / (1 - rate)) if c else 0.0)
+            if share > rate and bound >= least and odds > p.min_odds:
+                taken[form] = min(1.0, odds / p.full_odds)
+        # a longer form speaks for itself only where it says clearly more than its beginnings
+        more = lambda f, w: all(w > v + 0.12 for s, v in stems.items() if f.startswith(s))
+        for form in sorted((f for f in taken if f[-1] == "*"), key=lambda f: (len(f), f)):
+            if more(form[:-1], taken[form]):
                 stems[form[:-1]] = taken[form]
-        whole = {f for f in taken if f[-1] != "*"}
+        whole = {f: w for f, w in taken.items() if f[-1] != "*"}
         # a beginning that only one whole word fills is that word
         for s in [s for s in stems if any(w.startswith(s) and toxic[w] >= 0.9 * toxic[s + "*"] for w in whole)]:
             del stems[s]
-        terms |= {w: 1.0 for w in whole if not any(w.startswith(s) for s in stems)}
+        terms |= {f: w for f, w in whole.items() if more(f, w)}
     lex = Lexicon(terms, stems)
     if n1 and n0:
         lex.model = _fit(rows, lex, p)
