@@ -20,7 +20,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 # --- components ---------------------------------------------------------------------------------------
-def test_components_of_paths_stars_and_rings(spark):
+@pytest.mark.parametrize("one_task", [0, 200_000])
+def test_components_of_paths_stars_and_rings(spark, one_task, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.common.ONE_TASK_EDGES", one_task)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 201), (201, 202), (202, 200), (7, 7), (None, 3), (201, 200)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), 200: 200, 201: 200, 202: 200}

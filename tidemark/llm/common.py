@@ -108,6 +108,31 @@ def batches_with(columns: list[str], it: Iterator) -> Iterator[tuple]:
         yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
+#: Edges up to which one task finds the components (a few MB); above it they are found in shuffled rounds.
+ONE_TASK_EDGES = 200_000
+
+
+def _union_find(it: Iterator) -> Iterator:
+    """Components of all the edges that the one task gets."""
+    import pyarrow as pa
+
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = root[y]
+            x = root[x]
+        return x
+
+    for us, vs in batches_with(["u", "v"], it):
+        for u, v in zip(us, vs):
+            a, b = find(u), find(v)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    ids = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([find(x) for x in ids], pa.int64())], ["id", "component"])
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(a long, b long) -> (id, component): the smallest id reachable, for every id in an edge.
 
@@ -122,8 +147,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "cc-edges",
     )
-    if cur.isEmpty():
+    n = cur.count()
+    if not n:
         return spark.createDataFrame([], "id long, component long")
+    if n <= ONE_TASK_EDGES:
+        return cur.coalesce(1).mapInArrow(_union_find, "id long, component long")
     for _ in range(max_rounds):
         # large star: each vertex ties its larger neighbours to its smallest neighbour
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -140,8 +168,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         nxt = materialize(small, "cc-round")
         # stars only: no vertex has two parents and no parent is itself a child
-        roots = nxt.select(F.col("v").alias("u")).distinct()
-        done = nxt.join(roots, "u", "left_semi").isEmpty() and nxt.groupBy("u").count().where("count > 1").isEmpty()
+        ends = nxt.select("u", F.lit(1).alias("child"), F.lit(0).alias("parent")).union(nxt.select("v", F.lit(0), F.lit(1)))
+        done = ends.groupBy("u").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).where("c > 1 OR c + p > 1").isEmpty()
         cur = nxt
         if done:
             break

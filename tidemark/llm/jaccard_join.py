@@ -21,17 +21,16 @@ columns are not read.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batches_with, connected_components, materialize, mix64, sequence_key, small_side, window_hashes, words_of
+from .common import LongFilter, WordHashes, batches_with, connected_components, materialize, mix64, sequence_key, small_side, window_hashes, words_of
 
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 _NOT_ASCII = re.compile(r"[^\x00-\x7f]")
@@ -67,69 +66,84 @@ def shingle_set(hashes: WordHashes, text: str | None, k: int) -> np.ndarray:
     return np.unique(window_hashes(h, k) if len(h) >= k else mix64(window_hashes(h, len(h)) + np.uint64(len(h))))
 
 
-def _signed(a: np.ndarray) -> pa.Array:
-    return pa.array(a.view(np.int64))
+#: Kinds of counted shingles, held in a token's two lowest bits: of small sets, of large sets, and uncounted ones.
+LOW, HIGH, REST = 0, 1, 2
+
+
+def _tagged(a: np.ndarray, kind: int) -> np.ndarray:
+    return (a & np.uint64(2**64 - 4)) | np.uint64(kind)
 
 
 def build_sets(docs: DataFrame, p: JaccardParams, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, key, low, low_n, counted, rest) per row.
+    """(id, n, key, n_low, n_counted, tokens) per row.
 
-    counted: shingles in the counted share, for the class of small sets (low) and of large ones; rest:
-    uncounted ones that a prefix still needs, rarely any.
+    tokens: all shingles of small sets (LOW); of large sets those in the counted share of the hash range
+    (HIGH) and, rarely, the uncounted ones that a prefix still needs (REST). Sets of between small and
+    small / similarity shingles are in both kinds, since their partners may be in either.
     """
-    limit = np.uint64(min(1.0, p.share * (1 - p.num / p.den)) * (2**64 - 2**12))
+    limit = np.uint64(int(min(1.0, p.share * (1 - p.num / p.den)) * (2**64 - 2**12)))
     top_small = p.small * p.den // p.num
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for ids, texts in batches_with(["id", "text"], it):
-            n, keys, low, counted, rest = [], [], [], [], []
+            n, keys, n_low, n_counted, tokens = [], [], [], [], []
             for t in texts:
                 s = shingle_set(hashes, t, p.k)
                 n.append(len(s))
                 keys.append(sequence_key(s))
-                low.append(s.view(np.int64) if 0 < len(s) <= top_small else None)
-                if len(s) < p.small:
-                    counted.append(None)
-                    rest.append(None)
-                    continue
-                cut = int(np.searchsorted(s, limit))
-                counted.append(s[:cut].view(np.int64))
-                need = p.prefix(len(s)) - cut
-                rest.append(s[cut : cut + need].view(np.int64) if need > 0 else None)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(low, longs), pa.array(counted, longs), pa.array(rest, longs)], ["id", "n", "key", "low", "counted", "rest"])
-
-    schema = "id long, n long, key binary, low array<long>, counted array<long>, rest array<long>"
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sets, schema)
+                parts = [_tagged(s, LOW)] if len(s) <= top_small else []
+                n_low.append(len(s) if parts else 0)
+                cut = 0
+                if len(s) >= p.small:
+                    cut = int(np.searchsorted(s, limit))
+                    parts.append(_tagged(s[:cut], HIGH))
+                    parts.append(_tagged(s[cut : cut + max(0, p.prefix(len(s)) - cut)], REST))
+                n_counted.append(cut)
+                tokens.append(np.concatenate(parts).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(n_low, pa.int32()), pa.array(n_counted, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))], ["id", "n", "key", "n_low", "n_counted", "tokens"])
 
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sets, "id long, n long, key binary, n_low int, n_counted int, tokens array<long>")
 
-def _prefixes(reps: DataFrame, p: JaccardParams) -> DataFrame:
-    """(token, id, n, pos): prefix shingles that at least two sets hold, pos their 0-based place in the set's order.
 
-    Small and large sets are two joins that overlap in the sizes whose partners may be in either; kind
-    keeps their shingles apart.
-    """
-    part = lambda c, kind: F.when(F.col(c).isNotNull(), F.transform(c, lambda x: F.struct(x.alias("token"), F.lit(kind).alias("kind"))))
-    none = F.expr("cast(array() as array<struct<token: bigint, kind: int>>)")
-    every = F.concat(*[F.coalesce(part(c, i), none) for i, c in enumerate(("low", "counted", "rest"))])
-    rows = reps.select("id", "n", F.explode(every).alias("e")).select("id", "n", "e.token", "e.kind")
-    df = rows.groupBy("token", "kind").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = F.struct(F.col("kind"), F.col("df"), F.col("token"))
-    # those of a set come together again: no more than the set itself holds
-    shared = rows.join(df, ["token", "kind"]).groupBy("id").agg(F.array_sort(F.collect_list(held)).alias("shared"))
-    got = shared.join(reps.select("id", "n", F.size("low").alias("n_low"), F.size("counted").alias("n_counted"), F.size("rest").alias("n_rest")), "id")
+def _thinned(reps: DataFrame, shared: DataFrame) -> DataFrame:
+    """(token, id): the tokens of each set that other sets may hold too, by a bounded bitmap where it suffices."""
+    maybe = LongFilter.build(shared, "token")
+    if maybe is None:
+        return reps.select(F.explode("tokens").alias("token"), "id")
+    held = reps.sparkSession.sparkContext.broadcast(maybe)
+
+    def thin(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            lists = batch.column(1)
+            flat = lists.flatten().to_numpy()
+            at = np.flatnonzero(held.value.hits(flat))
+            ids = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), pa.array(ids[at])], ["token", "id"])
+
+    return reps.select("id", "tokens").mapInArrow(thin, "token long, id long")
 
-    def pick(kind: int, size: str) -> DataFrame:
-        own = F.filter("shared", lambda s: s["kind"] == kind)
-        placed = got.select("id", "n", own.alias("own"), (F.col(size) - F.size(own)).alias("first"))
-        room = F.expr(f"n - ({p.num} * n + {p.den - 1}) div {p.den} + 1") - F.col("first")
-        cut = placed.where((room > 0) & (F.size("own") > 0)).select("id", "n", "first", F.slice("own", F.lit(1), F.greatest(F.lit(0), F.least(room.cast("int"), F.size("own")))).alias("own"))
-        return cut.select("id", "n", "first", F.posexplode("own").alias("i", "s")).select(F.col("s.token").alias("token"), F.lit(kind).alias("kind"), "id", "n", (F.col("first") + F.col("i")).alias("pos"))
 
-    # uncounted ones follow all counted ones, and all that were sent are in the prefix; their least place is a safe bound
-    rest = got.select("id", "n", "n_counted", F.explode(F.filter("shared", lambda s: s["kind"] == 2)).alias("s")).select(F.col("s.token").alias("token"), F.lit(2).alias("kind"), "id", "n", F.col("n_counted").alias("pos"))
-    return pick(0, "n_low").union(pick(1, "n_counted")).union(rest)
+def _n_of(kind: int) -> Column:
+    return F.size(F.filter("shared", lambda s: s["kind"] == kind))
+
+
+def _prefixes(reps: DataFrame, p: JaccardParams) -> DataFrame:
+    """(token, id, n, pos): prefix shingles that at least two sets hold, pos their 0-based place in the set's order."""
+    df = reps.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    df = materialize(df, "jaccard-shared")
+    held = F.struct((F.col("token").bitwiseAND(3)).alias("kind"), F.col("df"), F.col("token"))
+    # those of a set come together again: no more than the set itself holds
+    shared = _thinned(reps, df).join(df, "token").groupBy("id").agg(F.array_sort(F.collect_list(held)).alias("shared"))
+    got = shared.join(reps.select("id", "n", "n_low", "n_counted"), "id")
+    room = f"n - ({p.num} * n + {p.den - 1}) div {p.den} + 1"
+    # counted before the rows are made: once for a set, not once for each of its rows
+    got = got.select("id", "n", "n_low", "n_counted", "shared", _n_of(LOW).alias("m0"), _n_of(HIGH).alias("m1"))
+    rows = got.select("id", "n", "n_low", "n_counted", "m0", "m1", F.posexplode("shared").alias("i", "s"))
+    # shingles that only this set holds come first; uncounted ones follow all counted ones, and their least place is a safe bound
+    pos = F.when(F.col("s.kind") == LOW, F.col("n_low") - F.col("m0") + F.col("i")).when(F.col("s.kind") == HIGH, F.col("n_counted") - F.col("m1") + F.col("i") - F.col("m0")).otherwise(F.col("n_counted"))
+    rows = rows.select(F.col("s.token").alias("token"), "id", "n", pos.cast("long").alias("pos"), F.col("s.kind").alias("kind"))
+    return rows.where((F.col("kind") == REST) | (F.col("pos") < F.expr(room))).select("token", "id", "n", "pos")
 
 
 def _candidates(left: DataFrame, right: DataFrame, p: JaccardParams, on: list[str], where: str) -> DataFrame:
@@ -171,6 +185,10 @@ def _full_sets(docs: DataFrame, ids: DataFrame, p: JaccardParams, id_col: str, t
     return rows.mapInArrow(sets, "id long, n long, key binary, tokens array<long>, sketch array<int>")
 
 
+def _repeated(rows: DataFrame) -> bool:
+    return not rows.groupBy("id").count().where("count > 1").isEmpty()
+
+
 def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links): rows (id, n, key); classes (key, rep); links (a, b) between representatives.
 
@@ -188,12 +206,17 @@ def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: st
     if mixed:
         classes = classes.join(torn.select(F.col("id").alias("src"), F.lit(True).alias("torn")), "src", "left").withColumn("torn", F.coalesce("torn", F.lit(False)))
     classes = materialize(classes.select("key", "src", rep.alias("rep")), "jaccard-classes")
-    reps = sets.withColumnRenamed("id", "src").join(classes, ["src", "key"]).drop("src").withColumnRenamed("rep", "id")
     if mixed:
-        reps = reps.dropDuplicates(["id"])
+        reps = sets.withColumnRenamed("id", "src").join(classes, ["src", "key"]).drop("src").withColumnRenamed("rep", "id").dropDuplicates(["id"])
+    else:
+        # copies are fewer than sets: they are taken out, and the sets themselves need not move
+        copies = named.join(classes, "key").where("id <> rep").select("id")
+        reps = sets.where("n > 0 AND id IS NOT NULL").join(small_side(copies), "id", "left_anti")
+        if _repeated(named):
+            reps = reps.dropDuplicates(["id"])
     post = materialize(_prefixes(reps, p), "jaccard-prefixes")
     # a list of one (its other members dropped it behind their prefix) joins nothing
-    live = post.join(post.groupBy("token", "kind").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), ["token", "kind"], "left_semi")
+    live = post.join(post.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), ["token"], "left_semi")
     live = materialize(live, "jaccard-lists")
     wanted = live.select(F.col("id").alias("rep")).distinct().join(classes, "rep")
     full = _full_sets(docs, small_side(wanted.select(F.col("src").alias("id")).distinct()), p, id_col, text_col)
@@ -209,21 +232,21 @@ def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: st
         if comp is None:
             lists = lists.withColumn("c", F.col("id"))
         lists = materialize(lists, "jaccard-round")
-        stat = lists.groupBy("token", "kind").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("id").alias("hub")).where("c0 < c1")
+        stat = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("id").alias("hub")).where("c0 < c1")
         stat = materialize(stat, "jaccard-hubs")
         work = stat.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2), F.sum("m")).first()
         if not work[1]:
             return rows, classes, links
-        open_ = lists.join(stat.select("token", "kind", "hub"), ["token", "kind"])
+        open_ = lists.join(stat.select("token", "hub"), ["token"])
         if work[0] <= p.linear * work[1]:
             break
         hubs = open_.where("id = hub").drop("hub")
-        found = materialize(_verify(_candidates(hubs, open_.where("id <> hub").drop("hub"), p, ["token", "kind"], "x.c <> y.c"), full, p), "jaccard-links")
+        found = materialize(_verify(_candidates(hubs, open_.where("id <> hub").drop("hub"), p, ["token"], "x.c <> y.c"), full, p), "jaccard-links")
         links = links.union(found)
         comp = materialize(connected_components(links), "jaccard-components")
-        live = open_.where("id <> hub").select("token", "kind", "id", "n", "pos")
+        live = open_.where("id <> hub").select("token", "id", "n", "pos")
     rest = open_.drop("hub")
-    found = _verify(_candidates(rest, rest, p, ["token", "kind"], "x.id < y.id AND x.c <> y.c"), full, p)
+    found = _verify(_candidates(rest, rest, p, ["token"], "x.id < y.id AND x.c <> y.c"), full, p)
     return rows, classes, links.union(materialize(found, "jaccard-links"))
 
 
