@@ -6,11 +6,13 @@ shared window shares that gram, and grams seen in one document only are dropped
 shuffled. Documents with one word sequence are one class; only its smallest identifier is walked, the
 others' windows all repeat it.
 
-The repeated edges form a graph. A join of each edge with its neighbours tells where it does not branch;
-nonbranching runs of one source are compacted into paths that hold the coordinates of their first
-source (document, first word, words). Each occurrence is then placed on its path, runs of consecutive
-placements become spans, and a span counts only if its words' digest, read again at its own coordinates,
-equals that at the source coordinates.
+Runs of shared windows are cut into segments at edges that their own hash picks, so that copies of a
+passage are cut alike; of equal segments only the one of the smallest identifier is taken apart into
+edges. The repeated edges form a graph. A join of each edge with its neighbour tells where it does not
+branch; nonbranching runs of one source are compacted into paths that hold the coordinates of their
+first source (document, first word, words). An occurrence of a path's first edge is an occurrence of the
+path; it counts only if its words' digest, read again at its own coordinates, equals that at the source
+coordinates.
 
 Defined cases: null or wordless text has no words and loses none; texts with fewer words than a window
 lose none. Null identifiers are passed through unchanged and are nobody's source; rows that repeat an
@@ -41,7 +43,7 @@ class SubstringParams:
     @property
     def gram(self) -> int:
         """Words of the grams that winnowing picks from."""
-        return max(1, min(self.k - 1, self.k // 2))
+        return max(1, min(self.k - 1, 2 * self.k // 5))
 
 
 def _minimizers(h: np.ndarray, p: SubstringParams) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +87,12 @@ def _k64(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
+#: An edge whose hash is a multiple of it begins a new segment.
+SEGMENT = 32
+
+
 def _runs(docs: DataFrame, p: SubstringParams, maybe: LongFilter | None) -> DataFrame:
-    """(id, k64, start, edges): runs of consecutive windows whose winnowed gram is, or may be, shared."""
+    """(id, k64, start, edges, seg): segments of runs of windows whose winnowed gram is, or may be, shared; seg names the content."""
 
     def runs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -102,13 +108,15 @@ def _runs(docs: DataFrame, p: SubstringParams, maybe: LongFilter | None) -> Data
                     continue
                 edges = window_hashes(h, p.k).view(np.int64)
                 k64 = _k64(sequence_key(h))
-                for part in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
-                    out.append((i, k64, int(part[0]), edges[part[0] : part[-1] + 1]))
-            cols = list(zip(*out)) if out else [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["id", "k64", "start", "edges"])
+                own = edges[at]
+                cuts = np.flatnonzero((np.diff(at) != 1) | (own[1:] % SEGMENT == 0)) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+                    out.append((i, k64, int(at[a]), own[a:b], xxhash.xxh3_128_digest(own[a:b].tobytes())))
+            cols = list(zip(*out)) if out else [[]] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["id", "k64", "start", "edges", "seg"])
 
-    return docs.mapInArrow(runs, "id long, k64 long, start int, edges array<long>")
+    return docs.mapInArrow(runs, "id long, k64 long, start int, edges array<long>, seg binary")
 
 
 def _heads_of(occ: DataFrame, heads: DataFrame) -> DataFrame:
@@ -134,7 +142,10 @@ def _heads_of(occ: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def _ranges_read(src: DataFrame, ranges: DataFrame, p: SubstringParams) -> DataFrame:
-    """(id, k64, start, words, digest): the digest of the words at given coordinates, read from the texts."""
+    """(id, k64, start, words, digest): the digest of the words at given coordinates, read from the texts.
+
+    A null k64 stands for every text of the document.
+    """
     per_doc = ranges.groupBy("id", "k64").agg(F.collect_set(F.struct("start", "words")).alias("ranges"))
     per_doc = per_doc.groupBy("id").agg(F.collect_list(F.struct("k64", "ranges")).alias("texts"))
     rows = src.join(small_side(per_doc.select("id")), "id", "left_semi").join(per_doc, "id")
@@ -147,8 +158,8 @@ def _ranges_read(src: DataFrame, ranges: DataFrame, p: SubstringParams) -> DataF
                 words = words_of(t)
                 k64 = _k64(sequence_key(hashes.array(words)))
                 for form in forms:
-                    if form["k64"] == k64:
-                        out += [(i, k64, r["start"], r["words"], xxhash.xxh3_128_digest("\n".join(words[r["start"] : r["start"] + r["words"]]).encode("utf-8", "surrogatepass"))) for r in form["ranges"]]
+                    if form["k64"] is None or form["k64"] == k64:
+                        out += [(i, form["k64"], r["start"], r["words"], xxhash.xxh3_128_digest("\n".join(words[r["start"] : r["start"] + r["words"]]).encode("utf-8", "surrogatepass"))) for r in form["ranges"]]
             cols = list(zip(*out)) if out else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["id", "k64", "start", "words", "digest"])
@@ -168,12 +179,14 @@ def repeated_spans(docs: DataFrame, p: SubstringParams = SubstringParams(), id_c
     classes = materialize(scanned.where(f"id IS NOT NULL AND n_words >= {p.k}").groupBy("key").agg(F.min("id").alias("rep")), "substring-classes")
     rows = scanned.select("id", "n_words", "key", "k64", "words_sha").join(classes, "key", "left").select("id", "n_words", "k64", "words_sha", F.expr("if(rep < id, rep, null)").alias("copy_of"))
     walked = classes.select(F.col("rep").alias("id"), "key")
-    grams = scanned.select("id", "key", "grams").join(walked, ["id", "key"], "left_semi").select("id", F.explode("grams").alias("gram"))
+    named = scanned.where(f"id IS NOT NULL AND n_words >= {p.k}")
+    copies = named.select("id", "key").join(classes, "key").where("rep < id").select("id", "key").distinct()
+    # copies are fewer than documents: they are taken out, and the grams themselves move once
+    grams = named.select("id", "key", "grams").join(small_side(copies), ["id", "key"], "left_anti").select("id", F.explode("grams").alias("gram"))
     shared = materialize(grams.groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("gram"), "substring-grams")
     maybe = LongFilter.build(shared, "gram")
     again = src.where("id IS NOT NULL")
-    copies = rows.where("copy_of IS NOT NULL").select("id").distinct()
-    only = copies.join(walked.select("id").distinct(), "id", "left_anti")
+    only = copies.select("id").distinct().join(walked.select("id").distinct(), "id", "left_anti")
     again = again.join(small_side(only), "id", "left_anti")
     if maybe is not None:
         held = sc.broadcast(maybe)
@@ -182,27 +195,29 @@ def repeated_spans(docs: DataFrame, p: SubstringParams = SubstringParams(), id_c
         mine = grams.join(shared, "gram").groupBy("id").agg(F.collect_set("gram").alias("shared"))
         occ = _runs(again.join(mine, "id"), p, None)
     occ = materialize(occ.distinct() if _has_twins(scanned) else occ, "substring-runs")
-    # edges: who has it first, how often it stands, and what follows it
-    at = occ.select("id", "k64", "start", "edges", F.posexplode("edges").alias("i", "edge")).select("edge", "id", "k64", (F.col("start") + F.col("i")).alias("pos"), F.get("edges", F.col("i") + 1).alias("nxt"))
+    # one segment of each content, then its edges: who has it first, how often it stands, what follows it in the segment
+    first = occ.groupBy("seg").agg(F.min(F.struct("id", "start", "edges")).alias("s"), F.max("id").alias("last"))
+    at = first.select("s.id", "s.start", "s.edges", "last", F.posexplode("s.edges").alias("i", "edge")).select("edge", "id", "last", (F.col("start") + F.col("i")).alias("pos"), F.get("edges", F.col("i") + 1).alias("nxt"))
     one = F.count(F.lit(1)).alias("n")
-    edges = at.groupBy("edge").agg(F.min(F.struct("id", "k64", "pos")).alias("src"), F.max("id").alias("hi"), one, F.count("nxt").alias("n_next"), F.min("nxt").alias("lo_next"), F.max("nxt").alias("hi_next"))
-    edges = materialize(edges.where("src.id < hi").select("edge", "src", "n", F.expr("if(n_next = n AND lo_next = hi_next AND lo_next <> edge, lo_next, null)").alias("nxt")), "substring-edges")
+    edges = at.groupBy("edge").agg(F.min(F.struct("id", "pos")).alias("src"), F.max("last").alias("hi"), one, F.count("nxt").alias("n_next"), F.min("nxt").alias("lo_next"), F.max("nxt").alias("hi_next"))
+    edges = materialize(edges.where("src.id < hi").select("edge", F.col("src.id").alias("src_id"), F.col("src.pos").alias("src_pos"), "n", F.expr("if(n_next = n AND lo_next = hi_next AND lo_next <> edge, lo_next, null)").alias("nxt")), "substring-edges")
     # a link does not branch if all that stands before it goes there and all that stands after it comes from there
-    back = edges.where("nxt IS NOT NULL").select(F.col("nxt").alias("edge"), F.col("n").alias("n_before"), F.lit(True).alias("has"))
-    back = back.groupBy("edge").agg(F.max("n_before").alias("n_before"), F.count(F.lit(1)).alias("n_in"))
-    linked = edges.join(back, "edge", "left").select("edge", "src", F.coalesce((F.col("n_in") == 1) & (F.col("n_before") == F.col("n")), F.lit(False)).alias("inner"))
-    along = Window.partitionBy("src.id", "src.k64").orderBy("src.pos")
-    step = F.coalesce(F.lag("src.pos").over(along) + 1 == F.col("src.pos"), F.lit(False))
-    marked = linked.withColumn("head", (~(F.col("inner") & step)).cast("int")).withColumn("path", F.sum("head").over(along))
-    paths = marked.groupBy("src.id", "src.k64", "path").agg(F.min(F.struct("src.pos", "edge")).alias("h"), one)
-    paths = materialize(paths.select(F.col("h.edge").alias("edge"), F.col("id").alias("src_id"), F.col("k64").alias("src_k64"), F.col("h.pos").alias("src_start"), (F.col("n") + p.k - 1).cast("int").alias("words")), "substring-paths")
-    spans = _heads_of(occ, paths).join(paths, "edge").where("src_id < id").select("id", "k64", F.col("pos").alias("start"), "words", "src_id", "src_k64", "src_start")
+    back = edges.where("nxt IS NOT NULL").select(F.col("nxt").alias("edge"), F.col("n").alias("n_before"), F.col("edge").alias("before"))
+    back = back.groupBy("edge").agg(F.max("n_before").alias("n_before"), F.max("before").alias("before"), F.count(F.lit(1)).alias("n_in"))
+    inner = (F.col("n_in") == 1) & (F.col("n_before") == F.col("n"))
+    linked = edges.join(back, "edge", "left").select("edge", "src_id", "src_pos", F.when(inner, F.col("before")).alias("before"))
+    along = Window.partitionBy("src_id").orderBy("src_pos", "edge")
+    follows = F.coalesce((F.lag("src_pos").over(along) + 1 == F.col("src_pos")) & (F.lag("edge").over(along) == F.col("before")), F.lit(False))
+    marked = linked.withColumn("head", (~follows).cast("int")).withColumn("path", F.sum("head").over(along))
+    paths = marked.groupBy("src_id", "path").agg(F.min(F.struct("src_pos", "edge")).alias("h"), one)
+    paths = materialize(paths.select(F.col("h.edge").alias("edge"), "src_id", F.col("h.src_pos").alias("src_start"), (F.col("n") + p.k - 1).cast("int").alias("words")), "substring-paths")
+    spans = _heads_of(occ, paths).join(paths, "edge").where("src_id < id").select("id", "k64", F.col("pos").alias("start"), "words", "src_id", "src_start")
     spans = materialize(spans.distinct(), "substring-spans")
     # the words at both ends are read again and must agree
-    ends = spans.select("id", "k64", "start", "words").union(spans.select("src_id", "src_k64", "src_start", "words")).distinct()
+    ends = spans.select("id", "k64", "start", "words").union(spans.select("src_id", F.lit(None).cast("long"), "src_start", "words")).distinct()
     read = materialize(_ranges_read(src, ends, p), "substring-read")
-    there = read.select(F.col("id").alias("src_id"), F.col("k64").alias("src_k64"), F.col("start").alias("src_start"), "words", F.col("digest").alias("src_digest"))
-    sure = spans.join(read, ["id", "k64", "start", "words"]).join(there, ["src_id", "src_k64", "src_start", "words"]).where("digest = src_digest")
+    there = read.where("k64 IS NULL").select(F.col("id").alias("src_id"), F.col("start").alias("src_start"), "words", F.col("digest").alias("src_digest"))
+    sure = spans.join(read, ["id", "k64", "start", "words"]).join(there, ["src_id", "src_start", "words"]).where("digest = src_digest").distinct()
     return rows, materialize(sure.select("id", "k64", "start", "words", "src_id", "src_start"), "substring-sure")
 
 
