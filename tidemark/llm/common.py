@@ -36,8 +36,32 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release_scratch(docs: DataFrame) -> None:
+    """Delete the scratch tables made so far, but for those that docs reads.
+
+    For callers that know that nothing else is still to be computed from them, such as a pipeline's stage
+    whose input has been written.
+    """
+    spark = docs.sparkSession
+    read = docs.inputFiles()
+    kept = []
+    for path in _made:
+        name = path.rsplit("/", 1)[1]
+        if any(f"/{name}/" in f for f in read):
+            kept.append(path)
+            continue
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _made[:] = kept
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -210,22 +234,27 @@ class LongFilter:
             return None
         piece = max(0, log - 6)
 
+        # hashes that were chosen for being small crowd one end of the range, so they are scrambled first
+        def mixed(it):
+            for batch in it:
+                v = batch.column(0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(mix64(v.view(np.uint64)).view(np.int64))], ["v"])
+
         def fill(it):
             for batch in it:
-                for cut in np.array_split(np.arange(batch.num_rows), max(1, batch.num_rows // 1_000_000)):
-                    v = batch.column(0).take(pa.array(cut)).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - log)
-                    bits = np.zeros(1 << log, bool)
-                    bits[v] = True
-                    at = np.unique(v >> np.uint64(piece))
-                    packed = np.packbits(bits).reshape(64, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([packed[i].tobytes() for i in at.tolist()], pa.binary())], ["slice", "bits"])
-
-        spread = values.select(F.col(column).alias("v")).repartition(16, F.shiftrightunsigned("v", 60)) if n > 1_000_000 else values.select(F.col(column).alias("v")).coalesce(4)
+                v = np.unique(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - log)).astype(np.int64)
+                for own in np.split(v, np.flatnonzero(np.diff(v >> piece)) + 1) if len(v) else []:
+                    bits = np.zeros(1 << piece, bool)
+                    bits[own & ((1 << piece) - 1)] = True
+                    yield pa.RecordBatch.from_arrays([pa.array([int(own[0]) >> piece], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["slice", "bits"])
+
+        spread = values.select(F.col(column).alias("v")).mapInArrow(mixed, "v long")
+        spread = spread.repartition(16, F.shiftrightunsigned("v", 60)).sortWithinPartitions("v") if n > 100_000 else spread.coalesce(4)
         out = np.zeros((64, (1 << log) // 512), np.uint8)
         for r in spread.mapInArrow(fill, "slice int, bits binary").toLocalIterator():
             out[r["slice"]] |= np.frombuffer(r["bits"], np.uint8)
         return cls(log, out.reshape(-1))
 
     def hits(self, v: np.ndarray) -> np.ndarray:
-        i = v.view(np.uint64) >> np.uint64(64 - self.log)
+        i = mix64(v.view(np.uint64)) >> np.uint64(64 - self.log)
         return (self.bits[i >> np.uint64(3)] >> (np.uint64(7) - (i & np.uint64(7))).astype(np.uint8)) & 1 > 0

@@ -45,7 +45,7 @@ class JaccardParams:
     #: Sets of up to about so many shingles count every shingle.
     small: int = 64
     #: Share of the hash range that is counted for larger sets, as a multiple of 1 - similarity.
-    share: float = 2.5
+    share: float = 2.0
     #: A list's leftover pairs are made at once when all lists together have at most so many times their rows.
     linear: int = 8
     max_hub_rounds: int = 12
