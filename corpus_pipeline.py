@@ -1,4 +1,7 @@
-"""A corpus pipeline of five stages: quality rules, exact dedup, near dedup, substring dedup, packing."""
+"""A corpus pipeline of five stages: quality rules, exact dedup, near dedup, substring dedup, packing.
+
+A stage's input has been written, so each stage first deletes the scratch tables of those before it.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, jaccard_join, packing, quality_rules, substring_dedup
-from tidemark.llm.common import materialize, small_side, table
+from tidemark.llm.common import materialize, release_scratch, small_side, table
 
 #: No SQL can express the divergence verdict, the packing or the tokens.
 ORACLE_SQL = None
@@ -24,11 +27,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_scratch(docs)
     return exact_dedup.keep_first(docs).select(docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest identifier stays."""
+    release_scratch(docs)
     found = materialize(jaccard_join.near_duplicates(docs, jaccard_join.JaccardParams(k=5, num=4, den=5)), "pipeline-near")
     gone = small_side(found.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct())
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
@@ -36,11 +41,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that a document with a smaller identifier has are cut out."""
+    release_scratch(docs)
     out = substring_dedup.remove_repeats(docs, substring_dedup.SubstringParams(k=50))
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_scratch(docs)
     return packing.pack(docs, capacity=2048, end_id=0)
 
 
