@@ -154,3 +154,35 @@ def test_local_search_empties_bins():
     bins = {(5, 3): 1, (4, 4, 1): 1, (6, 2): 1, (2,): 1}
     before = sum(bins.values())
     assert sum(K.local_search(bins, 10).values()) < before
+
+
+def gains(bins, capacity):
+    """Every move or exchange that raises the squared fill, by the book."""
+    from itertools import combinations
+
+    under = [p for p in bins if sum(p) < capacity]
+    for a in under:
+        for b in under:
+            if a == b and bins[a] < 2:
+                continue
+            some = [((x,), y) for x in a for y in [(), *((v,) for v in b), *combinations(b, 2)]]
+            some += [(x, (y,)) for x in combinations(a, 2) for y in b]
+            for out, back in some:
+                d = sum(out) - sum(back)
+                if 0 < d <= capacity - sum(b) and (sum(b) + d) ** 2 + (sum(a) - d) ** 2 > sum(a) ** 2 + sum(b) ** 2:
+                    yield a, b, out, back
+
+
+def test_local_search_goes_on_when_the_least_filled_bin_is_stuck():
+    # (3) has no exchange, but 9 for 8 between the other two makes it room
+    hist = {9: 2, 8: 4, 3: 3}
+    assert sum(K.best_fit(hist, 20).values()) == 4
+    assert sum(K.solve(hist, 20).values()) == 3
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(5, 63), st.integers(1, 30), min_size=1, max_size=12))
+def test_local_search_ends_at_the_lower_bound_or_without_gains(hist):
+    bins = K.solve(hist, 64)
+    if sum(bins.values()) > -(-sum(x * n for x, n in hist.items()) // 64):
+        assert next(gains(bins, 64), None) is None

@@ -2,11 +2,11 @@
 
 Only lengths matter for packing, and there are at most `capacity` of them, so the driver solves the
 problem on their histogram however many documents there are. Bins with the same content are one pattern
-with a count. Best fit in falling order of length comes first. A local search then takes underfull bins
-and moves one document, exchanges one for one or one for two, whenever that raises the sum of squared
-fills, and ends when bins empty down to the lower bound or nothing raises it. The executors place pieces
-by rank: the k-th piece of a length takes the k-th slot of that length. Ranks come from per-task counts
-and their running sums, so no length, however common, meets in one task.
+with a count. Best fit in falling order of length comes first. A local search then takes any two underfull
+bins and moves one document, exchanges one for one or one for two, whenever that raises the sum of squared
+fills, and ends at the lower bound of bins, or when no such exchange of any two bins raises it. The
+executors place pieces by rank: the k-th piece of a length takes the k-th slot of that length. Ranks come
+from per-task counts and their running sums, so no length, however common, meets in one task.
 
 Defined cases: a null text is empty and still has its end id. Null identifiers are packed like others.
 Rows that repeat are packed each. An empty table gives an empty result. Other columns are not read.
@@ -14,6 +14,7 @@ Rows that repeat are packed each. An empty table gives an empty result. Other co
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -69,64 +70,164 @@ def best_fit(hist: dict[int, int], capacity: int) -> dict[Pattern, int]:
     return dict(out)
 
 
-def local_search(bins: dict[Pattern, int], capacity: int, max_steps: int = 4000) -> dict[Pattern, int]:
-    """Move, one-for-one and two-for-one exchanges between underfull bins while the squared fill rises."""
-    bins = dict(bins)
-    total = sum(sum(p) * n for p, n in bins.items())
-    lower = -(-total // capacity)
+def _sums(p: Pattern) -> tuple[int, int]:
+    """Bit sets of a pattern's lengths and of the sums of two of them."""
+    one = two = 0
+    for x in p:
+        two |= one << x
+        one |= 1 << x
+    return one, two
+
+
+def _raised(bits: int, least: int, most: int) -> int:
+    """The bit set of every member plus every number from least to most."""
+    n, width = most - least + 1, 1
+    if n < 1:
+        return 0
+    while width < n:
+        by = min(width, n - width)
+        bits |= bits << by
+        width += by
+    return bits << least
+
+
+def _parts(p: Pattern, total: int, most: int) -> tuple[int, ...] | None:
+    """At most so many lengths of a pattern with that sum, the fewest first."""
+    if not total:
+        return ()
+    if total in p:
+        return (total,)
+    if most > 1:
+        for i, x in enumerate(p):
+            if total - x in p[i + 1 :]:
+                return (x, total - x)
+    return None
+
+
+class _Search:
+    """Patterns by fill. A pattern is open until no exchange with any other, giving or taking, has a gain."""
+
+    def __init__(self, bins: dict[Pattern, int], capacity: int):
+        self.capacity = capacity
+        self.bins: dict[Pattern, int] = {}
+        self.sums: dict[Pattern, tuple[int, int]] = {}
+        self.by_fill: dict[int, set[Pattern]] = {}
+        #: Sums of all patterns of a fill, and what these, as takers, can be given for a gain by no fuller one.
+        self.merged: dict[int, tuple[int, int, int, int]] = {}
+        self.open: list[tuple[int, Pattern]] = []
+        self.n = 0
+        for p, n in bins.items():
+            self.change(p, n)
+
+    def change(self, p: Pattern, n: int) -> None:
+        was, fill = self.bins.get(p, 0), sum(p)
+        now = self.bins[p] = was + n
+        self.n += n
+        if not now:
+            del self.bins[p]
+        if fill == self.capacity:  # a full bin can neither take nor gain by giving
+            return
+        if not was:
+            self.sums[p] = _sums(p)
+            self.by_fill.setdefault(fill, set()).add(p)
+            self.merged.pop(fill, None)
+        elif not now:
+            del self.sums[p]
+            self.by_fill[fill].remove(p)
+            self.merged.pop(fill, None)
+            if not self.by_fill[fill]:
+                del self.by_fill[fill]
+        # beside its like, too, a pattern may exchange
+        if not was or was == 1 and now > 1:
+            heapq.heappush(self.open, (fill, p))
 
-    def change(p: Pattern, n: int) -> None:
-        bins[p] = bins.get(p, 0) + n
-        if not bins[p]:
-            del bins[p]
-
-    for _ in range(max_steps):
-        if sum(bins.values()) <= lower:
-            break
-        under = sorted((p for p in bins if sum(p) < capacity), key=lambda p: (sum(p), p))
-        if len(under) < 2 and (not under or bins[under[0]] < 2):
-            break
-        step = None
-        victim = under[0]
-        fill_v = sum(victim)
-        # the fullest bins first; gain is the rise of the squared fill
-        for other in reversed(under):
-            if other == victim and bins[victim] < 2:
+    def of_fill(self, fill: int, but: Pattern | None = None) -> tuple[int, int, int, int]:
+        got = self.merged.get(fill) if but is None else None
+        if got is None:
+            one = two = 0
+            for q in self.by_fill[fill]:
+                if q != but:
+                    one, two = one | self.sums[q][0], two | self.sums[q][1]
+            room = self.capacity - fill
+            any_ = bool(one)
+            got = (one, two, _raised(any_ | one | two, 1, room) if any_ else 0, _raised(one, 1, room))
+            if but is None:
+                self.merged[fill] = got
+        return got
+
+    def exchange(self, a: Pattern, b: Pattern) -> tuple[Pattern, Pattern] | None:
+        """(out, back) of greatest gain from a to b; the gain rises with the length that b gets."""
+        fa, fb = sum(a), sum(b)
+        (one_a, two_a), (one_b, two_b) = self.sums[a], self.sums[b]
+        backs = 1 | one_b | two_b
+        for d in range(self.capacity - fb, max(0, fa - fb), -1):
+            for had, gets, k in ((one_a, backs, 1), (two_a, one_b, 2)):
+                if hit := (gets << d) & had:
+                    out = (hit & -hit).bit_length() - 1
+                    return _parts(a, out, k), _parts(b, out - d, 3 - k)
+        return None
+
+    def step(self, p: Pattern) -> tuple[Pattern, Pattern, Pattern, Pattern] | None:
+        """(a, b, out, back) with p as giver to the fullest that it can, else as taker from the least filled."""
+        fill = sum(p)
+        one, two = self.sums[p]
+        room, alone = self.capacity - fill, self.bins[p] < 2
+        fills = sorted(self.by_fill, reverse=True)
+        for f in fills:
+            o, t, given, given_one = self.of_fill(f, p if alone and f == fill else None)
+            if not o:
                 continue
-            room = capacity - sum(other)
-            best = 0
-            for x in set(victim):
-                give = [((x,), ())]
-                give += [((x,), (y,)) for y in set(other)]
-                ys = sorted(set(other))
-                give += [((x,), (y, z)) for i, y in enumerate(ys) for z in ys[i:] if y != z or other.count(y) > 1]
-                xs = sorted(set(victim))
-                give += [((x, w), (y,)) for w in xs if w != x or victim.count(x) > 1 for y in ys]
-                for out, back in give:
-                    d = sum(out) - sum(back)
-                    if 0 < d <= room and fill_v - d >= 0:
-                        gain = (sum(other) + d) ** 2 + (fill_v - d) ** 2 - sum(other) ** 2 - fill_v**2
-                        if gain > best:
-                            best, step = gain, (other, out, back)
-            if step:
-                break
+            if f < fill:
+                least, most = fill - f + 1, self.capacity - f
+                given, given_one = _raised(1 | o | t, least, most), _raised(o, least, most)
+            if one & given or two & given_one:
+                for q in sorted(self.by_fill[f], reverse=True):
+                    if (q != p or not alone) and (got := self.exchange(p, q)):
+                        return p, q, *got
+        takes = _raised(1 | one | two, 1, room), _raised(one, 1, room)
+        for f in reversed(fills):
+            o, t, *_ = self.of_fill(f, p if alone and f == fill else None)
+            least = f - fill + 1
+            some, single = takes if f <= fill else (_raised(1 | one | two, least, room), _raised(one, least, room))
+            if o & some or t & single:
+                for q in sorted(self.by_fill[f]):
+                    if (q != p or not alone) and (got := self.exchange(q, p)):
+                        return q, p, *got
+        return None
+
+
+def local_search(bins: dict[Pattern, int], capacity: int) -> dict[Pattern, int]:
+    """Move, one-for-one and two-for-one exchanges between any two underfull bins while the squared fill rises.
+
+    Every step raises the squared fill by a whole number, so the search ends by itself: at the lower bound of
+    bins, or where no two bins have an exchange with a gain.
+    """
+    total = sum(sum(p) * n for p, n in bins.items())
+    lower = -(-total // capacity)
+    search = _Search(bins, capacity)
+    while search.open and search.n > lower:
+        fill, p = heapq.heappop(search.open)
+        if p not in search.bins:
+            continue
+        step = search.step(p)
         if not step:
-            break
-        other, out, back = step
-        n = min(bins[victim], bins[other]) if other != victim else bins[victim] // 2
-        change(victim, -n)
-        change(other, -n)
-        a, b = list(victim), list(other)
+            continue
+        heapq.heappush(search.open, (fill, p))
+        a, b, out, back = step
+        n = min(search.bins[a], search.bins[b]) if a != b else search.bins[a] // 2
+        search.change(a, -n)
+        search.change(b, -n)
+        left, more = list(a), list(b)
         for x in out:
-            a.remove(x)
-            b.append(x)
+            left.remove(x)
+            more.append(x)
         for y in back:
-            b.remove(y)
-            a.append(y)
-        if a:
-            change(tuple(sorted(a, reverse=True)), n)
-        change(tuple(sorted(b, reverse=True)), n)
-    return bins
+            more.remove(y)
+            left.append(y)
+        if left:
+            search.change(tuple(sorted(left, reverse=True)), n)
+        search.change(tuple(sorted(more, reverse=True)), n)
+    return search.bins
 
 
 def solve(hist: dict[int, int], capacity: int) -> dict[Pattern, int]:
