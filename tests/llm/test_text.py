@@ -184,6 +184,29 @@ def test_misspelled_terms_and_quotation():
     assert abuse > quote > s.score("a plain text") and s.score("") == s.score(None)
 
 
+def test_every_word_that_the_automaton_matches_is_a_hit_of_its_text():
+    s = X.Scorer(X.Lexicon(dict.fromkeys([*X.SEED_TERMS, "clown"], 1.0), {"vequ": 1.0}), X.ToxicParams())
+    swapped = ["mroon", "iidot", "tarsh", "lsoer", "colwn"]
+    for w in [*swapped, "dsigustnig", "mooronnn", "fuuuckkk", "m0r0n", "vequx"]:
+        assert s.features(f"so {w} it is") != (0.0, 0.0, 0.0), w
+
+
+def test_filter_before_the_automaton_loses_nothing():
+    import random
+
+    r = random.Random(11)
+    lex = X.Lexicon({t: 0.5 + i / 100 for i, t in enumerate(X.SEED_TERMS)}, {"vequ": 1.0, "achlich": 0.8})
+    s = X.Scorer(lex, X.ToxicParams())
+    for _ in range(20_000):
+        w = list(r.choice([*lex.terms, *lex.stems]))
+        for _ in range(r.randint(0, 3)):
+            i, c = r.randrange(len(w)), r.choice("abeimnorst0$")
+            w[i : i + r.choice((0, 1, 1, 2))] = r.choice(([c], [], [c, c], w[i : i + 2][::-1]))
+            w = w or ["x"]
+        word = "".join(w)
+        assert s.matched(word) == X.match(lex, word, s.p), word
+
+
 def test_toxicity_learns_without_held_out_rows(spark):
     import random
 

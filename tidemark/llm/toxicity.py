@@ -39,6 +39,7 @@ ADDRESS = frozenset("you your youre yours u ur yourself du dich dir ihr tu te vo
 #: Signs often put for letters.
 SIGNS = str.maketrans("013457@$", "oieastas")
 _TOKEN = re.compile(r"[\w@$]+")
+_STRETCHED = re.compile(r"(.)\1{2,}")
 _QUOTES = re.compile(r"[\"“”„«»]")
 
 
@@ -129,46 +130,64 @@ def match(lex: Lexicon, word: str, p: ToxicParams) -> tuple[float, int] | None:
     return best
 
 
+def _deletions(word: str, n: int) -> set[str]:
+    """The word with up to n characters taken out, the first never."""
+    out = last = {word}
+    for _ in range(n):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(1, len(w))}
+        out = out | last
+    return out
+
+
 class Scorer:
     """Hits and score of a text; remembers the words it has matched."""
 
     def __init__(self, lex: Lexicon, p: ToxicParams):
         self.lex, self.p = lex, p
         self.seen: dict[str, tuple[float, int] | None] = {}
-        # an edit leaves a term's first three letters, or its last three, or two at either end in place
-        self.starts = {w[:3] for w in lex.terms}
-        self.ends = {w[-3:] for w in lex.terms}
-        self.both = {w[:2] + w[-2:] for w in lex.terms}
-        self.stems = {w[:4] for w in lex.stems}
-        self.firsts = {w[0] for w in [*lex.terms, *lex.stems]}
+        # words within k edits (swaps too) of a term with the same first letter share a form with up to k taken out of each
+        self.keys: set[str] = set()
+        # first letter and length of a word -> the most edits that some term allows it
+        self.edits: dict[tuple[str, int], int] = {}
+        for w in lex.terms:
+            k = min(2, len(w) // 4)
+            self.keys |= _deletions(w, k)
+            for n in range(max(1, len(w) - k), len(w) + k + 1):
+                own = min(k, self.limit(n))
+                if abs(n - len(w)) <= own:
+                    self.edits[w[0], n] = max(own, self.edits.get((w[0], n), 0))
+        self.stem_lengths = sorted({len(w) for w in lex.stems})
+
+    def limit(self, n: int) -> int:
+        return 2 if n >= self.p.two_edits else 1 if n >= self.p.one_edit else 0
+
+    def maybe(self, word: str) -> bool:
+        """False only where match() finds nothing."""
+        if any(word[:n] in self.lex.stems for n in self.stem_lengths):
+            return True
+        k = self.edits.get((word[:1], len(word)))
+        return k is not None and not self.keys.isdisjoint(_deletions(word, k))
+
+    def matched(self, word: str) -> tuple[float, int] | None:
+        return match(self.lex, word, self.p) if self.maybe(word) else None
 
     def lookup(self, word: str) -> tuple[float, int] | None:
         if word not in self.seen:
             if len(self.seen) > 200_000:
                 self.seen.clear()
             plain = word.translate(SIGNS) if not word.isalpha() else word
-            got = match(self.lex, word, self.p) or (match(self.lex, plain, self.p) if plain != word else None)
+            got = self.matched(word) or (self.matched(plain) if plain != word else None)
             if got is None and len(word) > 3:
-                squeezed = re.sub(r"(.)\1{2,}", r"\1", plain)
-                got = match(self.lex, squeezed, self.p) if squeezed != plain else None
+                squeezed = _STRETCHED.sub(r"\1", plain)
+                got = self.matched(squeezed) if squeezed != plain else None
             self.seen[word] = got
         return self.seen[word]
 
-    def maybe(self, words: list[str]) -> set[str]:
-        """Distinct words worth matching: they share a stem's, or a term's, beginning or end."""
-        starts, ends, both, stems, firsts = self.starts, self.ends, self.both, self.stems, self.firsts
-
-        def like(w: str) -> bool:
-            return w[:3] in starts or w[:4] in stems or (w[-3:] in ends and w[:1] in firsts) or w[:2] + w[-2:] in both
-
-        words = set(words)
-        return {w for w in words if like(w) or (not w.isalpha() and like(w.translate(SIGNS)))}
-
     def features(self, text: str | None) -> tuple[float, float, float]:
         """(log of weighted hits, their density, the heaviest hit)."""
         low = (text or "").lower()
         words = _TOKEN.findall(low)
-        some = {w for w in self.maybe(words) if self.lookup(w)}
+        some = {w for w in set(words) if self.lookup(w)}
         if not some:
             return 0.0, 0.0, 0.0
         p = self.p
