@@ -205,6 +205,19 @@ def test_filter_before_the_automaton_loses_nothing():
             w = w or ["x"]
         word = "".join(w)
         assert s.matched(word) == X.match(lex, word, s.p), word
+        assert s.matched(word + "en") == X.match(lex, word + "en", s.p), word
+
+
+def test_misspelled_beginnings_and_whole_words_under_a_stem(spark):
+    s = X.Scorer(X.Lexicon({}, {"réeuxa": 1.0, "achlich": 1.0, "vequ": 1.0}), X.ToxicParams())
+    for w in ("réuexadu", "réexadu", "réeuxxadu", "achlcihen", "aclichen", "achlicen", "achlich"):
+        assert s.features(f"so {w} it is")[2] > 0, w
+    for w in ("veqabc", "reuadu", "xchlichen", "acch"):
+        assert s.features(f"so {w} it is")[2] == 0, w
+    # stem and whole words say the same of the label
+    texts = [f"plain words here {'klumpor' if i % 12 else 'klumpix'}" if i % 6 == 0 else "plain words here alone" for i in range(600)]
+    docs, marks = S.docs(spark, texts), spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(600)], "doc_id long, toxic int")
+    assert {"klumpor", "klumpix"} <= set(X.learn(docs, marks).terms)
 
 
 def test_toxicity_learns_without_held_out_rows(spark):

@@ -54,6 +54,8 @@ class ToxicParams:
     one_edit: int = 5
     two_edits: int = 10
     stem_lengths: tuple[int, ...] = (4, 5, 6, 7)
+    #: Least length of a stem at which edits are allowed.
+    stem_edit: int = 6
     #: Log odds of a form in toxic against clean rows: the least to count at all, and for full weight.
     min_odds: float = 2.0
     full_odds: float = 5.0
@@ -119,8 +121,8 @@ def match(lex: Lexicon, word: str, p: ToxicParams) -> tuple[float, int] | None:
                 term, weight = sub
                 d = state[-1]
                 if key == "\0*":
-                    # a stem must stand exactly: beginnings are short and edits would reach other words
-                    d = 0 if word.startswith(term) else limit + 1
+                    # the nearest beginning of the word; short stems must stand exactly, as edits would reach other words
+                    d = 0 if word.startswith(term) else min(state) if len(term) >= p.stem_edit else limit + 1
                 if d <= limit and d <= len(term) // 4 and (best is None or (weight * 0.9**d) > best[0] * 0.9 ** best[1]):
                     best = (weight, d)
             else:
@@ -157,6 +159,15 @@ class Scorer:
                 if abs(n - len(w)) <= own:
                     self.edits[w[0], n] = max(own, self.edits.get((w[0], n), 0))
         self.stem_lengths = sorted({len(w) for w in lex.stems})
+        # first letter -> beginnings that may be a misspelled stem: (their length, the most edits)
+        self.begins: dict[str, dict[int, int]] = {}
+        for w in lex.stems:
+            if len(w) >= p.stem_edit:
+                k = min(2, len(w) // 4)
+                self.keys |= _deletions(w, k)
+                own = self.begins.setdefault(w[0], {})
+                for n in range(len(w) - k, len(w) + k + 1):
+                    own[n] = max(k, own.get(n, 0))
 
     def limit(self, n: int) -> int:
         return 2 if n >= self.p.two_edits else 1 if n >= self.p.one_edit else 0
@@ -166,7 +177,11 @@ class Scorer:
         if any(word[:n] in self.lex.stems for n in self.stem_lengths):
             return True
         k = self.edits.get((word[:1], len(word)))
-        return k is not None and not self.keys.isdisjoint(_deletions(word, k))
+        if k is not None and not self.keys.isdisjoint(_deletions(word, k)):
+            return True
+        limit = self.limit(len(word))
+        begins = self.begins.get(word[:1]) if limit else None
+        return bool(begins) and any(n <= len(word) and not self.keys.isdisjoint(_deletions(word[:n], min(k, limit))) for n, k in begins.items())
 
     def matched(self, word: str) -> tuple[float, int] | None:
         return match(self.lex, word, self.p) if self.maybe(word) else None
@@ -275,7 +290,8 @@ def learn(docs: DataFrame, labels: DataFrame, p: ToxicParams = ToxicParams(), id
         # a beginning that only one whole word fills is that word
         for s in [s for s in stems if any(w.startswith(s) and toxic[w] >= 0.9 * toxic[s + "*"] for w in whole)]:
             del stems[s]
-        terms |= {f: w for f, w in whole.items() if more(f, w)}
+        # a stem stands for its whole words too, but only as terms are these found misspelled
+        terms |= whole
     lex = Lexicon(terms, stems)
     if n1 and n0:
         lex.model = _fit(rows, lex, p)
