@@ -2,7 +2,10 @@
 
 The driver's tables stand in for the engine's: `events` is an observation log (page := user_id, item :=
 event_type, amount := value), `part` a catalogue, `pages` raw HTML, `orders` a change log, `labels` a
-list of overlays. Every query reads its whole tables.
+list of overlays. Every query reads its whole tables, but for the seven that compare two snapshots
+(snapshot_diff_full_outer, event_cascade_guards, change_kind_by_page, relabelled_events,
+model_event_cascade, features_set_diff, multiset_equal): these, as their SQL, compare the events of
+2024-01-10 and 2024-01-11 alone.
 """
 
 from __future__ import annotations
