@@ -66,10 +66,10 @@ def brute_components(texts, k, num, den):
     return [find(i) for i in range(len(texts))], [len(s) for s in sets]
 
 
-@pytest.mark.parametrize(("k", "num", "den", "linear"), [(3, 9, 10, 8), (5, 4, 5, 0)])
-def test_near_duplicates_match_brute_force(spark, k, num, den, linear):
+@pytest.mark.parametrize(("k", "num", "den", "pairwise"), [(3, 9, 10, 16), (5, 4, 5, 2), (1, 7, 10, 3)])
+def test_near_duplicates_match_brute_force(spark, k, num, den, pairwise):
     texts = S.corpus(seed=k + num, n=80) + ["A b C", "a B c", "x", "", None, "a b"]
-    p = J.JaccardParams(k=k, num=num, den=den, linear=linear, max_hub_rounds=2)
+    p = J.JaccardParams(k=k, num=num, den=den, pairwise=pairwise)
     comp, sizes = brute_components(texts, k, num, den)
     got = {r.id: r for r in J.near_duplicates(S.docs(spark, texts), p).collect()}
     assert len(got) == len(texts)

@@ -6,12 +6,15 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .wordscan import mix64, window_hashes  # noqa: F401  # used by the operators
+
 WHITE = r"[\x20\x09-\x0D]"
 _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 _ODD_WHITE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -36,42 +39,76 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-_made: list[str] = []
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
-    return path
+def remove_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def release_scratch(docs: DataFrame) -> None:
-    """Delete the scratch tables made so far, but for those that docs reads.
+#: While a table is written: its shuffle files go as soon as it stands, and Python gets Arrow batches of bounded bytes.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
-    For callers that know that nothing else is still to be computed from them, such as a pipeline's stage
-    whose input has been written.
-    """
-    spark = docs.sparkSession
-    read = docs.inputFiles()
-    kept = []
-    for path in _made:
-        name = path.rsplit("/", 1)[1]
-        if any(f"/{name}/" in f for f in read):
-            kept.append(path)
-            continue
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    _made[:] = kept
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write df to a folder that all executors share and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with settings(spark, _WRITING):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """A scratch table that nobody deletes but the owner of the shared folder: for what a returned DataFrame reads."""
+    return write_table(df, scratch_path(df.sparkSession, name))
+
+
+class Scratch:
+    """The scratch tables of one run of one operator: deleted when it is done with them, at the latest at its end.
+
+    A table made with keep=True is read by the operator's result and stays. No run touches another's tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[str, list[str]] = {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.drop(*list(self._paths))
+
+    def table(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        if not keep:
+            self._paths.setdefault(name, []).append(path)
+        return write_table(df, path)
+
+    def drop(self, *names: str, but_last: bool = False) -> None:
+        """Delete the tables made under these names (but the last one of each), which nothing reads any more."""
+        for name in names:
+            paths = self._paths.pop(name, [])
+            if but_last:
+                paths, self._paths[name] = paths[:-1], paths[-1:]
+            for path in paths:
+                remove_path(self.spark, path)
+
+
 def words_of(text: str | None) -> list[str]:
     """Maximal runs of characters outside [\\x20\\x09-\\x0D]."""
     if not text:
@@ -96,31 +133,6 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
 
-_MULT = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xD6E8FEB86659FD93)
-_S32 = np.uint64(32)
-
-
-def mix64(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of unsigned 64-bit values."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> _S32)) * _MIX
-        x = (x ^ (x >> _S32)) * _MIX
-        return x ^ (x >> _S32)
-
-
-def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every k consecutive word hashes, in order; empty if there are fewer."""
-    n = len(h) - k + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        acc = np.zeros(n, np.uint64)
-        for i in range(k):
-            acc = mix64(acc * _MULT + h[i : i + n])
-    return acc
-
-
 def sequence_key(h: np.ndarray) -> bytes:
     """128-bit digest of a whole word sequence or set."""
     return xxhash.xxh3_128_digest(h.tobytes())
@@ -132,12 +144,8 @@ def batches_with(columns: list[str], it: Iterator) -> Iterator[tuple]:
         yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
-#: Edges up to which one task finds the components (a few MB); above it they are found in shuffled rounds.
-ONE_TASK_EDGES = 200_000
-
-
 def _union_find(it: Iterator) -> Iterator:
-    """Components of all the edges that the one task gets."""
+    """A forest of the edges that a task gets: each of their vertices tied to the smallest that it reaches by them."""
     import pyarrow as pa
 
     root: dict[int, int] = {}
@@ -153,62 +161,68 @@ def _union_find(it: Iterator) -> Iterator:
             a, b = find(u), find(v)
             if a != b:
                 root[max(a, b)] = min(a, b)
-    ids = list(root)
-    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([find(x) for x in ids], pa.int64())], ["id", "component"])
+    ids = [x for x in root if find(x) != x]
+    for i in range(0, len(ids), 100_000):
+        own = ids[i : i + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([find(x) for x in own], pa.int64())], ["u", "v"])
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(a long, b long) -> (id, component): the smallest id reachable, for every id in an edge.
 
-    Alternates large-star and small-star; each round is a pair of grouped minima, written to the
-    shared folder. A vertex of high degree meets partial aggregation, never one collected group.
+    Each partition first thins its own edges to a forest, which for a graph of one partition is the answer.
+    Then large-star and small-star alternate; a round is a pair of grouped minima, written to the shared
+    folder. A vertex of high degree meets partial aggregation, never one collected group.
     Nulls on either end and self-loops are ignored; repeated edges count once.
     """
-    spark = edges.sparkSession
-    cur = materialize(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-        .distinct(),
-        "cc-edges",
-    )
-    n = cur.count()
-    if not n:
-        return spark.createDataFrame([], "id long, component long")
-    if n <= ONE_TASK_EDGES:
-        return cur.coalesce(1).mapInArrow(_union_find, "id long, component long")
-    for _ in range(max_rounds):
-        # large star: each vertex ties its larger neighbours to its smallest neighbour
-        both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
-        large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # small star: each vertex ties its smaller neighbours, and itself, to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v")
-            .where("u <> v")
-            .distinct()
-        )
-        nxt = materialize(small, "cc-round")
-        # stars only: no vertex has two parents and no parent is itself a child
-        ends = nxt.select("u", F.lit(1).alias("child"), F.lit(0).alias("parent")).union(nxt.select("v", F.lit(0), F.lit(1)))
-        done = ends.groupBy("u").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).where("c > 1 OR c + p > 1").isEmpty()
-        cur = nxt
-        if done:
-            break
-    else:
-        raise RuntimeError("components did not converge")
-    return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).union(cur.select(F.col("v"), F.col("v")).distinct())
-
-
-#: Rows up to which a side may be broadcast; above it the plain (shuffled, skew-split) join is used.
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count proves it small (narrow rows only), else df itself."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    with Scratch(edges.sparkSession) as scratch:
+        cur = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
+        cur = scratch.table(cur.hint("rebalance").mapInArrow(_union_find, "u long, v long").distinct(), "cc")
+        for _ in range(max_rounds):
+            # stars only: no vertex has two parents and no parent is itself a child
+            ends = cur.select("u", F.lit(1).alias("child"), F.lit(0).alias("parent")).union(cur.select("v", F.lit(0), F.lit(1)))
+            if ends.groupBy("u").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).where("c > 1 OR c + p > 1").isEmpty():
+                break
+            # large star: each vertex ties its larger neighbours to its smallest neighbour
+            both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
+            large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            # small star: each vertex ties its smaller neighbours, and itself, to the smallest of them
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = (
+                large.join(low, "u")
+                .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
+                .select("e.u", "e.v")
+                .where("u <> v")
+                .distinct()
+            )
+            cur = scratch.table(small, "cc")
+            scratch.drop("cc", but_last=True)
+        else:
+            raise RuntimeError("components did not converge")
+        return materialize(cur.select(F.col("u").alias("id"), F.col("v").alias("component")).union(cur.select(F.col("v"), F.col("v")).distinct()), "components")
+
+
+#: Bytes of a written table up to which it may be broadcast; beyond them the shuffled, skew-split join is used.
+BROADCAST_BYTES = 8 << 20
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A scratch table, or rows chosen from one, with a broadcast hint if its statistics prove it small, else as it is."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most else df
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like those wanted that no column of df has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 class LongFilter:

@@ -4,14 +4,19 @@ A document's set holds its distinct k-word shingles. Documents with one set are
 class's smallest identifier goes on. Shingles have one global order: counted ones first, rare before
 frequent, then the rest by hash. Counted are those whose hash falls below a fixed share of the hash
 range (all of them for small sets), which suffices for the prefix and cuts what is shuffled. Two sets
-that reach the threshold share a shingle in their prefixes, so sets are joined on prefix shingles, pairs
-pass the length, positional and suffix filters, and what is left is verified once on the full sets.
+that reach the threshold share a shingle in their prefixes, so sets are joined on prefix shingles.
 
 A shingle found in one set only can join nothing: it takes its place in the prefix and is then dropped,
-so a set whose prefix is all its own is never joined. Long posting lists are not paired off: in each
-round one member of a list, its hub, meets the others; members that are already in one component are not
-compared again, and what is left pairs off exactly once that is no more than linear work. No pair that
-could connect two components is left unverified.
+so a set whose prefix is all its own is never joined. A place in the prefix bounds the size of a partner
+(positional filter), so each row of a list carries the sizes that it can still meet; lists are kept by
+classes of size, and a row that no size of another component meets leaves its list before any pair is
+made. Lists of up to `pairwise` rows pair off. In a longer one a few members, its hubs, meet the others;
+twice as many in each round. Pairs within one component are not made any more, so a list of near copies
+is done after a few hubs, and no pair that could connect two components is left out.
+
+A pair made in a round is verified in it and set aside, so it is verified once: first on sketches, the
+counts of both sets in fixed ranges of the hash range, whose lesser counts bound the overlap (suffix
+filter), then on the full sets, which only the survivors fetch.
 
 Defined cases: null or wordless text has an empty set, linked with nothing; a text with fewer words than
 k has its whole sequence as its one shingle. Null identifiers get their row back without a component.
@@ -21,7 +26,6 @@ columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,10 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LongFilter, WordHashes, batches_with, connected_components, materialize, mix64, sequence_key, small_side, window_hashes, words_of
-
-_UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
-_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+from .common import Scratch, connected_components, materialize, sequence_key, small_side
+from .wordscan import binary_column, list_column, mix64, text_slices, window_hashes, words_in
 
 
 @dataclass(frozen=True)
@@ -46,28 +48,33 @@ class JaccardParams:
     small: int = 64
     #: Share of the hash range that is counted for larger sets, as a multiple of 1 - similarity.
     share: float = 2.0
-    #: A list's leftover pairs are made at once when all lists together have at most so many times their rows.
-    linear: int = 8
-    max_hub_rounds: int = 12
+    #: Lists of up to so many rows pair off at once; longer ones go through hubs.
+    pairwise: int = 16
 
     def prefix(self, n: int) -> int:
         return n - (self.num * n + self.den - 1) // self.den + 1
 
 
-def lower_ascii(text: str) -> str:
-    return text.translate(_UPPER) if _NOT_ASCII.search(text) else text.lower()
-
-
-def shingle_set(hashes: WordHashes, text: str | None, k: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    h = hashes.array(words_of(lower_ascii(text or "")))
-    if not len(h):
-        return np.empty(0, np.uint64)
-    return np.unique(window_hashes(h, k) if len(h) >= k else mix64(window_hashes(h, len(h)) + np.uint64(len(h))))
+def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(first row, row behind the last, sorted distinct shingle hashes of each text), slice by slice."""
+    for lo, hi, data, text_at in text_slices(texts):
+        words = words_in(data, text_at, lower=True)
+        h = words.hashes()
+        grams = window_hashes(h, k)
+        ends = words.word_at.tolist()
+        out = []
+        for a, b in zip(ends, ends[1:]):
+            if b - a >= k:
+                out.append(np.unique(grams[a : b - k + 1]))
+            else:
+                out.append(mix64(window_hashes(h[a:b], b - a) + np.uint64(b - a)) if b > a else np.empty(0, np.uint64))
+        yield lo, hi, out
 
 
 #: Kinds of counted shingles, held in a token's two lowest bits: of small sets, of large sets, and uncounted ones.
 LOW, HIGH, REST = 0, 1, 2
+#: Ranges of the hash range that a sketch counts, as a power of two.
+_SKETCH = 7
 
 
 def _tagged(a: np.ndarray, kind: int) -> np.ndarray:
@@ -75,7 +82,7 @@ def _tagged(a: np.ndarray, kind: int) -> np.ndarray:
 
 
 def build_sets(docs: DataFrame, p: JaccardParams, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, key, n_low, n_counted, tokens) per row.
+    """(id, n, key, n_low, n_counted, tokens, sketch) per row.
 
     tokens: all shingles of small sets (LOW); of large sets those in the counted share of the hash range
     (HIGH) and, rarely, the uncounted ones that a prefix still needs (REST). Sets of between small and
@@ -83,186 +90,207 @@ def build_sets(docs: DataFrame, p: JaccardParams, id_col: str, text_col: str) ->
     """
     limit = np.uint64(int(min(1.0, p.share * (1 - p.num / p.den)) * (2**64 - 2**12)))
     top_small = p.small * p.den // p.num
+    names = ["id", "n", "key", "n_low", "n_counted", "tokens", "sketch"]
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for ids, texts in batches_with(["id", "text"], it):
-            n, keys, n_low, n_counted, tokens = [], [], [], [], []
-            for t in texts:
-                s = shingle_set(hashes, t, p.k)
-                n.append(len(s))
-                keys.append(sequence_key(s))
-                parts = [_tagged(s, LOW)] if len(s) <= top_small else []
-                n_low.append(len(s) if parts else 0)
-                cut = 0
-                if len(s) >= p.small:
-                    cut = int(np.searchsorted(s, limit))
-                    parts.append(_tagged(s[:cut], HIGH))
-                    parts.append(_tagged(s[cut : cut + max(0, p.prefix(len(s)) - cut)], REST))
-                n_counted.append(cut)
-                tokens.append(np.concatenate(parts).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(n_low, pa.int32()), pa.array(n_counted, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))], ["id", "n", "key", "n_low", "n_counted", "tokens"])
-
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sets, "id long, n long, key binary, n_low int, n_counted int, tokens array<long>")
-
-
-def _thinned(reps: DataFrame, shared: DataFrame) -> DataFrame:
-    """(token, id): the tokens of each set that other sets may hold too, by a bounded bitmap where it suffices."""
-    maybe = LongFilter.build(shared, "token")
-    if maybe is None:
-        return reps.select(F.explode("tokens").alias("token"), "id")
-    held = reps.sparkSession.sparkContext.broadcast(maybe)
-
-    def thin(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            lists = batch.column(1)
-            flat = lists.flatten().to_numpy()
-            at = np.flatnonzero(held.value.hits(flat))
-            ids = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), pa.array(ids[at])], ["token", "id"])
-
-    return reps.select("id", "tokens").mapInArrow(thin, "token long, id long")
+            for lo, hi, got in shingle_sets(batch.column(1), p.k):
+                n = np.array([len(s) for s in got], np.int64)
+                low = np.where(n <= top_small, n, 0)
+                counted = np.zeros(len(got), np.int32)
+                tokens, sizes = [np.empty(0, np.uint64)], []
+                sketch = np.zeros((len(got), 1 << _SKETCH), np.int32)
+                for i, s in enumerate(got):
+                    parts = [_tagged(s, LOW)] if low[i] else []
+                    if len(s) >= p.small:
+                        cut = counted[i] = np.searchsorted(s, limit)
+                        parts += [_tagged(s[:cut], HIGH), _tagged(s[cut : cut + max(0, p.prefix(len(s)) - cut)], REST)]
+                    tokens += parts
+                    sizes.append(sum(map(len, parts)))
+                    sketch[i] = np.bincount((s >> np.uint64(64 - _SKETCH)).astype(np.int64), minlength=1 << _SKETCH)
+                cols = [batch.column(0).slice(lo, hi - lo), pa.array(n), binary_column([sequence_key(s) for s in got]), pa.array(low.astype(np.int32)), pa.array(counted)]
+                cols += [list_column(np.concatenate(tokens).view(np.int64), np.array(sizes), pa.int64()), list_column(sketch.reshape(-1), np.full(len(got), 1 << _SKETCH), pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols, names)
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(sets, "id long, n long, key binary, n_low int, n_counted int, tokens array<long>, sketch array<int>")
 
 
 def _n_of(kind: int) -> Column:
     return F.size(F.filter("shared", lambda s: s["kind"] == kind))
 
 
-def _prefixes(reps: DataFrame, p: JaccardParams) -> DataFrame:
-    """(token, id, n, pos): prefix shingles that at least two sets hold, pos their 0-based place in the set's order."""
-    df = reps.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    df = materialize(df, "jaccard-shared")
+def prefix_lists(reps: DataFrame, p: JaccardParams, scratch: Scratch) -> DataFrame:
+    """(token, class, own, id, n, pos, most): prefix shingles that at least two sets hold.
+
+    pos: the shingle's 0-based place in the set's order; most: the largest partner that it still allows.
+    class: by size, so that partners are at most one class apart; a row stands in its own class's list (own)
+    and in the next one's.
+    """
+    shared = scratch.table(reps.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "jaccard-shared")
     held = F.struct((F.col("token").bitwiseAND(3)).alias("kind"), F.col("df"), F.col("token"))
     # those of a set come together again: no more than the set itself holds
-    shared = _thinned(reps, df).join(df, "token").groupBy("id").agg(F.array_sort(F.collect_list(held)).alias("shared"))
-    got = shared.join(reps.select("id", "n", "n_low", "n_counted"), "id")
-    room = f"n - ({p.num} * n + {p.den - 1}) div {p.den} + 1"
+    mine = reps.select(F.explode("tokens").alias("token"), "id").join(shared.hint("shuffle_hash"), "token")
+    mine = scratch.table(mine.groupBy("id").agg(F.array_sort(F.collect_list(held)).alias("shared")), "jaccard-mine")
+    got = mine.join(reps.select("id", "n", "n_low", "n_counted"), "id")
     # counted before the rows are made: once for a set, not once for each of its rows
     got = got.select("id", "n", "n_low", "n_counted", "shared", _n_of(LOW).alias("m0"), _n_of(HIGH).alias("m1"))
     rows = got.select("id", "n", "n_low", "n_counted", "m0", "m1", F.posexplode("shared").alias("i", "s"))
     # shingles that only this set holds come first; uncounted ones follow all counted ones, and their least place is a safe bound
     pos = F.when(F.col("s.kind") == LOW, F.col("n_low") - F.col("m0") + F.col("i")).when(F.col("s.kind") == HIGH, F.col("n_counted") - F.col("m1") + F.col("i") - F.col("m0")).otherwise(F.col("n_counted"))
     rows = rows.select(F.col("s.token").alias("token"), "id", "n", pos.cast("long").alias("pos"), F.col("s.kind").alias("kind"))
-    return rows.where((F.col("kind") == REST) | (F.col("pos") < F.expr(room))).select("token", "id", "n", "pos")
+    rows = rows.where((F.col("kind") == REST) | (F.col("pos") < F.expr(f"n - ({p.num} * n + {p.den - 1}) div {p.den} + 1")))
+    rows = rows.withColumn("most", F.expr(f"({p.num + p.den} * (n - pos)) div {p.num} - n")).where(f"{p.den} * most >= {p.num} * n")
+    size = F.floor(F.log("n") / F.lit(float(np.log(p.den / p.num) * (1 + 1e-9)))) if p.num < p.den else F.col("n")
+    both = F.explode(F.array(F.struct(size.cast("long").alias("class"), F.lit(True).alias("own")), F.struct((size + 1).cast("long").alias("class"), F.lit(False).alias("own")))).alias("c")
+    return rows.select("token", both, "id", "n", "pos", "most").select("token", "c.class", "c.own", "id", "n", "pos", "most")
 
 
-def _candidates(left: DataFrame, right: DataFrame, p: JaccardParams, on: list[str], where: str) -> DataFrame:
-    """Pairs (a, b), a < b, that share a prefix shingle and pass the length and positional filters."""
-    a, b = left.alias("x"), right.alias("y")
-    cond = F.expr(" AND ".join([f"x.{c} = y.{c}" for c in on]))
-    need = f"(({p.num} * (x.n + y.n) + {p.num + p.den - 1}) div {p.num + p.den})"
-    pairs = a.join(b, cond).where(where).where(f"{p.den} * least(x.n, y.n) >= {p.num} * greatest(x.n, y.n)").where(f"1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {need}")
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+def _partners(x: str, y: str, y_most: str, p: JaccardParams) -> str:
+    """Rows x and y of one list may be similar: length and positional filter."""
+    return f"({x}.own OR {y}.own) AND {y}.n <= {x}.most AND {x}.n <= {y}.{y_most} AND {p.den} * least({x}.n, {y}.n) >= {p.num} * greatest({x}.n, {y}.n)"
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
-    """Pairs that reach the threshold on their full sets; the suffix filter comes first.
+def live_rows(lists: DataFrame, p: JaccardParams) -> DataFrame:
+    """Rows (with their component c) that a size of another component in their list still meets, and m, how many these are."""
+    cells = lists.groupBy("token", "class", "own", "n").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("most").alias("top"))
+    meets = F.expr(f"x.token = y.token AND x.class = y.class AND (y.c0 <> x.c OR y.c1 <> x.c) AND {_partners('x', 'y', 'top', p)}")
+    return lists.alias("x").join(cells.alias("y"), meets, "left_semi")
 
-    Suffix filter: the sets are cut at fixed pivots of the hash range; the sum over ranges of the smaller
-    count bounds the overlap.
-    """
-    a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"), F.col("sketch").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"), F.col("sketch").alias("sb"))
+
+def _candidates(hubs: DataFrame, lists: DataFrame, p: JaccardParams) -> DataFrame:
+    """Pairs (a, b), a < b, of hubs and other rows of their lists, of two components, that pass the length and positional filters."""
+    meets = F.expr(f"x.token = y.token AND x.class = y.class AND x.c <> y.c AND (NOT x.whole OR x.id < y.id) AND {_partners('x', 'y', 'most', p)}")
+    return hubs.alias("x").join(lists.alias("y"), meets).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def _sketched(pairs: DataFrame, sketches: DataFrame, p: JaccardParams) -> DataFrame:
+    """Pairs whose sketches allow enough overlap."""
+    a = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = sketches.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     bound = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    need = f"{p.num} * (na + nb)"
-    joined = pairs.join(b, "b").join(a, "a").where(F.expr(need) <= (p.num + p.den) * bound)
-    inter = F.size(F.array_intersect("ta", "tb"))
-    return joined.where(F.expr(need) <= (p.num + p.den) * inter).select("a", "b")
+    return pairs.join(b, "b").join(a, "a").where(F.expr(f"{p.num} * (na + nb)") <= (p.num + p.den) * bound).select("a", "b")
+
+
+def _verified(pairs: DataFrame, full: DataFrame, p: JaccardParams) -> DataFrame:
+    """Pairs that reach the threshold on their full sets."""
+    ends = small_side(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    full = full.join(ends, "id", "left_semi")
+    a = full.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    b = full.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    return pairs.join(b, "b").join(a, "a").where(F.expr(f"{p.num} * (na + nb)") <= (p.num + p.den) * F.size(F.array_intersect("ta", "tb"))).select("a", "b")
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, p: JaccardParams, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, tokens, sketch) of the documents that have a candidate."""
+    """(id, n, key, tokens) of the documents named by ids."""
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        pivots = (np.arange(1, 16, dtype=np.uint64) << np.uint64(60)).astype(np.uint64)
-        for ids_, texts in batches_with(["id", "text"], it):
-            got = [shingle_set(hashes, t, p.k) for t in texts]
-            sketch = [np.diff(np.concatenate(([0], np.searchsorted(s, pivots), [len(s)]))).astype(np.int32) for s in got]
-            yield pa.RecordBatch.from_arrays([pa.array(ids_, pa.int64()), pa.array([len(s) for s in got], pa.int64()), pa.array([sequence_key(s) for s in got], pa.binary()), pa.array([s.view(np.int64) for s in got], pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int32()))], ["id", "n", "key", "tokens", "sketch"])
+        for batch in it:
+            for lo, hi, got in shingle_sets(batch.column(1), p.k):
+                n = np.array([len(s) for s in got], np.int64)
+                flat = np.concatenate([np.empty(0, np.uint64), *got]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), binary_column([sequence_key(s) for s in got]), list_column(flat, n, pa.int64())], ["id", "n", "key", "tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    return rows.mapInArrow(sets, "id long, n long, key binary, tokens array<long>, sketch array<int>")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
+    return rows.mapInArrow(sets, "id long, n long, key binary, tokens array<long>")
 
 
 def _repeated(rows: DataFrame) -> bool:
     return not rows.groupBy("id").count().where("count > 1").isEmpty()
 
 
-def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, links): rows (id, n, key); classes (key, rep); links (a, b) between representatives.
+def _links(lists: DataFrame, sketches: DataFrame, full: DataFrame, p: JaccardParams, scratch: Scratch) -> DataFrame:
+    """(a, b): verified pairs that connect whatever similar sets of the lists connect. Adds (a, b) of all pairs that it verified to scratch as jaccard-pairs."""
+    spark = lists.sparkSession
+    links = spark.createDataFrame([], "a long, b long")
+    judged, comp, n_hubs = None, None, 1
+    while True:
+        if comp is None:
+            rows = lists.withColumn("c", F.col("id"))
+        else:
+            rows = lists.join(small_side(comp), "id", "left").select(*lists.columns, F.coalesce("component", "id").alias("c"))
+        rows = scratch.table(live_rows(rows, p), "jaccard-rows")
+        sizes = rows.groupBy("token", "class").agg(F.count(F.lit(1)).alias("m"))
+        sizes = scratch.table(sizes.where("m > 1"), "jaccard-sizes")
+        if sizes.isEmpty():
+            return links
+        rows = rows.join(sizes, ["token", "class"])
+        fields = ["token", "class", "own", "id", "n", "most", "c"]
+        # of a long list the members with the fewest shingles of their own, one for each share of the list
+        best = F.min(F.struct("pos", "id", "own", "n", "most", "c")).alias("h")
+        chosen = rows.where(f"m > {p.pairwise}").groupBy("token", "class", F.expr(f"pmod(xxhash64(id, {n_hubs}), {n_hubs})").alias("share")).agg(best)
+        chosen = scratch.table(chosen.select("token", "class", "h.own", "h.id", "h.n", "h.most", "h.c"), "jaccard-hubs")
+        hubs = rows.where(f"m <= {p.pairwise}").select(*fields, F.lit(True).alias("whole")).union(chosen.select(*fields, F.lit(False)))
+        pairs = _candidates(hubs, rows.select(fields), p)
+        if judged is not None:
+            pairs = pairs.join(judged, ["a", "b"], "left_anti")
+        pairs = scratch.table(pairs, "jaccard-pairs")
+        judged = pairs if judged is None else judged.union(pairs)
+        likely = scratch.table(_sketched(pairs, sketches, p), "jaccard-likely")
+        found = scratch.table(_verified(likely, full, p), "jaccard-links")
+        links = links.union(found)
+        lists = rows.where(f"m > {p.pairwise}").join(chosen.select("token", "class", "id"), ["token", "class", "id"], "left_anti").select(lists.columns)
+        lists = scratch.table(lists, "jaccard-open")
+        if lists.isEmpty():
+            return links
+        comp = connected_components(links)
+        n_hubs *= 2
+        scratch.drop("jaccard-rows", "jaccard-sizes", "jaccard-hubs", "jaccard-likely")
+        scratch.drop("jaccard-open", but_last=True)
+
+
+def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, links): rows (id, n, key); classes (key, src, rep); links (a, b) between representatives.
 
     Links connect every two representatives that a chain of similar sets connects.
     """
-    spark = docs.sparkSession
-    sets = materialize(build_sets(docs, p, id_col, text_col), "jaccard-sets")
+    scratch = scratch or Scratch(docs.sparkSession)
+    sets = scratch.table(build_sets(docs, p, id_col, text_col), "jaccard-sets")
     rows = sets.select("id", "n", "key")
     named = rows.where("n > 0 AND id IS NOT NULL")
     classes = named.groupBy("key").agg(F.min("id").alias("src"), F.max("n").alias("n"))
     # an identifier that several different sets share can't stand for one of them
-    torn = materialize(named.groupBy("id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("id"), "jaccard-torn")
+    torn = scratch.table(named.groupBy("id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("id"), "jaccard-torn")
     mixed = not torn.isEmpty()
     rep = F.when(F.col("torn"), -(1 << 62) - F.expr("pmod(xxhash64(key), 4611686018427387903)")).otherwise(F.col("src")) if mixed else F.col("src")
     if mixed:
         classes = classes.join(torn.select(F.col("id").alias("src"), F.lit(True).alias("torn")), "src", "left").withColumn("torn", F.coalesce("torn", F.lit(False)))
-    classes = materialize(classes.select("key", "src", rep.alias("rep")), "jaccard-classes")
+    classes = scratch.table(classes.select("key", "src", rep.alias("rep")), "jaccard-classes")
     if mixed:
         reps = sets.withColumnRenamed("id", "src").join(classes, ["src", "key"]).drop("src").withColumnRenamed("rep", "id").dropDuplicates(["id"])
     else:
         # copies are fewer than sets: they are taken out, and the sets themselves need not move
-        copies = named.join(classes, "key").where("id <> rep").select("id")
+        copies = scratch.table(named.join(classes, "key").where("id <> rep").select("id"), "jaccard-copies")
         reps = sets.where("n > 0 AND id IS NOT NULL").join(small_side(copies), "id", "left_anti")
         if _repeated(named):
             reps = reps.dropDuplicates(["id"])
-    post = materialize(_prefixes(reps, p), "jaccard-prefixes")
-    # a list of one (its other members dropped it behind their prefix) joins nothing
-    live = post.join(post.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), ["token"], "left_semi")
-    live = materialize(live, "jaccard-lists")
-    wanted = live.select(F.col("id").alias("rep")).distinct().join(classes, "rep")
+    lists = prefix_lists(reps, p, scratch).withColumn("c", F.col("id"))
+    lists = scratch.table(live_rows(lists, p).drop("c"), "jaccard-open")
+    wanted = scratch.table(lists.select(F.col("id").alias("rep")).distinct().join(classes, "rep"), "jaccard-wanted")
+    sketches = scratch.table(reps.join(small_side(wanted.select(F.col("rep").alias("id"))), "id", "left_semi").select("id", "n", "sketch"), "jaccard-sketches")
+    rows = scratch.table(rows, "jaccard-named")
+    scratch.drop("jaccard-sets", "jaccard-shared", "jaccard-mine", "jaccard-copies")
     full = _full_sets(docs, small_side(wanted.select(F.col("src").alias("id")).distinct()), p, id_col, text_col)
     if mixed:
-        full = full.join(wanted.select("key", "rep"), "key").withColumn("id", F.col("rep")).drop("rep").dropDuplicates(["id"])
-    else:
-        full = full.dropDuplicates(["id"])
-    full = materialize(full.drop("key"), "jaccard-full")
-    links = spark.createDataFrame([], "a long, b long")
-    comp = None
-    for _ in range(p.max_hub_rounds):
-        lists = live if comp is None else live.join(comp.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-        if comp is None:
-            lists = lists.withColumn("c", F.col("id"))
-        lists = materialize(lists, "jaccard-round")
-        stat = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("id").alias("hub")).where("c0 < c1")
-        stat = materialize(stat, "jaccard-hubs")
-        work = stat.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2), F.sum("m")).first()
-        if not work[1]:
-            return rows, classes, links
-        open_ = lists.join(stat.select("token", "hub"), ["token"])
-        if work[0] <= p.linear * work[1]:
-            break
-        hubs = open_.where("id = hub").drop("hub")
-        found = materialize(_verify(_candidates(hubs, open_.where("id <> hub").drop("hub"), p, ["token"], "x.c <> y.c"), full, p), "jaccard-links")
-        links = links.union(found)
-        comp = materialize(connected_components(links), "jaccard-components")
-        live = open_.where("id <> hub").select("token", "id", "n", "pos")
-    rest = open_.drop("hub")
-    found = _verify(_candidates(rest, rest, p, ["token"], "x.id < y.id AND x.c <> y.c"), full, p)
-    return rows, classes, links.union(materialize(found, "jaccard-links"))
+        full = full.join(wanted.select("key", "rep"), "key").withColumn("id", F.col("rep")).drop("rep")
+    full = scratch.table(full.dropDuplicates(["id"]).drop("key"), "jaccard-full")
+    return rows, classes, _links(lists, sketches, full, p, scratch)
 
 
 def near_duplicates(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id that links reach, itself included)."""
-    rows, classes, links = similar_sets(docs, p, id_col, text_col)
-    comp = connected_components(links)
-    named = classes.join(comp, classes.rep == comp.id, "left").select("key", F.coalesce("component", "rep").alias("component"))
-    out = rows.join(named, "key", "left").select("id", F.col("n").alias("n_shingles"), "component")
-    if not classes.where("rep <> src").isEmpty():
-        # rows that share an identifier are linked through it, and components are named by real identifiers
-        out = materialize(out, "jaccard-rows")
-        held = out.where("id IS NOT NULL AND component IS NOT NULL")
-        tied = held.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-        joined = connected_components(tied.select("a", "b")).select(F.col("id").alias("component"), F.col("component").alias("c2"))
-        out = out.join(joined, "component", "left").select("id", "n_shingles", F.coalesce("c2", "component").alias("component"))
-        least = out.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
-        out = out.join(least, "component", "left").select("id", "n_shingles", F.col("least").alias("component"))
-    return out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    with Scratch(docs.sparkSession) as scratch:
+        rows, classes, links = similar_sets(docs, p, id_col, text_col, scratch)
+        comp = connected_components(links)
+        named = classes.join(comp, classes.rep == comp.id, "left").select("key", F.coalesce("component", "rep").alias("component"))
+        out = rows.join(named, "key", "left").select("id", F.col("n").alias("n_shingles"), "component")
+        if not classes.where("rep <> src").isEmpty():
+            # rows that share an identifier are linked through it, and components are named by real identifiers
+            out = scratch.table(out, "jaccard-found")
+            held = out.where("id IS NOT NULL AND component IS NOT NULL")
+            tied = held.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+            joined = connected_components(tied.select("a", "b")).select(F.col("id").alias("component"), F.col("component").alias("c2"))
+            out = out.join(joined, "component", "left").select("id", "n_shingles", F.coalesce("c2", "component").alias("component"))
+            least = out.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
+            out = out.join(least, "component", "left").select("id", "n_shingles", F.col("least").alias("component"))
+        return materialize(out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")), "near-duplicates")
