@@ -115,14 +115,12 @@ def brute_substring(rows, k):
     return out
 
 
-@pytest.mark.parametrize(("k", "bitmap"), [(13, True), (13, False), (50, True)])
-def test_substring_dedup_matches_brute_force(spark, k, bitmap, monkeypatch):
-    if not bitmap:
-        monkeypatch.setattr("tidemark.llm.common.LongFilter.MAX_LOG", 1)
+@pytest.mark.parametrize(("k", "segment"), [(13, 32), (13, 3), (50, 32)])
+def test_substring_dedup_matches_brute_force(spark, k, segment):
     texts = S.corpus(seed=k, n=90, vocab=60) + ["z z z z z z z z z z z z z z z z z z z", "z z z z z z z z z z z z z z", None, "", "q"]
     rows = [(i * 3 % 101, t) for i, t in enumerate(texts)]
     df = S.docs(spark, texts, [i for i, _ in rows])
-    got = D.substring_dedup(df, D.SubstringParams(k=k)).select("id", "n_words", "n_removed", "kept_sha256").collect()
+    got = D.substring_dedup(df, D.SubstringParams(k=k, segment=segment)).select("id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(brute_substring(rows, k))
 
 

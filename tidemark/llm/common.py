@@ -223,52 +223,3 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
-
-
-class LongFilter:
-    """A bitmap of a set of 64-bit hashes: no false negatives; its bits are bounded, its false positives harmless.
-
-    Built distributedly: each slice of the hash range becomes one piece of the map.
-    """
-
-    BITS_EACH = 16
-    MAX_LOG = 28
-
-    def __init__(self, log: int, bits: np.ndarray):
-        self.log, self.bits = log, bits
-
-    @classmethod
-    def build(cls, values: DataFrame, column: str) -> LongFilter | None:
-        """None if the set is too large for the bounded map: then the exact join is to be used."""
-        import pyarrow as pa
-
-        n = values.count()
-        log = max(13, int(np.ceil(np.log2(max(1, n) * cls.BITS_EACH))))
-        if log > cls.MAX_LOG:
-            return None
-        piece = max(0, log - 6)
-
-        # hashes that were chosen for being small crowd one end of the range, so they are scrambled first
-        def mixed(it):
-            for batch in it:
-                v = batch.column(0).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(mix64(v.view(np.uint64)).view(np.int64))], ["v"])
-
-        def fill(it):
-            for batch in it:
-                v = np.unique(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - log)).astype(np.int64)
-                for own in np.split(v, np.flatnonzero(np.diff(v >> piece)) + 1) if len(v) else []:
-                    bits = np.zeros(1 << piece, bool)
-                    bits[own & ((1 << piece) - 1)] = True
-                    yield pa.RecordBatch.from_arrays([pa.array([int(own[0]) >> piece], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["slice", "bits"])
-
-        spread = values.select(F.col(column).alias("v")).mapInArrow(mixed, "v long")
-        spread = spread.repartition(16, F.shiftrightunsigned("v", 60)).sortWithinPartitions("v") if n > 100_000 else spread.coalesce(4)
-        out = np.zeros((64, (1 << log) // 512), np.uint8)
-        for r in spread.mapInArrow(fill, "slice int, bits binary").toLocalIterator():
-            out[r["slice"]] |= np.frombuffer(r["bits"], np.uint8)
-        return cls(log, out.reshape(-1))
-
-    def hits(self, v: np.ndarray) -> np.ndarray:
-        i = mix64(v.view(np.uint64)) >> np.uint64(64 - self.log)
-        return (self.bits[i >> np.uint64(3)] >> (np.uint64(7) - (i & np.uint64(7))).astype(np.uint8)) & 1 > 0
