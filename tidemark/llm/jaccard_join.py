@@ -10,9 +10,10 @@ A shingle found in one set only can join nothing: it takes its place in the pref
 so a set whose prefix is all its own is never joined. A place in the prefix bounds the size of a partner
 (positional filter), so each row of a list carries the sizes that it can still meet; lists are kept by
 classes of size, and a row that no size of another component meets leaves its list before any pair is
-made. Lists of up to `pairwise` rows pair off. In a longer one a few members, its hubs, meet the others;
-twice as many in each round. Pairs within one component are not made any more, so a list of near copies
-is done after a few hubs, and no pair that could connect two components is left out.
+made. Where up to `pairwise` rows of a list are outside its largest component, these meet all the others,
+and the list is done. In another one a few members, its hubs, meet the others; four times as many in each
+round. Pairs within one component are not made any more, so a list of near copies is done after a few
+hubs, and no pair that could connect two components is left out.
 
 A pair made in a round is verified in it and set aside, so it is verified once: first on sketches, the
 counts of both sets in fixed ranges of the hash range, whose lesser counts bound the overlap (suffix
@@ -48,7 +49,7 @@ class JaccardParams:
     small: int = 64
     #: Share of the hash range that is counted for larger sets, as a multiple of 1 - similarity.
     share: float = 2.0
-    #: Lists of up to so many rows pair off at once; longer ones go through hubs.
+    #: A list is done at once when so many of its rows or fewer are outside its largest component; others go through hubs.
     pairwise: int = 16
 
     def prefix(self, n: int) -> int:
@@ -160,7 +161,8 @@ def live_rows(lists: DataFrame, p: JaccardParams) -> DataFrame:
 
 def _candidates(hubs: DataFrame, lists: DataFrame, p: JaccardParams) -> DataFrame:
     """Pairs (a, b), a < b, of hubs and other rows of their lists, of two components, that pass the length and positional filters."""
-    meets = F.expr(f"x.token = y.token AND x.class = y.class AND x.c <> y.c AND (NOT x.whole OR x.id < y.id) AND {_partners('x', 'y', 'most', p)}")
+    once = "(x.main IS NULL OR y.c = x.main OR x.id < y.id)"  # where all but the main component are hubs
+    meets = F.expr(f"x.token = y.token AND x.class = y.class AND x.c <> y.c AND {once} AND {_partners('x', 'y', 'most', p)}")
     return hubs.alias("x").join(lists.alias("y"), meets).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
@@ -210,17 +212,19 @@ def _links(lists: DataFrame, sketches: DataFrame, full: DataFrame, p: JaccardPar
         else:
             rows = lists.join(small_side(comp), "id", "left").select(*lists.columns, F.coalesce("component", "id").alias("c"))
         rows = scratch.table(live_rows(rows, p), "jaccard-rows")
-        sizes = rows.groupBy("token", "class").agg(F.count(F.lit(1)).alias("m"))
-        sizes = scratch.table(sizes.where("m > 1"), "jaccard-sizes")
+        # of each list its largest component, and how many rows are outside of it
+        sizes = rows.groupBy("token", "class", "c").agg(F.count(F.lit(1)).alias("m"))
+        sizes = sizes.groupBy("token", "class").agg(F.sum("m").alias("m"), F.max(F.struct("m", "c")).alias("top")).where("top.m < m")
+        sizes = scratch.table(sizes.select("token", "class", (F.col("m") - F.col("top.m")).alias("rest"), F.col("top.c").alias("main")), "jaccard-sizes")
         if sizes.isEmpty():
             return links
         rows = rows.join(sizes, ["token", "class"])
         fields = ["token", "class", "own", "id", "n", "most", "c"]
-        # of a long list the members with the fewest shingles of their own, one for each share of the list
-        best = F.min(F.struct("pos", "id", "own", "n", "most", "c")).alias("h")
-        chosen = rows.where(f"m > {p.pairwise}").groupBy("token", "class", F.expr(f"pmod(xxhash64(id, {n_hubs}), {n_hubs})").alias("share")).agg(best)
+        # of a longer list the members with the fewest shingles of their own, one for each share of the list, the main component's last
+        best = F.min(F.struct(F.col("c") == F.col("main"), "pos", "id", "own", "n", "most", "c")).alias("h")
+        chosen = rows.where(f"rest > {p.pairwise}").groupBy("token", "class", F.expr(f"pmod(xxhash64(id, {n_hubs}), {n_hubs})").alias("share")).agg(best)
         chosen = scratch.table(chosen.select("token", "class", "h.own", "h.id", "h.n", "h.most", "h.c"), "jaccard-hubs")
-        hubs = rows.where(f"m <= {p.pairwise}").select(*fields, F.lit(True).alias("whole")).union(chosen.select(*fields, F.lit(False)))
+        hubs = rows.where(f"rest <= {p.pairwise} AND c <> main").select(*fields, "main").union(chosen.select(*fields, F.lit(None).cast("long")))
         pairs = _candidates(hubs, rows.select(fields), p)
         if judged is not None:
             pairs = pairs.join(judged, ["a", "b"], "left_anti")
@@ -229,12 +233,12 @@ def _links(lists: DataFrame, sketches: DataFrame, full: DataFrame, p: JaccardPar
         likely = scratch.table(_sketched(pairs, sketches, p), "jaccard-likely")
         found = scratch.table(_verified(likely, full, p), "jaccard-links")
         links = links.union(found)
-        lists = rows.where(f"m > {p.pairwise}").join(chosen.select("token", "class", "id"), ["token", "class", "id"], "left_anti").select(lists.columns)
+        lists = rows.where(f"rest > {p.pairwise}").join(chosen.select("token", "class", "id"), ["token", "class", "id"], "left_anti").select(lists.columns)
         lists = scratch.table(lists, "jaccard-open")
         if lists.isEmpty():
             return links
         comp = connected_components(links)
-        n_hubs *= 2
+        n_hubs *= 4
         scratch.drop("jaccard-rows", "jaccard-sizes", "jaccard-hubs", "jaccard-likely")
         scratch.drop("jaccard-open", but_last=True)
 
