@@ -64,11 +64,11 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
+def write_table(df: DataFrame, path: str, *partitions: str) -> DataFrame:
     """Write df to a folder that all executors share and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     with settings(spark, _WRITING):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.partitionBy(*partitions).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,10 +1,12 @@
 """BPE by a distinct-word table: split, encode each distinct word once, join ids back by position; decode by pieces.
 
 Texts are split at white space, where the tokenizer always cuts. A block of documents keeps its distinct
-words and, for each document, their places in that list. The blocks' words are dealt out by hash into
-buckets; a bucket's task sees each of its words from all blocks and encodes every distinct one once.
-Ids return to their block and are joined to the documents by position. Decoding joins ids with the
-id-to-piece table (as many rows as the vocabulary, so it is broadcast) and concatenates.
+words, frequent ones first, and, for each document, their places in that list. The blocks' words are dealt
+out by hash into buckets; a bucket's task sees each of its words from all blocks and encodes every distinct
+one once. Ids return to their block and are joined to the documents by position. Decoding joins ids with
+the id-to-piece table (as many rows as the vocabulary, so it is a broadcast, map-side join) and concatenates.
+Rows of the word table travel packed, a bucket's words of a block in one row: a row each would move more
+than the texts themselves.
 
 A word that every block holds comes to its bucket once for each block, never once for each occurrence.
 Defined cases: a null or blank text has no ids and decodes to the empty string. Null and repeated
@@ -25,11 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_with, materialize, words_of
+from .common import batches_with, materialize, remove_path, scratch_path, words_of, write_table
 from .tokens import default_path
 
 #: Characters after which a block closes.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 40_000_000
 #: Words that a worker encodes at once.
 _AT_ONCE = 50_000
 
@@ -52,29 +54,41 @@ class _Places(dict):
         return n
 
 
+def _packed(values: np.ndarray, zip_: zstandard.ZstdCompressor) -> bytes:
+    """Non-negative integers below 2**32, one plane of bytes after another, zstd: frequent small ones take few bits."""
+    return zip_.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(blob: bytes, unzip: zstandard.ZstdDecompressor) -> np.ndarray:
+    planes = np.frombuffer(unzip.decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
 def split_blocks(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """(block, bucket, words, ids, counts, places): a row per bucket with its words, and one (bucket -1) with the documents.
+    """(block, bucket, words, ids, counts, places, dealt): a row per bucket with its words, and one (bucket -1) with the documents.
 
-    words: the bucket's words of the block, joined by a blank, zstd; places: for each document the places
-    of its words in the list of all the block's words, bucket after bucket; zstd of little-endian int32.
+    words: the bucket's words of the block, frequent ones first, joined by a blank, zstd; places: for each
+    document the places of its words among all the block's words by falling frequency; dealt: the bucket of
+    each of these.
     """
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         zip_ = zstandard.ZstdCompressor(level=3)
-        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary())])
+        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary()), ("dealt", pa.binary())])
 
         def close() -> pa.RecordBatch:
-            words = np.array(list(places), object)
-            hashed = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % buckets for w in words), np.int64, len(words))
-            order = np.argsort(hashed, kind="stable")
-            new = np.empty(len(words), np.int32)
-            new[order] = np.arange(len(words), dtype=np.int32)
-            flat = new[np.concatenate(codes)] if codes else np.empty(0, np.int32)
+            flat = np.concatenate([np.empty(0, np.int32), *codes])
+            by_use = np.argsort(-np.bincount(flat, minlength=len(places)), kind="stable")
+            words = np.array(list(places), object)[by_use]
+            rank = np.empty(len(words), np.int64)
+            rank[by_use] = np.arange(len(words))
+            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % buckets for w in words), np.int64, len(words))
             block = (part << 24) | seq
-            rows = [(block, -1, None, names, counts, zip_.compress(flat.astype("<i4").tobytes()))]
-            for own in np.split(order, np.flatnonzero(np.diff(hashed[order])) + 1) if len(order) else []:
-                rows.append((block, int(hashed[own[0]]), zip_.compress(" ".join(words[own].tolist()).encode("utf-8", "surrogatepass")), None, None, None))
+            rows = [(block, -1, None, names, counts, _packed(rank[flat], zip_), _packed(bucket, zip_))]
+            order = np.argsort(bucket, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+                rows.append((block, int(bucket[own[0]]), zip_.compress(" ".join(words[own].tolist()).encode("utf-8", "surrogatepass")), None, None, None, None))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         places, codes, names, counts, size = _Places(), [], [], [], 0
@@ -93,13 +107,13 @@ def split_blocks(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> D
             yield close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(split, "block long, bucket int, words binary, ids array<long>, counts array<int>, places binary")
+    return rows.mapInArrow(split, "block long, bucket int, words binary, ids array<long>, counts array<int>, places binary, dealt binary")
 
 
 def encode_words(blocks: DataFrame, buckets: int, vocab_path: str) -> DataFrame:
     """(block, bucket, sizes, ids): the ids of each bucket's words; a distinct word is encoded once for all blocks.
 
-    sizes: ids of each word, uint8 or int32 by its leading byte; ids: little-endian uint16; both zstd.
+    sizes: ids of each word; ids: little-endian uint16, or uint32 for a vocabulary beyond its range; both zstd.
     """
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +134,7 @@ def encode_words(blocks: DataFrame, buckets: int, vocab_path: str) -> DataFrame:
                         table[w] = np.array(e.ids, "<u4" if wide else "<u2").tobytes()
                 got = [table[w] for w in words]
                 sizes = np.fromiter(map(len, got), np.int32, len(got)) // (4 if wide else 2)
-                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([k], pa.int32()), pa.array([zip_.compress(sizes.astype("<i4").tobytes())]), pa.array([zip_.compress(b"".join(got))])], ["block", "bucket", "sizes", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([k], pa.int32()), pa.array([_packed(sizes, zip_)]), pa.array([zip_.compress(b"".join(got))])], ["block", "bucket", "sizes", "ids"])
 
     own = blocks.where("bucket >= 0").select("block", "bucket", "words")
     return own.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(encode, "block long, bucket int, sizes binary, ids binary")
@@ -136,10 +150,13 @@ def encode_decode(docs: DataFrame, vocab_path: str | None = None, id_col: str =
     spark = docs.sparkSession
     path = vocab_path or default_path("word_bpe_49k.json")
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = materialize(split_blocks(docs, buckets, id_col, text_col), "bpe-blocks")
-    coded = encode_words(blocks, buckets, path)
+    blocks = split_blocks(docs, buckets, id_col, text_col).withColumn("kind", F.expr("if(bucket < 0, 'texts', 'words')"))
+    at = scratch_path(spark, "bpe-blocks")
+    coded = materialize(encode_words(write_table(blocks, at, "kind").where("kind = 'words'"), buckets, path), "bpe-coded")
+    remove_path(spark, f"{at}/kind=words")
+    blocks = spark.read.schema(blocks.schema).parquet(at).where("kind = 'texts'")
     held = coded.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "sizes", "ids"))).alias("coded"))
-    joined = blocks.where("bucket = -1").select("block", F.col("ids").alias("doc_ids"), "counts", "places").join(held, "block", "left")
+    joined = blocks.select("block", F.col("ids").alias("doc_ids"), "counts", "places", "dealt").join(held, "block", "left")
     pieces = spark.sparkContext.broadcast(piece_table(path))
     wide = len(pieces.value) > 1 << 16
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_values
@@ -147,23 +164,24 @@ def encode_decode(docs: DataFrame, vocab_path: str | None = None, id_col: str =
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         piece = pieces.value
-        for names, counts, places, coded in batches_with(["doc_ids", "counts", "places", "coded"], it):
-            for doc_ids, ns, at, parts in zip(names, counts, places, coded):
-                table, spelled = [], []
+        for names, counts, places, dealt, coded in batches_with(["doc_ids", "counts", "places", "dealt", "coded"], it):
+            for doc_ids, ns, at, dealt_to, parts in zip(names, counts, places, dealt, coded):
+                # bucket after bucket, back to the order by frequency
+                order = np.argsort(_unpacked(dealt_to, unzip), kind="stable").tolist()
+                table, spelled, j = [b""] * len(order), [""] * len(order), 0
                 for c in parts or []:
                     flat = np.frombuffer(unzip.decompress(c["ids"]), "<u4" if wide else "<u2")
                     text = [piece[i] + " " for i in flat.tolist()]
                     raw = flat.astype("<u4").tobytes()
-                    ends = np.cumsum(np.frombuffer(unzip.decompress(c["sizes"]), "<i4")).tolist()
                     s = 0
-                    for e in ends:
-                        table.append(raw[4 * s : 4 * e])
-                        spelled.append("".join(text[s:e]))
-                        s = e
-                codes = np.frombuffer(unzip.decompress(at), "<i4").tolist()
+                    for e in np.cumsum(_unpacked(c["sizes"], unzip)).tolist():
+                        table[order[j]] = raw[4 * s : 4 * e]
+                        spelled[order[j]] = "".join(text[s:e])
+                        s, j = e, j + 1
+                codes = _unpacked(at, unzip)
                 s, out = 0, []
                 for i, n in zip(doc_ids, ns):
-                    own = codes[s : s + n]
+                    own = codes[s : s + n].tolist()
                     s += n
                     ids = b"".join(map(table.__getitem__, own))
                     # the library puts a blank between pieces where its file names no decoder
