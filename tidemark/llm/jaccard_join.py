@@ -10,10 +10,12 @@ A shingle found in one set only can join nothing: it takes its place in the pref
 so a set whose prefix is all its own is never joined. A place in the prefix bounds the size of a partner
 (positional filter), so each row of a list carries the sizes that it can still meet; lists are kept by
 classes of size, and a row that no size of another component meets leaves its list before any pair is
-made. Where up to `pairwise` rows of a list are outside its largest component, these meet all the others,
-and the list is done. In another one a few members, its hubs, meet the others; four times as many in each
-round. Pairs within one component are not made any more, so a list of near copies is done after a few
-hubs, and no pair that could connect two components is left out.
+made. Short lists pair off. Two documents of a longer one are both of the few that stand in long lists;
+these are listed anew with all of their shingles counted among themselves, so that a place in the prefix
+bounds partners as tightly as it can. Where up to `pairwise` rows of a list are outside its largest
+component, these meet all the others, and the list is done. In another one a few members, its hubs, meet
+the others; eight times as many in each round. Pairs within one component are not made any more, so a
+list of near copies is done after a few hubs, and no pair that could connect two components is left out.
 
 A pair made in a round is verified in it and set aside, so it is verified once: first on sketches, the
 counts of both sets in fixed ranges of the hash range, whose lesser counts bound the overlap (suffix
@@ -201,46 +203,56 @@ def _repeated(rows: DataFrame) -> bool:
     return not rows.groupBy("id").count().where("count > 1").isEmpty()
 
 
-def _links(lists: DataFrame, sketches: DataFrame, full: DataFrame, p: JaccardParams, scratch: Scratch) -> DataFrame:
-    """(a, b): verified pairs that connect whatever similar sets of the lists connect. Adds (a, b) of all pairs that it verified to scratch as jaccard-pairs."""
-    spark = lists.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    judged, comp, n_hubs = None, None, 1
-    while True:
-        if comp is None:
-            rows = lists.withColumn("c", F.col("id"))
-        else:
-            rows = lists.join(small_side(comp), "id", "left").select(*lists.columns, F.coalesce("component", "id").alias("c"))
-        rows = scratch.table(live_rows(rows, p), "jaccard-rows")
-        # of each list its largest component, and how many rows are outside of it
-        sizes = rows.groupBy("token", "class", "c").agg(F.count(F.lit(1)).alias("m"))
-        sizes = sizes.groupBy("token", "class").agg(F.sum("m").alias("m"), F.max(F.struct("m", "c")).alias("top")).where("top.m < m")
-        sizes = scratch.table(sizes.select("token", "class", (F.col("m") - F.col("top.m")).alias("rest"), F.col("top.c").alias("main")), "jaccard-sizes")
-        if sizes.isEmpty():
-            return links
-        rows = rows.join(sizes, ["token", "class"])
-        fields = ["token", "class", "own", "id", "n", "most", "c"]
-        # of a longer list the members with the fewest shingles of their own, one for each share of the list, the main component's last
-        best = F.min(F.struct(F.col("c") == F.col("main"), "pos", "id", "own", "n", "most", "c")).alias("h")
-        chosen = rows.where(f"rest > {p.pairwise}").groupBy("token", "class", F.expr(f"pmod(xxhash64(id, {n_hubs}), {n_hubs})").alias("share")).agg(best)
-        chosen = scratch.table(chosen.select("token", "class", "h.own", "h.id", "h.n", "h.most", "h.c"), "jaccard-hubs")
-        hubs = rows.where(f"rest <= {p.pairwise} AND c <> main").select(*fields, "main").union(chosen.select(*fields, F.lit(None).cast("long")))
-        pairs = _candidates(hubs, rows.select(fields), p)
-        if judged is not None:
-            pairs = pairs.join(judged, ["a", "b"], "left_anti")
+class _Found:
+    """Verified links so far, the pairs that were judged, and the components."""
+
+    def __init__(self, sketches: DataFrame, full: DataFrame, p: JaccardParams, scratch: Scratch):
+        self.sketches, self.full, self.p, self.scratch = sketches, full, p, scratch
+        self.links = sketches.sparkSession.createDataFrame([], "a long, b long")
+        self.judged: DataFrame | None = None
+        self.comp: DataFrame | None = None
+
+    def judge(self, pairs: DataFrame) -> None:
+        """Verify the pairs that were not judged before."""
+        scratch = self.scratch
+        if self.judged is not None:
+            pairs = pairs.join(self.judged, ["a", "b"], "left_anti")
         pairs = scratch.table(pairs, "jaccard-pairs")
-        judged = pairs if judged is None else judged.union(pairs)
-        likely = scratch.table(_sketched(pairs, sketches, p), "jaccard-likely")
-        found = scratch.table(_verified(likely, full, p), "jaccard-links")
-        links = links.union(found)
-        lists = rows.where(f"rest > {p.pairwise}").join(chosen.select("token", "class", "id"), ["token", "class", "id"], "left_anti").select(lists.columns)
-        lists = scratch.table(lists, "jaccard-open")
-        if lists.isEmpty():
-            return links
-        comp = connected_components(links)
-        n_hubs *= 4
-        scratch.drop("jaccard-rows", "jaccard-sizes", "jaccard-hubs", "jaccard-likely")
-        scratch.drop("jaccard-open", but_last=True)
+        self.judged = pairs if self.judged is None else self.judged.union(pairs)
+        likely = scratch.table(_sketched(pairs, self.sketches, self.p), "jaccard-likely")
+        self.links = self.links.union(scratch.table(_verified(likely, self.full, self.p), "jaccard-links"))
+        self.comp = connected_components(self.links)
+
+    def through(self, lists: DataFrame) -> None:
+        """Find all links between rows of the lists that are in different components."""
+        p, scratch, n_hubs, columns = self.p, self.scratch, 1, lists.columns
+        while True:
+            if self.comp is None:
+                rows = lists.withColumn("c", F.col("id"))
+            else:
+                rows = lists.join(small_side(self.comp), "id", "left").select(*columns, F.coalesce("component", "id").alias("c"))
+            rows = scratch.table(live_rows(rows, p), "jaccard-rows")
+            # of each list its largest component, and how many rows are outside of it
+            sizes = rows.groupBy("token", "class", "c").agg(F.count(F.lit(1)).alias("m"))
+            sizes = sizes.groupBy("token", "class").agg(F.sum("m").alias("m"), F.max(F.struct("m", "c")).alias("top")).where("top.m < m")
+            sizes = scratch.table(sizes.select("token", "class", (F.col("m") - F.col("top.m")).alias("rest"), F.col("top.c").alias("main")), "jaccard-sizes")
+            if sizes.isEmpty():
+                return
+            rows = rows.join(sizes, ["token", "class"])
+            fields = ["token", "class", "own", "id", "n", "most", "c"]
+            # of a longer list the members with the fewest shingles of their own, one for each share of the list, the main component's last
+            best = F.min(F.struct(F.col("c") == F.col("main"), "pos", "id", "own", "n", "most", "c")).alias("h")
+            chosen = rows.where(f"rest > {p.pairwise}").groupBy("token", "class", F.expr(f"pmod(xxhash64(id, {n_hubs}), {n_hubs})").alias("share")).agg(best)
+            chosen = scratch.table(chosen.select("token", "class", "h.own", "h.id", "h.n", "h.most", "h.c"), "jaccard-hubs")
+            hubs = rows.where(f"rest <= {p.pairwise} AND c <> main").select(*fields, "main").union(chosen.select(*fields, F.lit(None).cast("long")))
+            self.judge(_candidates(hubs, rows.select(fields), p))
+            lists = rows.where(f"rest > {p.pairwise}").join(chosen.select("token", "class", "id"), ["token", "class", "id"], "left_anti").select(columns)
+            lists = scratch.table(lists, "jaccard-open")
+            if lists.isEmpty():
+                return
+            n_hubs *= 8
+            scratch.drop("jaccard-rows", "jaccard-sizes", "jaccard-hubs", "jaccard-likely")
+            scratch.drop("jaccard-open", but_last=True)
 
 
 def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -268,8 +280,7 @@ def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: st
         reps = sets.where("n > 0 AND id IS NOT NULL").join(small_side(copies), "id", "left_anti")
         if _repeated(named):
             reps = reps.dropDuplicates(["id"])
-    lists = prefix_lists(reps, p, scratch).withColumn("c", F.col("id"))
-    lists = scratch.table(live_rows(lists, p).drop("c"), "jaccard-open")
+    lists = scratch.table(live_rows(prefix_lists(reps, p, scratch).withColumn("c", F.col("id")), p).drop("c"), "jaccard-lists")
     wanted = scratch.table(lists.select(F.col("id").alias("rep")).distinct().join(classes, "rep"), "jaccard-wanted")
     sketches = scratch.table(reps.join(small_side(wanted.select(F.col("rep").alias("id"))), "id", "left_semi").select("id", "n", "sketch"), "jaccard-sketches")
     rows = scratch.table(rows, "jaccard-named")
@@ -278,7 +289,16 @@ def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: st
     if mixed:
         full = full.join(wanted.select("key", "rep"), "key").withColumn("id", F.col("rep")).drop("rep")
     full = scratch.table(full.dropDuplicates(["id"]).drop("key"), "jaccard-full")
-    return rows, classes, _links(lists, sketches, full, p, scratch)
+    found = _Found(sketches, full, p, scratch)
+    sizes = scratch.table(lists.groupBy("token", "class").agg(F.count(F.lit(1)).alias("m")).where(f"m > {p.pairwise + 1}").select("token", "class"), "jaccard-long")
+    found.through(lists.join(small_side(sizes), ["token", "class"], "left_anti"))
+    many = scratch.table(lists.join(small_side(sizes), ["token", "class"], "left_semi").select("id").distinct(), "jaccard-many")
+    if not many.isEmpty():
+        # members of long lists: all of their shingles are counted, among themselves
+        again = full.join(small_side(many), "id", "left_semi")
+        again = again.select("id", "n", F.col("n").cast("int").alias("n_low"), F.lit(0).alias("n_counted"), F.transform("tokens", lambda t: t.bitwiseAND(F.lit(-4))).alias("tokens"))
+        found.through(scratch.table(prefix_lists(again, p, scratch), "jaccard-again"))
+    return rows, classes, found.links
 
 
 def near_duplicates(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
