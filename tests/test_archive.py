@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 import json
 
 import pytest
@@ -100,14 +101,16 @@ def test_robots(spark):
 
 
 def test_fetch(spark):
-    t = spark.createDataFrame([("ok", "https://a/1"), ("gone", "https://a/404"), ("down", "https://b/503")], "slug string, url string")
+    t = spark.createDataFrame([("ok", "https://a/1", "static"), ("gone", "https://a/404", None), ("down", "https://b/503", "static"), ("drawn", "https://c/1", "js")], "slug string, url string, render string")
 
     def get(url):
         code = int(url.rsplit("/", 1)[1])
         return (200 if code == 1 else code), {}, "page"
 
     got = {r.slug: (r.status, r.http_status) for r in A.fetch_pages(t, get, min_interval_s=0).collect()}
-    assert got == {"ok": ("ok", 200), "gone": ("http_error", 404), "down": ("http_error", 503)}
+    assert got == {"ok": ("ok", 200), "gone": ("http_error", 404), "down": ("http_error", 503), "drawn": ("skipped_render", None)}
+    later = time.strftime("%a, %d %b %Y %H:%M:%S GMT", time.gmtime(time.time() + 90))
+    assert A._retry_after("7", 1.0) == 7.0 and A._retry_after(None, 1.0) == A._retry_after("soon", 1.0) == 1.0 and 80 < A._retry_after(later, 1.0) <= 90
 
 
 def test_json_ld_blocks(spark):
@@ -135,6 +138,13 @@ def test_daily_stream(spark, tmp_path):
     assert go([day(3, 12.0, 1), day(3, 11.0, 0)], "b") == [("2026-01-01", "first_seen"), ("2026-01-03", "price_change")]
     snaps = spark.read.parquet(str(tmp_path / "snaps"))
     assert A.current_of(snaps).first().content_hash == "h12.0" and A.previous_of(snaps, "2026-01-03").first().content_hash == "h10.0"
+    # a later batch of a day adds to it: another slug, and a second observation that differs from the first
+    other = ("z", *day(3, 5.0)[1:])
+    assert go([other, day(3, 15.0, 7)], "c") == [("2026-01-01", "first_seen"), ("2026-01-03", "first_seen"), ("2026-01-03", "price_change"), ("2026-01-03", "price_change")]
+    state = {r.slug: r.content_hash for r in A.current_of(T.state_of(spark.read.parquet(str(tmp_path / "snaps")))).collect()}
+    assert state == {"s": "h15.0", "z": "h5.0"}
+    moves = spark.read.parquet(str(tmp_path / "changes")).where("kind = 'price_change'").selectExpr("inline(plan_events)").select("from_amount", "to_amount").collect()
+    assert sorted(map(tuple, moves)) == [(10.0, 12.0), (12.0, 15.0)]
 
 
 def test_keyed_state_stream(spark, tmp_path):

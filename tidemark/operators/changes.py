@@ -1,4 +1,4 @@
-"""Snapshot comparison: keyed joins, an ordered cascade of guards, change kinds.
+"""Snapshot comparison: keyed matches, an ordered cascade of guards, change kinds.
 
 A difference of two numbers is a price move only once the two are proven comparable: one currency, one
 unit, one unambiguous name, one slot, one extractor, one locale. Each guard that fails gives the event
@@ -7,11 +7,14 @@ another type instead. Events are flat rows, one per event, ordered by nothing; c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import price as fp
+from ..functions.text import line_diff
 
 PLAN_FIELDS = ("name", "price_raw", "amount", "currency", "period", "features", "slot_prices")
 EVENT = "type string, plan string, price string, amount double, period string, from_amount double, to_amount double, from_raw string, to_raw string, from_currency string, to_currency string, from_value string, to_value string, pct_change double, direction string, slot_before array<double>, slot_after array<double>, added array<string>, removed array<string>"
@@ -28,10 +31,22 @@ def last_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_w")).select(*keys, "_w.*")
 
 
+def _disagree(amount: Column) -> Column:
+    """Aggregate: more than one distinct amount; an unknown amount counts as one."""
+    return (F.min(amount) != F.max(amount)) | ((F.count(amount) > 0) & F.max(amount.isNull()))
+
+
 def ambiguous_names(rows: DataFrame, keys: list[str], amount: str = "amount") -> DataFrame:
     """Keys that carry more than one distinct amount; an unknown amount counts as one."""
-    known = F.count_distinct(F.col(amount)) + F.max(F.col(amount).isNull().cast("int"))
-    return rows.groupBy(*keys).agg(known.alias("n_amounts")).where("n_amounts > 1").select(*keys)
+    return rows.groupBy(*keys).agg(F.coalesce(_disagree(F.col(amount)), F.lit(False)).alias("_a")).where("_a").select(*keys)
+
+
+def adjacent_days(rows: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """(old, new): rows dated by the day of the comparison, old ones one day late; days without their neighbour drop out."""
+    days = rows.select(day).distinct()
+    new = rows.join(days.select(F.date_add(day, 1).alias(day)), day, "left_semi")
+    old = rows.withColumn(day, F.date_add(day, 1)).join(days, day, "left_semi")
+    return old, new
 
 
 def slot_swap(old_amount: Column, new_amount: Column, old_slots: Column, new_slots: Column) -> Column:
@@ -41,19 +56,41 @@ def slot_swap(old_amount: Column, new_amount: Column, old_slots: Column, new_slo
     return many & old_amount.isNotNull() & new_amount.isNotNull() & shown
 
 
+def _paired(old: DataFrame, new: DataFrame, keys: list[str], best: Callable[[str], list[Column]]) -> DataFrame:
+    """Full outer match of two sides on keys in one grouped pass: best(side) gives a side's aggregates, null where it has no row."""
+    both = old.withColumn("_side", F.lit("o")).unionByName(new.withColumn("_side", F.lit("n")))
+    return both.groupBy(*keys).agg(*best("o"), *best("n"))
+
+
 def plan_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join of plausible, first-wins plans on (keys, name key), with an ambiguity flag."""
+    """Full outer match of plausible, first-wins plans on (keys, name key), with an ambiguity flag."""
+    good = lambda rows: rows.where(fp.plausible_name(F.col("name"))).select(*keys, "pos", *PLAN_FIELDS, fp.name_key(F.col("name")).alias("plan_key"))
+
+    def best(side: str) -> list[Column]:
+        own = F.col("_side") == side
+        amount = F.when(own, F.col("amount"))
+        unknown = F.max(own & F.col("amount").isNull())
+        return [F.min_by(F.struct(*PLAN_FIELDS), F.when(own, F.col("pos"))).alias(side), F.coalesce((F.min(amount) != F.max(amount)) | ((F.count(amount) > 0) & unknown), F.lit(False)).alias(f"{side}_ambiguous")]
 
-    def side(rows: DataFrame, tag: str) -> DataFrame:
-        good = rows.where(fp.plausible_name(F.col("name"))).withColumn("plan_key", fp.name_key(F.col("name")))
-        n_amounts = F.count_distinct("amount") + F.max(F.col("amount").isNull().cast("int"))
-        # one pass: the first row of a key and whether its amounts agree
-        one = good.groupBy(*keys, "plan_key").agg(F.min_by(F.struct(*PLAN_FIELDS), "pos").alias(tag), F.min("pos").alias("_p")).drop("_p")
-        amb = good.groupBy(*keys, "plan_key").agg((n_amounts > 1).alias(f"{tag}_ambiguous"))
-        return one.join(amb, [*keys, "plan_key"])
+    pairs = _paired(good(old), good(new), [*keys, "plan_key"], best)
+    return pairs.withColumn("ambiguous", F.col("o_ambiguous") | F.col("n_ambiguous")).drop("o_ambiguous", "n_ambiguous")
 
-    pairs = side(old, "o").join(side(new, "n"), [*keys, "plan_key"], "full_outer")
-    return pairs.withColumn("ambiguous", F.coalesce("o_ambiguous", F.lit(False)) | F.coalesce("n_ambiguous", F.lit(False))).drop("o_ambiguous", "n_ambiguous")
+
+#: Texts shown of added and of removed features.
+SHOWN_FEATURES = 15
+
+
+def only_in(a: Column, b: Column, most: int | None = None) -> Column:
+    """Distinct elements of a that b lacks, sorted; the first `most` where given. Null arrays are empty."""
+    empty = F.expr("cast(array() as array<string>)")
+    out = F.array_sort(F.array_except(F.coalesce(a, empty), F.coalesce(b, empty)))
+    return out if most is None else F.slice(out, 1, most)
+
+
+def same_numbers(a: Column, b: Column) -> Column:
+    """Two arrays hold the same known numbers equally often, in whatever order."""
+    known = lambda x: F.array_sort(F.filter(x, lambda v: v.isNotNull()))
+    return known(a) == known(b)
 
 
 def plan_event_type(ambiguous: Column) -> Column:
@@ -104,9 +141,7 @@ def plan_events(pairs: DataFrame, keys: list[str]) -> DataFrame:
         F.lit(None).cast("array<string>").alias("added"),
         F.lit(None).cast("array<string>").alias("removed"),
     )
-    empty = F.expr("cast(array() as array<string>)")
-    of, nf = F.coalesce(o["features"], empty), F.coalesce(n["features"], empty)
-    added, removed = F.slice(F.array_sort(F.array_except(nf, of)), 1, 25), F.slice(F.array_sort(F.array_except(of, nf)), 1, 25)
+    added, removed = (only_in(x["features"], y["features"], SHOWN_FEATURES) for x, y in ((n, o), (o, n)))
     features = pairs.where(both).select(*keys, F.lit("features_changed").alias("type"), n["name"].alias("plan"), added.alias("added"), removed.alias("removed")).where("size(added) + size(removed) > 0")
     return cascade.unionByName(features, allowMissingColumns=True)
 
@@ -128,16 +163,16 @@ def locale_shift(old_hints: Column, new_hints: Column) -> Column:
 
 
 def model_events(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Model rows (keys, pos, key, model, prices map, unit) joined on key; later rows of a key win.
+    """Model rows (keys, pos, key, model, prices map, unit) matched on key; later rows of a key win.
 
     Only labels that both sides have are compared; if the multiset of a row's numbers is the same, the
     columns were renamed and nothing moved.
     """
     fields = ["model", "prices", "unit"]
-    side = lambda rows, tag: rows.groupBy(*keys, "key").agg(F.max_by(F.struct(*fields), "pos").alias(tag))
-    pairs = side(old, "o").join(side(new, "n"), [*keys, "key"], "full_outer")
+    best = lambda side: [F.max_by(F.struct(*fields), F.when(F.col("_side") == side, F.col("pos"))).alias(side)]
+    pairs = _paired(*(rows.select(*keys, "key", "pos", *fields) for rows in (old, new)), [*keys, "key"], best)
     o, n = F.col("o"), F.col("n")
-    numbers = lambda m: F.array_sort(F.filter(F.transform(F.map_values(m), lambda v: v["amount"]), lambda x: x.isNotNull()))
+    numbers = lambda m: F.transform(F.map_values(m), lambda v: v["amount"])
     labels = F.array_sort(F.array_intersect(F.map_keys(o["prices"]), F.map_keys(n["prices"])))
     # try_element_at, not lambda capture: labels are known to be on both sides
     changes = F.transform(
@@ -152,7 +187,7 @@ def model_events(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     )
     changes = F.filter(changes, lambda c: ~c["from"]["amount"].eqNullSafe(c["to"]["amount"]))
     typed = pairs.withColumn("changes", F.when(o.isNotNull() & n.isNotNull(), changes))
-    kind = F.when(o.isNull(), "model_added").when(n.isNull(), "model_removed").when(F.size("changes") > 0, F.when(numbers(o["prices"]) == numbers(n["prices"]), "model_price_relabeled").otherwise("model_price_changed"))
+    kind = F.when(o.isNull(), "model_added").when(n.isNull(), "model_removed").when(F.size("changes") > 0, F.when(same_numbers(numbers(o["prices"]), numbers(n["prices"])), "model_price_relabeled").otherwise("model_price_changed"))
     return typed.withColumn("type", kind).where("type IS NOT NULL").select(*keys, "type", F.coalesce(n["model"], o["model"]).alias("model"), n["unit"].alias("unit"), F.when(F.col("changes").isNull(), F.coalesce(n["prices"], o["prices"])).alias("prices"), "changes")
 
 
@@ -227,7 +262,6 @@ def compare_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = page.join(pl, "slug", "left").join(ml, "slug", "left")
     kind = change_kind(F.col("old_missing"), F.lit(False), F.col("parser_differs"), z("p_moves") + z("m_moves"), z("p_cat") + z("m_cat"), z("p_all"))
-    lines = lambda c: F.filter(F.split(F.coalesce(F.col(c), F.lit("")), "\n"), lambda x: x != "")
-    added, removed = F.array_except(lines("n_text"), lines("o_text")), F.array_except(lines("o_text"), lines("n_text"))
-    diff = F.struct(F.size(added).alias("lines_added"), F.size(removed).alias("lines_removed"), F.slice(added, 1, 60).alias("sample_added"), F.slice(removed, 1, 60).alias("sample_removed"))
+    old_text = F.when(F.col("old_missing"), "").otherwise(F.col("o_text"))
+    diff = line_diff(old_text, F.when(F.col("old_missing"), "").otherwise(F.col("n_text")))
     return out.select("slug", kind.alias("kind"), "plan_events", "model_events", F.when(~F.col("old_missing"), diff).alias("text_diff"), F.col("o_content_hash").alias("content_hash_before"), F.col("n_content_hash").alias("content_hash_after"), F.col("n_extractor").alias("extractor"), F.col("o_parser_version").alias("parser_version_from"), F.col("n_parser_version").alias("parser_version_to"))

@@ -82,11 +82,11 @@ def read_current(spark: SparkSession, json_path: str, text_path: str | None = No
     return rec.join(texts, "slug", "left")
 
 
-def current_of(snapshots: DataFrame, until: str | None = None) -> DataFrame:
+def current_of(snapshots: DataFrame, until: str | None = None, order: tuple[str, ...] = ("obs_date",)) -> DataFrame:
     """The latest snapshot of each slug: state as a view over the dated table."""
     rows = snapshots.where(F.col("obs_date") <= F.lit(until).cast("date")) if until else snapshots
     rest = [c for c in rows.columns if c != "slug"]
-    return rows.groupBy("slug").agg(F.max_by(F.struct(*rest), "obs_date").alias("_s")).select("slug", "_s.*")
+    return rows.groupBy("slug").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_s")).select("slug", "_s.*")
 
 
 def previous_of(snapshots: DataFrame, date: str) -> DataFrame:
@@ -149,11 +149,46 @@ def allowed_by_robots(urls: DataFrame, robots: DataFrame, agent: str, url_col: s
     return joined.select(*urls.columns, *[c for c in ("host", "http_status", "body") if c not in urls.columns]).mapInPandas(judge, schema)
 
 
+def _retry_after(value: str | None, otherwise: float) -> float:
+    """Seconds that a Retry-After header names, as a number or as a date."""
+    from datetime import datetime, timezone
+    from email.utils import parsedate_to_datetime
+
+    try:
+        return max(0.0, float(value))
+    except (TypeError, ValueError):
+        pass
+    try:
+        return max(0.0, (parsedate_to_datetime(value) - datetime.now(timezone.utc)).total_seconds())
+    except (TypeError, ValueError):
+        return otherwise
+
+
+def http_get(agent: str, timeout_s: float = 30.0, max_bytes: int = 6 * 1024 * 1024):
+    """get for fetch_pages: follows redirects, reads one byte more than max_bytes at most, decodes by the declared charset."""
+
+    def get(url: str) -> tuple[int, dict, str]:
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        try:
+            got = urlopen(Request(url, headers={"User-Agent": agent}), timeout=timeout_s)
+        except HTTPError as e:
+            got = e
+        with got:
+            body = got.read(max_bytes + 1)
+            return got.status, dict(got.headers), body.decode(got.headers.get_content_charset() or "utf-8", "replace")
+
+    return get
+
+
 def fetch_pages(targets: DataFrame, get, min_interval_s: float = 6.0, max_attempts: int = 3, max_bytes: int = 6 * 1024 * 1024) -> DataFrame:
     """Fetch targets politely: a host's pages meet in one task and are fetched one after another.
 
-    get(url) -> (http_status, headers, body) is injected, so the network stays outside the engine. Network
-    errors and 500, 502, 503 and 504 are tried again with growing pauses; other errors are final.
+    get(url) -> (http_status, headers, body) is injected (http_get makes one), so the network stays outside the
+    engine. A column crawl_delay (allowed_by_robots gives it) lengthens a host's pauses. Network errors and 500,
+    502, 503 and 504 are tried again with growing pauses; other errors are final. Targets whose `render` is
+    `js` need a browser, which this engine has none of: their status is skipped_render.
     """
     from ..operators.runs import by_host
 
@@ -165,11 +200,14 @@ def fetch_pages(targets: DataFrame, get, min_interval_s: float = 6.0, max_attemp
         last: dict[str, float] = {}
         for pdf in it:
             rows = []
-            for slug, url, h in zip(pdf["slug"], pdf["url"], pdf["host"]):
+            for slug, url, h, render, delay in zip(pdf["slug"], pdf["url"], pdf["host"], pdf["render"], pdf["crawl_delay"].fillna(0.0)):
                 began = time.monotonic()
                 status, code, body = "network_error", None, None
+                if render == "js":
+                    rows.append((slug, url, "skipped_render", None, 0, None))
+                    continue
                 for attempt in range(1, max_attempts + 1):
-                    wait = last.get(h, -1e9) + min_interval_s - time.monotonic()
+                    wait = last.get(h, -1e9) + max(min_interval_s, delay) - time.monotonic()
                     if wait > 0:
                         time.sleep(wait)
                     last[h] = time.monotonic()
@@ -182,7 +220,7 @@ def fetch_pages(targets: DataFrame, get, min_interval_s: float = 6.0, max_attemp
                         status = "ok" if code < 400 else "http_error"
                         if code not in (500, 502, 503, 504):
                             break
-                        pause = min(120.0, float((headers or {}).get("Retry-After") or pause))
+                        pause = min(120.0, _retry_after((headers or {}).get("Retry-After"), pause))
                     if attempt < max_attempts:
                         time.sleep(pause)
                 if status == "ok" and body is not None and len(body.encode("utf-8", "ignore")) > max_bytes:
@@ -190,4 +228,6 @@ def fetch_pages(targets: DataFrame, get, min_interval_s: float = 6.0, max_attemp
                 rows.append((slug, url, status, code, int((time.monotonic() - began) * 1000), body if status == "ok" else None))
             yield pd.DataFrame(rows, columns=["slug", "url", "status", "http_status", "elapsed_ms", "html"]).astype({"http_status": "Int64"})
 
-    return by_host(targets).select("slug", "url", "host").mapInPandas(fetch, schema)
+    missing = {"crawl_delay": F.lit(None).cast("double"), "render": F.lit("static")}
+    targets = targets.withColumns({c: x for c, x in missing.items() if c not in targets.columns})
+    return by_host(targets).select("slug", "url", "host", "render", "crawl_delay").mapInPandas(fetch, schema)

@@ -19,9 +19,9 @@ def append_by_date(rows: DataFrame, path: str, date: str = "date") -> None:
     rows.write.mode("append").partitionBy(date).parquet(path)
 
 
-def upsert_day(rows: DataFrame, path: str, date: str = "date") -> None:
-    """Replace the partitions of the dates in rows, leave the others: a day can be run again."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+def upsert_day(rows: DataFrame, path: str, *by: str) -> None:
+    """Replace the partitions of the dates (or of whatever is named) in rows, leave the others: a day can be run again."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*(by or ("date",))).parquet(path)
 
 
 def save_run_log(old: DataFrame, new: DataFrame, path: str) -> None:

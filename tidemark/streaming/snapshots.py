@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import compare_snapshots
 from ..sources.archive import current_of
-from ..sources.sinks import append_by_date, upsert_day
+from ..sources.sinks import upsert_day
 
 
 def latest_per_day(rows: DataFrame) -> DataFrame:
@@ -20,31 +21,40 @@ def latest_per_day(rows: DataFrame) -> DataFrame:
 
 
 def process_day(snapshots: DataFrame | None, batch: DataFrame, date: str) -> DataFrame:
-    """Changes of one day's batch against the state before it."""
+    """Changes of one day's batch against the state before it, the earlier observations of that day included."""
     day = latest_per_day(batch.where(F.col("obs_date") == F.lit(date).cast("date")))
-    before = current_of(snapshots.where(F.col("obs_date") < F.lit(date).cast("date"))) if snapshots is not None else day.limit(0)
-    return compare_snapshots(before, day).withColumn("date", F.lit(date).cast("date"))
+    before = current_of(snapshots.where(F.col("obs_date") <= F.lit(date).cast("date")), order=("obs_date", "observed_at")) if snapshots is not None else day.limit(0)
+    seen = day.select("slug", F.col("observed_at").alias("observed_at"))
+    return compare_snapshots(before, day).join(seen, "slug").withColumn("date", F.lit(date).cast("date"))
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
 def run_stream(observations: DataFrame, snapshot_path: str, change_path: str, checkpoint: str, available_now: bool = True):
-    """Each micro-batch is compared day by day with the snapshot table, then both tables are written.
+    """Each micro-batch is compared day by day with the state before it; observations and changes are then appended.
 
-    A day's partitions are replaced as a whole, so a batch that runs again leaves the same tables.
+    Both tables are logs by day and batch: a later batch of a day adds to it (state_of gives the newest
+    observation, the change log keeps every change), and a batch that runs again replaces only what it wrote.
     """
 
-    def batch(rows: DataFrame, _: int) -> None:
+    def batch(rows: DataFrame, n: int) -> None:
         spark = rows.sparkSession
         rows = rows.persist()
         try:
             for (day,) in sorted(rows.select(F.date_format("obs_date", "yyyy-MM-dd")).distinct().collect()):  # days of a batch
-                try:
-                    snaps = spark.read.parquet(snapshot_path)
-                except Exception as e:
-                    if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                        raise
-                    snaps = None
-                upsert_day(process_day(snaps, rows, day), change_path)
-                upsert_day(latest_per_day(rows.where(F.col("obs_date") == F.lit(day).cast("date"))), snapshot_path, "obs_date")
+                at = F.lit(day).cast("date")
+                snaps = read_or_none(spark, snapshot_path)
+                if snaps is not None:  # this batch's own earlier days count, what an interrupted run left of this day does not
+                    snaps = snaps.where((F.col("batch") < n) | ((F.col("batch") == n) & (F.col("obs_date") < at))).drop("batch")
+                upsert_day(process_day(snaps, rows, day).withColumn("batch", F.lit(n)), change_path, "date", "batch")
+                upsert_day(latest_per_day(rows.where(F.col("obs_date") == at)).withColumn("batch", F.lit(n)), snapshot_path, "obs_date", "batch")
         finally:
             rows.unpersist()
 
@@ -52,6 +62,11 @@ def run_stream(observations: DataFrame, snapshot_path: str, change_path: str, ch
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def state_of(snapshots: DataFrame) -> DataFrame:
+    """The newest observation of each slug and day of a table that run_stream wrote."""
+    return latest_per_day(snapshots.drop("batch"))
+
+
 def last_value_moves(observations: DataFrame, key: str, time: str, value: str) -> DataFrame:
     """Arbitrary keyed state without expiry: each new value of a key beside the key's previous one.
 
