@@ -161,7 +161,7 @@ def settle_ms(c: Column) -> Column:
 
 
 def readable_size(c: Column) -> Column:
-    kib, mib = c / 1024.0, c / 1048576.0
+    kib, mib = F.bround(c / 1024.0, 1), F.bround(c / 1048576.0, 1)
     return F.when(c < 1024, F.concat(c.cast("string"), F.lit(" B"))).when(c < 1048576, F.concat(F.format_string("%.1f", kib), F.lit(" KiB"))).otherwise(F.concat(F.format_string("%.1f", mib), F.lit(" MiB")))
 
 

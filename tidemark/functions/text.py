@@ -35,8 +35,8 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column) -> Column:
-    """NFKC; plain ASCII never leaves the JVM's fast path semantics, and is returned as it is."""
-    return _nfkc(c)
+    """NFKC; ASCII is its own normal form, so only other texts go to Python."""
+    return F.coalesce(_nfkc(F.when(c.rlike("[^\\x00-\\x7F]"), c)), c)
 
 
 def tidy_lines(c: Column) -> Column:

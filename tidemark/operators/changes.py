@@ -62,6 +62,14 @@ def _paired(old: DataFrame, new: DataFrame, keys: list[str], best: Callable[[str
     return both.groupBy(*keys).agg(*best("o"), *best("n"))
 
 
+def value_status(old: DataFrame, new: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, status): added, removed, changed or same, for every key of either side; one row per key and side."""
+    best = lambda side: [F.max(F.when(F.col("_side") == side, F.col(value))).alias(side), F.max(F.col("_side") == side).alias(f"has_{side}")]
+    pairs = _paired(old.select(*keys, value), new.select(*keys, value), keys, best)
+    status = F.when(~F.col("has_o"), "added").when(~F.col("has_n"), "removed").when(~F.col("o").eqNullSafe(F.col("n")), "changed").otherwise("same")
+    return pairs.select(*keys, status.alias("status"))
+
+
 def plan_pairs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer match of plausible, first-wins plans on (keys, name key), with an ambiguity flag."""
     good = lambda rows: rows.where(fp.plausible_name(F.col("name"))).select(*keys, "pos", *PLAN_FIELDS, fp.name_key(F.col("name")).alias("plan_key"))
@@ -198,9 +206,6 @@ def fingerprint(plans: Column, models: Column) -> Column:
     return F.sha2(F.to_json(F.struct(p.alias("plans"), m.alias("models"))), 256)
 
 
-PLAN_LIKE = ("plan_added", "plan_removed", "model_added", "model_removed")
-
-
 def change_kind(old_missing: Column, same_content: Column, parser_differs: Column, n_moves: Column, n_catalog: Column, n_plan: Column) -> Column:
     """Kind of a page's change from the counts of its events; null if nothing changed."""
     return (

@@ -162,3 +162,55 @@ def latest_prices(current: DataFrame) -> DataFrame:
 
 def tools_by_category(targets: DataFrame) -> DataFrame:
     return targets.groupBy("category").agg(F.count(F.lit(1)).alias("n_tools"), F.array_sort(F.collect_list("name")).alias("tools"))
+
+
+# --- orders and attachments ----------------------------------------------------------------------------
+def in_report_order(rows: DataFrame) -> DataFrame:
+    """Recent and monthly rows: newest first, then by vendor downwards; ties as the log has them."""
+    return rows.orderBy(F.desc("date"), F.desc("vendor"), "seq")
+
+
+def corrections_in_order(corrections: DataFrame) -> DataFrame:
+    return corrections.orderBy("date", "slug")
+
+
+def with_history(targets: DataFrame, rows: DataFrame) -> DataFrame:
+    """Each target with its moves, newest first; an empty array where it has none. A page's history is bounded by its days."""
+    item = F.struct("date", "item", "seq", *[c for c in rows.columns if c not in ("date", "item", "seq", "slug")])
+    got = rows.groupBy("slug").agg(F.sort_array(F.collect_list(item), asc=False).alias("history"))
+    out = targets.join(got, "slug", "left")
+    return out.withColumn("history", F.when(F.col("history").isNull(), F.array().cast(got.schema["history"].dataType)).otherwise(F.col("history")))
+
+
+def month_pages(rows: DataFrame, corrections: DataFrame, date: str = "date") -> DataFrame:
+    """Moves of each month beside the corrections of that month."""
+    moved = rows.groupBy(month_of(F.col(date)).alias("month")).agg(F.count(F.lit(1)).alias("n_moves"))
+    taken = corrections.groupBy(month_of(F.col("date")).alias("month")).agg(F.count(F.lit(1)).alias("n_corrections"))
+    return moved.join(taken, "month", "left").withColumn("n_corrections", F.coalesce("n_corrections", F.lit(0)))
+
+
+def is_hourly(period: Column) -> Column:
+    """Hourly rates stand apart; an unknown period is not hourly."""
+    return F.coalesce(period, F.lit("")) == "hour"
+
+
+# --- totals and gates ----------------------------------------------------------------------------------
+def total_moves(changes: DataFrame, corrections: DataFrame) -> DataFrame:
+    """All numbers moved by the changes that count."""
+    n = moved_numbers(F.col("plan_events"), F.col("model_events"))
+    return counted(changes, corrections).agg(F.coalesce(F.sum(n), F.lit(0)).alias("total_moves"))
+
+
+def dropped_counts(changes: DataFrame, corrections: DataFrame) -> DataFrame:
+    """How many changes count, were retracted, or are reparses; a retracted reparse is a reparse."""
+    gone = correction_keys(corrections).where("kind = 'price_change'").select("date", "slug", F.lit(True).alias("gone"))
+    marked = changes.join(gone, ["date", "slug"], "left")
+    reparsed = F.coalesce(F.col("kind") == "parser_upgrade", F.lit(False))
+    out = F.coalesce("gone", F.lit(False))
+    return marked.agg(F.count_if(~reparsed & ~out).alias("counted"), F.count_if(~reparsed & out).alias("retracted"), F.count_if(reparsed).alias("reparsed"))
+
+
+def gate_verdict(total: Column, days: Column, threshold: int, horizon: int = 90) -> Column:
+    """Whether a total, carried on to the horizon, reaches the threshold; unknown without days."""
+    reach = projection(total, days, horizon)
+    return F.when(days > 0, F.when(reach >= threshold, "met").otherwise("not met")).otherwise("unknown")

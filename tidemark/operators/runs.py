@@ -111,3 +111,13 @@ def validator_counts(rows: DataFrame) -> DataFrame:
 def by_host(targets: DataFrame, url: str = "url") -> DataFrame:
     """Targets dealt out so that a host's pages meet in one task, where they are fetched one after another."""
     return targets.withColumn("host", host(F.col(url))).repartition("host")
+def run_lists(entries: DataFrame) -> DataFrame:
+    """Entries that need a look, each with every reason that holds: failed, weak (low or no confidence), thin, reparsed."""
+    rules = {
+        "failed": F.col("status") != "ok",
+        "weak": (F.col("status") == "ok") & F.col("confidence").isin("low", "none"),
+        "thin": F.coalesce("thin", F.lit(False)),
+        "reparsed": F.col("change_kind") == "parser_upgrade",
+    }
+    reason = F.explode(F.filter(F.array(*[F.when(F.coalesce(test, F.lit(False)), name) for name, test in rules.items()]), lambda x: x.isNotNull()))
+    return entries.select("date", "slug", reason.alias("reason"))

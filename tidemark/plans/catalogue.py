@@ -2,10 +2,8 @@
 
 The driver's tables stand in for the engine's: `events` is an observation log (page := user_id, item :=
 event_type, amount := value), `part` a catalogue, `pages` raw HTML, `orders` a change log, `labels` a
-list of overlays. Every query reads its whole tables, but for the seven that compare two snapshots
-(snapshot_diff_full_outer, event_cascade_guards, change_kind_by_page, relabelled_events,
-model_event_cascade, features_set_diff, multiset_equal): these, as their SQL, compare the events of
-2024-01-10 and 2024-01-11 alone.
+list of overlays. Every query reads its whole tables; those that compare snapshots compare every day
+with the day before it.
 """
 
 from __future__ import annotations
@@ -91,24 +89,26 @@ def asof_previous_click(spark, sf_dir):
     return ch.asof_previous(left, right, ["user_id"], "ts", ["value"]).select("event_id", "prev_value")
 
 
-@query("""WITH s AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(floor(value / 100), ts) AS a FROM events GROUP BY ALL),
-o AS (SELECT * FROM s WHERE day = DATE '2024-01-10'), n AS (SELECT * FROM s WHERE day = DATE '2024-01-11')
-SELECT coalesce(o.user_id, n.user_id) AS user_id, coalesce(o.event_type, n.event_type) AS event_type,
-  CASE WHEN o.user_id IS NULL THEN 'added' WHEN n.user_id IS NULL THEN 'removed' WHEN o.a <> n.a THEN 'changed' ELSE 'same' END AS status
-FROM o FULL JOIN n ON o.user_id = n.user_id AND o.event_type = n.event_type""")
+#: Of both sides, days without their neighbour drop out.
+_ADJ = "o AS (SELECT * REPLACE (day + 1 AS day) FROM {0} WHERE day + 1 IN (SELECT day FROM {0})), n AS (SELECT * FROM {0} WHERE day - 1 IN (SELECT day FROM {0}))"
+
+
+@query(f"""WITH s AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(floor(value / 100), ts) AS a FROM events GROUP BY ALL), {_ADJ.format("s")}
+SELECT day, user_id, event_type, CASE WHEN o.a IS NULL THEN 'added' WHEN n.a IS NULL THEN 'removed' WHEN o.a <> n.a THEN 'changed' ELSE 'same' END AS status
+FROM o FULL JOIN n USING (day, user_id, event_type)""", dates=("day",))
 def snapshot_diff_full_outer(spark, sf_dir):
     e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    side = lambda d, c: e.where(F.col("day") == F.lit(d).cast("date")).groupBy("user_id", "event_type").agg(F.max_by(F.floor(F.col("value") / 100), "ts").alias(c))
-    both = side("2024-01-10", "o").join(side("2024-01-11", "n"), ["user_id", "event_type"], "full_outer")
-    return both.select("user_id", "event_type", F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed").otherwise("same").alias("status"))
+    old, new = ch.adjacent_days(e.groupBy("day", "user_id", "event_type").agg(F.max_by(F.floor(F.col("value") / 100), "ts").alias("a")), "day")
+    return ch.value_status(old, new, ["day", "user_id", "event_type"], "a")
 
 
-def _plan_rows(spark, sf_dir, day: str) -> DataFrame:
-    """Observations of a day as plan rows: currency, unit and slots are made from the properties."""
-    e = _t(spark, sf_dir, "events").where(F.to_date("ts") == F.lit(day).cast("date"))
+def _plan_rows(spark, sf_dir) -> DataFrame:
+    """Observations as plan rows of a day: currency, unit and slots are made from the properties."""
+    e = _t(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     amount = F.expr("nullif(floor(value / 40), 0)").cast("double")
     return e.select(
+        F.to_date("ts").alias("day"),
         F.col("user_id").alias("slug"),
         F.col("event_id").alias("pos"),
         F.col("event_type").alias("name"),
@@ -127,11 +127,11 @@ _PLAN_SQL = """WITH e AS (
 ), r AS (
   SELECT *, CASE WHEN k % 5 < 3 THEN 'USD' WHEN k % 5 = 3 THEN 'EUR' END AS currency, CASE WHEN k % 7 < 4 THEN 'month' WHEN k % 7 = 4 THEN 'year' END AS period,
     row_number() OVER (PARTITION BY slug, name, day ORDER BY pos) AS rn, count(DISTINCT amount) OVER (PARTITION BY slug, name, day) + max((amount IS NULL)::INT) OVER (PARTITION BY slug, name, day) > 1 AS amb
-  FROM e WHERE day IN (DATE '2024-01-10', DATE '2024-01-11')
-), j AS (
-  SELECT coalesce(o.slug, n.slug) AS slug, coalesce(o.name, n.name) AS plan, o.slug AS os, n.slug AS ns, o.amount AS oa, n.amount AS na, o.currency AS oc, n.currency AS nc,
+  FROM e
+), f AS (SELECT * FROM r WHERE rn = 1), """ + _ADJ.format("f") + """, j AS (
+  SELECT coalesce(o.day, n.day) AS day, coalesce(o.slug, n.slug) AS slug, coalesce(o.name, n.name) AS plan, o.slug AS os, n.slug AS ns, o.amount AS oa, n.amount AS na, o.currency AS oc, n.currency AS nc,
     o.period AS op, n.period AS np, coalesce(o.amb, false) OR coalesce(n.amb, false) AS amb, o.k AS ok, n.k AS nk, o.other AS oo, n.other AS no
-  FROM (SELECT * FROM r WHERE rn = 1 AND day = DATE '2024-01-10') o FULL JOIN (SELECT * FROM r WHERE rn = 1 AND day = DATE '2024-01-11') n ON o.slug = n.slug AND o.name = n.name
+  FROM o FULL JOIN n ON o.day = n.day AND o.slug = n.slug AND o.name = n.name
 ), t AS (
   SELECT *, CASE WHEN os IS NULL THEN 'plan_added' WHEN ns IS NULL THEN 'plan_removed' WHEN oc <> nc THEN 'currency_changed' WHEN op <> np THEN 'period_changed'
     WHEN oa IS DISTINCT FROM na AND amb THEN 'plan_name_ambiguous'
@@ -141,53 +141,77 @@ _PLAN_SQL = """WITH e AS (
 )"""
 
 
-@query(f"""{_PLAN_SQL} SELECT slug, type, plan, CASE WHEN type = 'price_changed' AND oa > 0 THEN round((na - oa) / oa * 100, 2) END AS pct_change,
+@query(f"""{_PLAN_SQL} SELECT day, slug, type, plan, CASE WHEN type = 'price_changed' AND oa > 0 THEN round((na - oa) / oa * 100, 2) END AS pct_change,
   CASE WHEN type = 'price_changed' THEN CASE WHEN na > oa THEN 'up' WHEN na <= oa THEN 'down' END END AS direction FROM t WHERE type IS NOT NULL
-UNION ALL SELECT slug, 'features_changed', plan, NULL, NULL FROM t WHERE os IS NOT NULL AND ns IS NOT NULL AND ok % 3 <> nk % 3""")
+UNION ALL SELECT day, slug, 'features_changed', plan, NULL, NULL FROM t WHERE os IS NOT NULL AND ns IS NOT NULL AND ok % 3 <> nk % 3""", dates=("day",))
 def event_cascade_guards(spark, sf_dir):
-    pairs = ch.plan_pairs(_plan_rows(spark, sf_dir, "2024-01-10"), _plan_rows(spark, sf_dir, "2024-01-11"), ["slug"])
-    return ch.plan_events(pairs, ["slug"]).select("slug", "type", "plan", "pct_change", "direction")
+    pairs = ch.plan_pairs(*ch.adjacent_days(_plan_rows(spark, sf_dir), "day"), ["day", "slug"])
+    return ch.plan_events(pairs, ["day", "slug"]).select("day", "slug", "type", "plan", "pct_change", "direction")
 
 
-@query(f"""{_PLAN_SQL}, x AS (SELECT slug, count(*) FILTER (type = 'price_changed') AS m, count(*) FILTER (type IN ('plan_added', 'plan_removed')) AS c, count(type) + count(*) FILTER (os IS NOT NULL AND ns IS NOT NULL AND ok % 3 <> nk % 3) AS n FROM t GROUP BY slug)
-SELECT slug, CASE WHEN m > 0 THEN 'price_change' WHEN c > 0 THEN 'catalog_change' WHEN n > 0 THEN 'plan_detail_change' ELSE 'page_change' END AS kind FROM x""")
+@query(f"""{_PLAN_SQL}, x AS (SELECT day, slug, count(*) FILTER (type = 'price_changed') AS m, count(*) FILTER (type IN ('plan_added', 'plan_removed')) AS c, count(type) + count(*) FILTER (os IS NOT NULL AND ns IS NOT NULL AND ok % 3 <> nk % 3) AS n FROM t GROUP BY day, slug)
+SELECT day, slug, CASE WHEN m > 0 THEN 'price_change' WHEN c > 0 THEN 'catalog_change' WHEN n > 0 THEN 'plan_detail_change' ELSE 'page_change' END AS kind FROM x""", dates=("day",))
 def change_kind_by_page(spark, sf_dir):
-    pairs = ch.plan_pairs(_plan_rows(spark, sf_dir, "2024-01-10"), _plan_rows(spark, sf_dir, "2024-01-11"), ["slug"])
-    ev = ch.plan_events(pairs, ["slug"]).groupBy("slug").agg(F.count_if(F.col("type") == "price_changed").alias("m"), F.count_if(F.col("type").isin("plan_added", "plan_removed")).alias("c"), F.count(F.lit(1)).alias("n"))
-    pages = pairs.select("slug").distinct().join(ev, "slug", "left").na.fill(0)
+    keys = ["day", "slug"]
+    pairs = ch.plan_pairs(*ch.adjacent_days(_plan_rows(spark, sf_dir), "day"), keys)
+    ev = ch.plan_events(pairs, keys).groupBy(*keys).agg(F.count_if(F.col("type") == "price_changed").alias("m"), F.count_if(F.col("type").isin("plan_added", "plan_removed")).alias("c"), F.count(F.lit(1)).alias("n"))
+    pages = pairs.select(*keys).distinct().join(ev, keys, "left").na.fill(0)
     no = F.lit(False)
-    return pages.select("slug", ch.change_kind(no, no, no, F.col("m"), F.col("c"), F.col("n")).alias("kind"))
+    return pages.select(*keys, ch.change_kind(no, no, no, F.col("m"), F.col("c"), F.col("n")).alias("kind"))
 
 
 @query(f"""{_PLAN_SQL} SELECT CASE WHEN type = 'price_changed' AND slug % 3 = 0 THEN 'extractor_changed' WHEN type = 'price_changed' AND slug % 5 = 0 THEN 'locale_changed' ELSE type END AS type, count(*) AS n FROM t WHERE type IS NOT NULL GROUP BY 1""")
 def relabelled_events(spark, sf_dir):
-    pairs = ch.plan_pairs(_plan_rows(spark, sf_dir, "2024-01-10"), _plan_rows(spark, sf_dir, "2024-01-11"), ["slug"])
-    ev = ch.plan_events(pairs, ["slug"]).where("type <> 'features_changed'")
+    pairs = ch.plan_pairs(*ch.adjacent_days(_plan_rows(spark, sf_dir), "day"), ["day", "slug"])
+    ev = ch.plan_events(pairs, ["day", "slug"]).where("type <> 'features_changed'")
     ev = ev.withColumn("x", F.col("slug") % 3 == 0).withColumn("l", F.col("slug") % 5 == 0)
     return ch.relabel(ev, "x", "l").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _model_rows(spark, sf_dir, day: str) -> DataFrame:
-    e = _t(spark, sf_dir, "events").where(F.to_date("ts") == F.lit(day).cast("date"))
+#: Snapshots made from orders: the remainder of the key by seven says what changed; each of the seven kinds occurs.
+@query("""SELECT o_orderkey AS slug, CASE o_orderkey % 8 WHEN 0 THEN 'first_seen' WHEN 2 THEN 'parser_upgrade' WHEN 3 THEN 'price_change' WHEN 4 THEN 'catalog_change' WHEN 5 THEN 'plan_detail_change' WHEN 6 THEN 'page_change' ELSE 'price_change' END AS kind,
+  CASE o_orderkey % 8 WHEN 0 THEN 0 WHEN 4 THEN 2 WHEN 6 THEN 0 WHEN 7 THEN 0 ELSE 1 END AS n_plan_events, CASE WHEN o_orderkey % 8 = 7 THEN 1 ELSE 0 END AS n_model_events,
+  CASE WHEN o_orderkey % 8 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 3 = 1 THEN 2 ELSE 1 END AS lines_added, CASE WHEN o_orderkey % 8 = 0 THEN NULL WHEN o_orderkey % 3 = 2 THEN 1 ELSE 0 END AS lines_removed
+FROM orders WHERE o_orderkey % 8 <> 1""")
+def compare_snapshots_kinds(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 8).alias("r"), (F.col("o_orderkey") % 3).alias("t"), (F.col("o_custkey") % 90 + 10).cast("double").alias("a"))
+    r, a = F.col("r"), F.col("a")
+
+    def side(new: bool) -> DataFrame:
+        moved = lambda k, x, y: F.when(r.isin(k) & F.lit(new), y).otherwise(x)
+        plan = F.struct(moved(4, F.lit("Pro"), F.lit("Team")).alias("name"), a.cast("string").alias("price_raw"), moved([2, 3], a, a + 1).alias("amount"), F.lit("USD").alias("currency"), moved(5, F.lit("month"), F.lit("year")).alias("period"), F.array(F.lit("x")).alias("features"), F.array(a).alias("slot_prices"))
+        price = moved(7, a, a + 2)
+        model = F.struct(F.lit("m").alias("key"), F.lit("m").alias("model"), F.create_map(F.lit("input"), F.struct(price.cast("string").alias("raw"), price.alias("amount"))).alias("prices"), F.lit("USD").alias("currency"), F.lit("").alias("unit"))
+        # a line repeated, two lines more, two lines that change places
+        text = F.when(F.col("t") == 0, "a\nb\nb\n").when(F.col("t") == 1, "a\nb\nc\nd\n").otherwise("b\na\n") if new else F.lit("a\nb\n")
+        return o.select(F.col("o_orderkey").alias("slug"), moved([0, 2, 3, 4, 5, 6, 7], F.lit("h1"), F.lit("h2")).alias("content_hash"), moved(2, F.lit(1), F.lit(2)).alias("parser_version"), F.lit("dom").alias("extractor"), F.array(F.lit("USD")).alias("currency_hints"), F.array(plan).alias("plans"), F.array(model).alias("models"), text.alias("text"), "r")
+
+    got = ch.compare_snapshots(side(False).where("r <> 0").drop("r"), side(True).drop("r"))
+    n = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    return got.select("slug", "kind", n("plan_events").alias("n_plan_events"), n("model_events").alias("n_model_events"), "text_diff.lines_added", "text_diff.lines_removed")
+
+
+def _model_rows(spark, sf_dir) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
     v = F.floor(F.col("value") / 40).cast("double")
     k = F.get_json_object("props", "$.k").cast("int")
     price = lambda a: F.struct(a.cast("string").alias("raw"), a.alias("amount"))
     # on some rows the two columns are the other way round
     a, b = F.when(k % 2 == 0, v).otherwise(v + 1), F.when(k % 2 == 0, v + 1).otherwise(v)
-    return e.select(F.col("user_id").alias("slug"), F.col("event_id").alias("pos"), F.col("event_type").alias("key"), F.col("event_type").alias("model"), F.create_map(F.lit("input"), price(a), F.lit("output"), price(b)).alias("prices"), F.lit("").alias("unit"))
+    return e.select(F.to_date("ts").alias("day"), F.col("user_id").alias("slug"), F.col("event_id").alias("pos"), F.col("event_type").alias("key"), F.col("event_type").alias("model"), F.create_map(F.lit("input"), price(a), F.lit("output"), price(b)).alias("prices"), F.lit("").alias("unit"))
 
 
 @query("""WITH r AS (
   SELECT user_id AS slug, event_type AS key, CAST(ts AS DATE) AS day, floor(value / 40)::DOUBLE AS v, CAST(json_extract(props, '$.k') AS INTEGER) % 2 AS odd,
     row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id DESC) AS rn FROM events
-), s AS (SELECT *, v + odd AS a, v + 1 - odd AS b FROM r WHERE rn = 1), j AS (
-  SELECT coalesce(o.slug, n.slug) AS slug, coalesce(o.key, n.key) AS key, o.slug AS os, n.slug AS ns, (o.a <> n.a)::INT + (o.b <> n.b)::INT AS c, o.v = n.v AS same
-  FROM (SELECT * FROM s WHERE day = DATE '2024-01-10') o FULL JOIN (SELECT * FROM s WHERE day = DATE '2024-01-11') n ON o.slug = n.slug AND o.key = n.key
-) SELECT slug, key AS model, CASE WHEN os IS NULL THEN 'model_added' WHEN ns IS NULL THEN 'model_removed' WHEN same THEN 'model_price_relabeled' ELSE 'model_price_changed' END AS type,
-  CASE WHEN os IS NULL OR ns IS NULL THEN 0 ELSE c END AS n_changes FROM j WHERE os IS NULL OR ns IS NULL OR c > 0""")
+), s AS (SELECT *, v + odd AS a, v + 1 - odd AS b FROM r WHERE rn = 1), """ + _ADJ.format("s") + """, j AS (
+  SELECT coalesce(o.day, n.day) AS day, coalesce(o.slug, n.slug) AS slug, coalesce(o.key, n.key) AS key, o.slug AS os, n.slug AS ns, (o.a <> n.a)::INT + (o.b <> n.b)::INT AS c, o.v = n.v AS same
+  FROM o FULL JOIN n ON o.day = n.day AND o.slug = n.slug AND o.key = n.key
+) SELECT day, slug, key AS model, CASE WHEN os IS NULL THEN 'model_added' WHEN ns IS NULL THEN 'model_removed' WHEN same THEN 'model_price_relabeled' ELSE 'model_price_changed' END AS type,
+  CASE WHEN os IS NULL OR ns IS NULL THEN 0 ELSE c END AS n_changes FROM j WHERE os IS NULL OR ns IS NULL OR c > 0""", dates=("day",))
 def model_event_cascade(spark, sf_dir):
-    ev = ch.model_events(_model_rows(spark, sf_dir, "2024-01-10"), _model_rows(spark, sf_dir, "2024-01-11"), ["slug"])
-    return ev.select("slug", "model", "type", F.coalesce(F.size("changes"), F.lit(0)).alias("n_changes")).withColumn("n_changes", F.greatest("n_changes", F.lit(0)))
+    ev = ch.model_events(*ch.adjacent_days(_model_rows(spark, sf_dir), "day"), ["day", "slug"])
+    return ev.select("day", "slug", "model", "type", F.coalesce(F.size("changes"), F.lit(0)).alias("n_changes")).withColumn("n_changes", F.greatest("n_changes", F.lit(0)))
 
 
 @query("""SELECT p_brand, lower(trim(p_name)) AS plan_key FROM part GROUP BY ALL HAVING count(DISTINCT nullif(p_size, 7)) + max((nullif(p_size, 7) IS NULL)::INT) > 1""")
@@ -226,48 +250,51 @@ def twin_removal(spark, sf_dir):
     return rp.drop_twins(rows, ["l_orderkey", "l_partkey", "l_returnflag"])
 
 
-@query("""SELECT md5('x') IS NOT NULL AS ok, p_brand, sha256(string_agg(p_name || '|' || p_size || '|' || coalesce(nullif(p_type, 'ECONOMY'), '?'), '
-' ORDER BY p_name, p_size, coalesce(nullif(p_type, 'ECONOMY'), '?'))) AS digest FROM part GROUP BY p_brand""")
+@query("""SELECT l_orderkey, sha256('{"plans":[' || string_agg('{"name":"' || l_returnflag || '","amount":' || CAST(l_quantity AS DOUBLE) || ',"currency":"' || l_linestatus || '"}', ',' ORDER BY l_returnflag, l_quantity, l_linestatus) || '],"models":[]}') AS digest FROM lineitem GROUP BY l_orderkey""")
 def structured_fingerprint(spark, sf_dir):
-    p = _t(spark, sf_dir, "part").select("p_brand", F.struct("p_name", "p_size", F.coalesce(F.expr("nullif(p_type, 'ECONOMY')"), F.lit("?")).alias("t")).alias("x"))
-    rows = p.groupBy("p_brand").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    text = F.array_join(F.transform("xs", lambda x: F.concat_ws("|", x["p_name"], x["p_size"].cast("string"), x["t"])), "\n")
-    return rows.select(F.lit(True).alias("ok"), "p_brand", ft.content_hash(text).alias("digest"))
+    plan = F.struct(F.col("l_returnflag").alias("name"), F.col("l_quantity").cast("double").alias("amount"), F.col("l_linestatus").alias("currency"), F.lit(None).cast("string").alias("period"))
+    page = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(plan).alias("plans"))
+    models = F.expr("cast(array() AS array<struct<key: string, prices: map<string, struct<raw: string, amount: double>>>>)")
+    return page.select("l_orderkey", ch.fingerprint(F.col("plans"), models).alias("digest"))
 
 
-@query("""WITH u AS (SELECT user_id, list_sort(list_distinct(list(event_type) FILTER (CAST(ts AS DATE) = DATE '2024-01-10'))) AS o,
-  list_sort(list_distinct(list(event_type) FILTER (CAST(ts AS DATE) = DATE '2024-01-11'))) AS n FROM events GROUP BY user_id)
-SELECT user_id, list_sort(list_filter(coalesce(n, []), lambda x: NOT list_contains(coalesce(o, []), x)))::VARCHAR AS added, list_sort(list_filter(coalesce(o, []), lambda x: NOT list_contains(coalesce(n, []), x)))::VARCHAR AS removed FROM u""")
+@query(f"""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, list_sort(list_distinct(list(event_type))) AS f FROM events GROUP BY ALL), {_ADJ.format("d")}
+SELECT day, user_id, array_to_string(list_filter(coalesce(n.f, []), lambda x: NOT list_contains(coalesce(o.f, []), x)), ', ') AS added, array_to_string(list_filter(coalesce(o.f, []), lambda x: NOT list_contains(coalesce(n.f, []), x)), ', ') AS removed
+FROM o FULL JOIN n USING (day, user_id)""", dates=("day",))
 def features_set_diff(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    u = e.groupBy("user_id").agg(*[F.collect_set(F.when(F.col("day") == F.lit(d).cast("date"), F.col("event_type"))).alias(c) for d, c in (("2024-01-10", "o"), ("2024-01-11", "n"))])
-    show = lambda a, b: F.concat(F.lit("["), F.array_join(F.array_sort(F.array_except(a, b)), ", "), F.lit("]"))
-    return u.select("user_id", show("n", "o").alias("added"), show("o", "n").alias("removed"))
+    e = _t(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.collect_set("event_type").alias("f"))
+    old, new = ch.adjacent_days(e, "day")
+    both = old.withColumnRenamed("f", "o").join(new.withColumnRenamed("f", "n"), ["day", "user_id"], "full_outer")
+    show = lambda a, b: F.array_join(ch.only_in(F.col(a), F.col(b)), ", ")
+    return both.select("day", "user_id", show("n", "o").alias("added"), show("o", "n").alias("removed"))
 
 
-@query("""WITH u AS (SELECT user_id, list_sort(list(floor(value / 100)) FILTER (CAST(ts AS DATE) = DATE '2024-01-10')) AS o, list_sort(list(floor(value / 100)) FILTER (CAST(ts AS DATE) = DATE '2024-01-11')) AS n FROM events GROUP BY user_id)
-SELECT user_id, coalesce(o, []) = coalesce(n, []) AS same FROM u""")
+@query(f"""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, list_sort(list(floor(value / 100))) AS f FROM events GROUP BY ALL), {_ADJ.format("d")}
+SELECT day, user_id, o.f = n.f AS same FROM o JOIN n USING (day, user_id)""", dates=("day",))
 def multiset_equal(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("a", F.floor(F.col("value") / 100))
-    u = e.groupBy("user_id").agg(*[F.array_sort(F.collect_list(F.when(F.col("day") == F.lit(d).cast("date"), F.col("a")))).alias(c) for d, c in (("2024-01-10", "o"), ("2024-01-11", "n"))])
-    return u.select("user_id", (F.col("o") == F.col("n")).alias("same"))
+    e = _t(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.collect_list(F.floor(F.col("value") / 100)).alias("f"))
+    old, new = ch.adjacent_days(e, "day")
+    both = old.withColumnRenamed("f", "o").join(new.withColumnRenamed("f", "n"), ["day", "user_id"])
+    return both.select("day", "user_id", ch.same_numbers(F.col("o"), F.col("n")).alias("same"))
 
 
 _HINTS = "VALUES (1, 'from 8.75 CAD or CA$37'), (2, 'USED CARS AND MORE'), (3, 'USD 5, EUR 7, USD 9'), (4, 'R$ 10 and US$ 3'), (5, '€5 £6 ¥7'), (6, ''), (7, 'priceHK$ 8'), (8, 'NZ$4 IDR')"
 
 
-@query(f"""WITH v(id, t) AS ({_HINTS}) SELECT id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(t, '\\b(USD|EUR|GBP|CAD|AUD|SGD|INR|JPY|BRL|MXN|IDR|CHF|SEK|NZD|HKD)\\b', 1),
+@query(f"""WITH v(id, t) AS ({_HINTS} UNION ALL SELECT doc_id + 1000, text FROM documents) SELECT id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(t, '\\b(USD|EUR|GBP|CAD|AUD|SGD|INR|JPY|BRL|MXN|IDR|CHF|SEK|NZD|HKD)\\b', 1),
   regexp_extract_all(t, '(^|[^A-Za-z])(CA\\$|A\\$|NZ\\$|S\\$|HK\\$|R\\$|US\\$|€|£|¥|₹)', 2)))), ',') AS hints FROM v""")
 def currency_hints(spark, sf_dir):
-    v = spark.sql(f"SELECT * FROM {_HINTS} AS v(id, t)")
+    v = spark.sql(f"SELECT CAST(id AS long) AS id, t FROM {_HINTS} AS v(id, t)").union(_t(spark, sf_dir, "documents").select(F.col("doc_id") + 1000, "text"))
     return v.select("id", F.array_join(ft.currency_hints(F.col("t")), ",").alias("hints"))
 
 
-@query("""SELECT user_id, coalesce(list_has_any(list_filter(list_distinct(list(event_type) FILTER (h = 0)), lambda x: x <> 'view'), ['click', 'error']), false) AS any_flag FROM (SELECT user_id, event_type, event_id % 2 AS h FROM events) GROUP BY user_id""")
+@query("""WITH u AS (SELECT user_id, list_distinct(list(c) FILTER (h = 0)) AS a, list_distinct(list(c) FILTER (h = 1)) AS b FROM (SELECT user_id, CASE event_type WHEN 'view' THEN 'USD' WHEN 'click' THEN 'CAD' WHEN 'purchase' THEN 'EUR' ELSE 'XXX' END AS c, event_id % 2 AS h FROM events) GROUP BY user_id)
+SELECT user_id, list_has_any(list_concat(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x)), list_filter(coalesce(b, []), lambda x: NOT list_contains(coalesce(a, []), x))), ['CAD', 'EUR']) AS shifted FROM u""")
 def hint_overlap(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
-    u = e.groupBy("user_id").agg(F.collect_set(F.when(F.col("event_id") % 2 == 0, F.col("event_type"))).alias("h"))
-    return u.select("user_id", F.arrays_overlap(F.array_except("h", F.array(F.lit("view"))), F.array(F.lit("click"), F.lit("error"))).alias("any_flag"))
+    code = F.when(F.col("event_type") == "view", "USD").when(F.col("event_type") == "click", "CAD").when(F.col("event_type") == "purchase", "EUR").otherwise("XXX")
+    u = e.groupBy("user_id").agg(*[F.collect_set(F.when(F.col("event_id") % 2 == h, code)).alias(c) for h, c in ((0, "a"), (1, "b"))])
+    return u.select("user_id", ch.locale_shift(F.col("a"), F.col("b")).alias("shifted"))
 
 
 @query("""WITH v(o, n) AS (VALUES ('CAD', ''), ('USD', 'USD'), ('', ''), ('USD', ''), ('EUR,USD', 'USD'), ('CAD', 'CAD,USD')),
@@ -336,23 +363,31 @@ def mask_volatile(spark, sf_dir):
 _SECRET_ROWS = "VALUES (1, concat('key sk', '-ant-', repeat('a1', 10), ' end')), (2, concat('x gh', 'p_', repeat('Z9', 18))), (3, concat('AK', 'IA', repeat('A1', 8))), (4, 'nothing here'), (5, concat('acme', '_token_', repeat('q', 20))), (6, concat('eyJ', repeat('a', 9), '.', repeat('b', 9), '.', repeat('c', 9)))"
 
 
-@query(f"""WITH v(id, t) AS ({_SECRET_ROWS}) SELECT id, CASE id WHEN 1 THEN 'key <secret-redacted> end' WHEN 2 THEN 'x <secret-redacted>' WHEN 4 THEN t ELSE '<secret-redacted>' END AS redacted FROM v""")
+@query(f"""WITH v(id, t) AS ({_SECRET_ROWS}) SELECT id, sha256(CASE id WHEN 1 THEN 'key <secret-redacted> end' WHEN 2 THEN 'x <secret-redacted>' WHEN 4 THEN t ELSE '<secret-redacted>' END) AS redacted FROM v
+UNION ALL SELECT 1000 + doc_id, sha256(text || ' <secret-redacted> ' || doc_id) FROM documents""")
 def redact_secrets(spark, sf_dir):
-    return spark.sql(f"SELECT * FROM {_SECRET_ROWS} AS v(id, t)").select("id", ft.redact_secrets(F.col("t")).alias("redacted"))
+    """Cases, and every document with a token of its own put behind it."""
+    token = F.concat(F.lit("gh"), F.lit("p_"), F.sha2(F.col("doc_id").cast("string"), 256))
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id") + 1000, F.concat_ws(" ", "text", token, F.col("doc_id").cast("string")))
+    return spark.sql(f"SELECT CAST(id AS long) AS id, t FROM {_SECRET_ROWS} AS v(id, t)").union(d).select("id", ft.content_hash(ft.redact_secrets(F.col("t"))).alias("redacted"))
 
 
 _COUNTER = "VALUES (1, '173.1K'), (2, '10K requests per month'), (3, '5M+'), (4, '12'), (5, '1,5B'), (6, '173.1k')"
 
 
-@query(f"WITH v(id, t) AS ({_COUNTER}) SELECT id, regexp_replace(t, '^\\d{{1,3}}([.,]\\d+)?\\s?[KMB]\\+?$', '<count>') AS line FROM v")
+@query(rf"""WITH v(id, t) AS ({_COUNTER}), w AS (SELECT id, [t] AS a FROM v UNION ALL SELECT 1000 + doc_id, list_concat(string_split(text, chr(10)), [doc_id % 999 || 'K', 'x' || doc_id || 'K']) FROM documents)
+SELECT id, sha256(array_to_string(list_transform(a, lambda x: regexp_replace(x, '^\d{{1,3}}([.,]\d+)?\s?[KMB]\+?$', '<count>')), '|')) AS lines FROM w""")
 def mask_counters(spark, sf_dir):
-    return spark.sql(f"SELECT * FROM {_COUNTER} AS v(id, t)").select("id", ft.mask_counter_lines(F.array("t"))[0].alias("line"))
+    """Cases, and the lines of every document with a counter behind them."""
+    i = F.col("doc_id")
+    own = F.concat(F.split("text", "\n"), F.array(F.concat((i % 999).cast("string"), F.lit("K")), F.concat(F.lit("x"), i.cast("string"), F.lit("K"))))
+    rows = spark.sql(f"SELECT CAST(id AS long) AS id, array(t) AS a FROM {_COUNTER} AS v(id, t)").union(_t(spark, sf_dir, "documents").select(i + 1000, own))
+    return rows.select("id", ft.content_hash(F.array_join(ft.mask_counter_lines(F.col("a")), "|")).alias("lines"))
 
 
 @query(r"""SELECT page_id, len(regexp_extract_all(html, '(?i)<a\s[^>]*href=')) AS n_links, len(regexp_extract_all(html, '(?i)<h[1-6][\s>]')) AS n_headings, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages""")
 def link_and_heading_extract(spark, sf_dir):
-    n = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0)))
-    return _t(spark, sf_dir, "pages").select("page_id", n(r"(?i)<a\s[^>]*href=").alias("n_links"), n(r"(?i)<h[1-6][\s>]").alias("n_headings"), F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"))
+    return doc.links_and_headings(_t(spark, sf_dir, "pages"), ["page_id"])
 
 
 @query()
@@ -574,17 +609,13 @@ def correction_overlay_merge(spark, sf_dir):
 @query("""WITH t AS (SELECT l_orderkey, lower(l_returnflag) AS label, row_number() OVER (PARTITION BY l_orderkey, lower(l_returnflag) ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS n, l_linenumber, l_partkey, l_suppkey FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN n = 1 THEN label ELSE label || ' (' || n || ')' END AS label FROM t""")
 def column_label_numbering(spark, sf_dir):
-    from pyspark.sql import Window
-
     li = _t(spark, sf_dir, "lineitem").withColumn("label", fp.norm_label(F.col("l_returnflag")))
-    n = F.row_number().over(Window.partitionBy("l_orderkey", "label").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(n == 1, F.col("label")).otherwise(F.concat("label", F.lit(" ("), n.cast("string"), F.lit(")"))).alias("label"))
+    return doc.numbered_labels(li, ["l_orderkey"], "label", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
 
 
 @query("""SELECT l_orderkey, l_partkey FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_linenumber) > 1""")
 def headerless_collisions(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem")
-    return li.groupBy("l_orderkey", "l_partkey").agg(F.count_distinct("l_linenumber").alias("n")).where("n > 1").select("l_orderkey", "l_partkey")
+    return doc.shared_row_names(_t(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_linenumber", "l_partkey")
 
 
 # --- runs ----------------------------------------------------------------------------------------------
@@ -654,11 +685,11 @@ def events_tumbling(spark, sf_dir):
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
-@query("""SELECT o_orderkey, '{"date":"' || strftime(o_orderdate, '%Y-%m-%d') || '","total":' || o_custkey || ',"unknown":null}' AS json FROM orders""")
+@query("""SELECT o_orderkey, '{"date":"' || strftime(o_orderdate, '%Y-%m-%d') || '","total":' || o_custkey || ',"unknown":null,"o_orderkey":' || o_orderkey || '}' AS json FROM orders""")
 def status_document(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    doc_ = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_custkey").alias("total"), F.lit(None).cast("int").alias("unknown"))
-    return o.select("o_orderkey", F.to_json(doc_, {"ignoreNullFields": "false"}).alias("json"))
+    shown = sinks.status_document(o.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_custkey").alias("total"), F.lit(None).cast("int").alias("unknown"), "o_orderkey"))
+    return shown.select(F.get_json_object("json", "$.o_orderkey").cast("long").alias("o_orderkey"), "json")
 
 
 @query("""SELECT p_partkey, '| ' || p_name || ' | ' || p_brand || ' | ' || p_size || ' |' AS line FROM part""")
@@ -671,3 +702,145 @@ SELECT '<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps
 def sitemap_xml(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").groupBy(rp.month_of(F.col("o_orderdate")).alias("month")).agg(F.max(F.to_date("o_orderdate")).alias("lastmod"))
     return sinks.sitemap(o.select(F.concat(F.lit("m/"), "month", F.lit(".html")).alias("path"), "lastmod"), "https://example.org")
+
+
+# --- change entries with nested events -----------------------------------------------------------------
+def _nested_changes(spark, sf_dir) -> DataFrame:
+    """Orders as change entries: a plan that moved, one that came, and on every other order a model row with two moved columns."""
+    o = _t(spark, sf_dir, "orders")
+    cents = F.col("o_totalprice").cast("decimal(18,2)")
+    none = F.lit(None)
+    event = lambda kind, a, b: F.struct(F.lit(kind).alias("type"), F.col("o_orderpriority").alias("plan"), a.cast("string").alias("from_raw"), b.cast("string").alias("to_raw"), F.lit("USD").alias("from_currency"), F.lit("EUR").alias("to_currency"), F.lit(5.0).alias("pct_change"))
+    price = lambda x: F.struct(x.cast("string").alias("raw"), x.cast("double").alias("amount"))
+    change = lambda f, x: F.struct(F.lit(f).alias("field"), price(x).alias("from"), price(x + 1).alias("to"), F.lit(1.0).alias("pct_change"))
+    k = F.col("o_orderkey")
+    model = F.struct(F.when(k % 3 == 0, "model_added").otherwise("model_price_changed").alias("type"), F.concat(F.lit("m"), (k % 7).cast("string")).alias("model"), F.array(change("input", k), change("kolom 2", k + 5)).alias("changes"))
+    return o.select(
+        F.to_date("o_orderdate").alias("date"),
+        F.col("o_custkey").alias("slug"),
+        F.concat(F.lit("n"), F.col("o_custkey").cast("string")).alias("name"),
+        (F.col("o_custkey") % 10).cast("string").alias("vendor"),
+        F.lit("c").alias("category"),
+        F.when(F.col("o_orderstatus") == "P", "parser_upgrade").otherwise("price_change").alias("kind"),
+        F.array(event("price_changed", cents, cents + 1), event("plan_added", none, cents)).alias("plan_events"),
+        F.when(k % 2 == 0, F.array(model)).alias("model_events"),
+        k.alias("seq"),
+    )
+
+
+_MOVES = """mv AS (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS slug, o_orderkey AS seq, o_orderpriority AS item, '$' || CAST(o_totalprice AS DECIMAL(18, 2)) AS "from", '€' || (CAST(o_totalprice AS DECIMAL(18, 2)) + 1) AS "to" FROM orders
+UNION ALL SELECT CAST(o_orderdate AS DATE), o_custkey, o_orderkey, 'm' || o_orderkey % 7 || ' · ' || f, CAST(o_orderkey + d AS VARCHAR), CAST(o_orderkey + d + 1 AS VARCHAR) FROM orders, (VALUES ('input', 0), ('column 2', 5)) v(f, d) WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0)"""
+_NUMBERS = "1 + CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 THEN 2 ELSE 0 END"
+
+
+@query(f"""WITH {_MOVES} SELECT * FROM mv""", dates=("date",))
+def price_move_rows(spark, sf_dir):
+    return rp.moves(_nested_changes(spark, sf_dir)).select("date", "slug", "seq", "item", "from", "to")
+
+
+@query(f"""SELECT o_orderkey AS seq, {_NUMBERS} AS n FROM orders""")
+def moved_numbers(spark, sf_dir):
+    return _nested_changes(spark, sf_dir).select("seq", rp.moved_numbers(F.col("plan_events"), F.col("model_events")).alias("n"))
+
+
+@query(f"""WITH {_CHG}, g AS (SELECT c.*, k.slug IS NOT NULL AS gone FROM c LEFT JOIN k USING (date, slug)), t AS (SELECT sum({_NUMBERS.replace('o_orderkey', 'seq')}) AS n FROM g WHERE kind <> 'parser_upgrade' AND NOT gone)
+SELECT (SELECT n FROM t)::BIGINT AS total_moves, count(*) FILTER (kind <> 'parser_upgrade' AND NOT gone) AS counted, count(*) FILTER (kind <> 'parser_upgrade' AND gone) AS retracted, count(*) FILTER (kind = 'parser_upgrade') AS reparsed,
+  CASE WHEN round_even((SELECT n FROM t) / (max(date) - min(date) + 1) * 90, 0) >= 500 THEN 'met' ELSE 'not met' END AS verdict FROM g""")
+def gate_totals(spark, sf_dir):
+    c, k = _nested_changes(spark, sf_dir), _corrections(spark, sf_dir)
+    one = rp.total_moves(c, k).crossJoin(rp.dropped_counts(c, k)).crossJoin(rp.day_span(c))  # one row each
+    return one.select("total_moves", "counted", "retracted", "reparsed", rp.gate_verdict(F.col("total_moves"), F.col("days"), 500).alias("verdict"))
+
+
+@query(f"""WITH {_MOVES}, h AS (SELECT slug, string_agg(item || '@' || strftime(date, '%Y-%m-%d'), ';' ORDER BY date DESC, item DESC, seq DESC) AS history FROM mv GROUP BY slug)
+SELECT c_custkey AS slug, coalesce(history, '') AS history FROM customer LEFT JOIN h ON slug = c_custkey""")
+def tool_history(spark, sf_dir):
+    rows = rp.moves(_nested_changes(spark, sf_dir)).select("slug", "date", "item", "seq")
+    got = rp.with_history(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("slug")), rows)
+    return got.select("slug", F.array_join(F.transform("history", lambda x: F.concat(x["item"], F.lit("@"), F.date_format(x["date"], "yyyy-MM-dd"))), ";").alias("history"))
+
+
+@query(f"""WITH {_MOVES}, m AS (SELECT strftime(date, '%Y-%m') AS month, count(*) AS n_moves FROM mv GROUP BY 1), k AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_corrections FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+SELECT month, n_moves, coalesce(n_corrections, 0) AS n_corrections FROM m LEFT JOIN k USING (month)""")
+def month_pages(spark, sf_dir):
+    return rp.month_pages(rp.moves(_nested_changes(spark, sf_dir)), rp.corrections_in_order(_corrections(spark, sf_dir)))
+
+
+def _current_records(spark, sf_dir) -> DataFrame:
+    """Parts as current records of their brand's size: one plan and one model row each."""
+    p = _t(spark, sf_dir, "part")
+    price = F.col("p_retailprice").cast("decimal(10,2)").cast("string")
+    plan = F.struct(F.concat(F.lit("Plan "), (F.col("p_partkey") % 9).cast("string")).alias("name"), F.when(F.col("p_partkey") % 6 == 0, " ").otherwise(price).alias("price_raw"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_size").cast("double")).alias("amount"), F.lit("USD").alias("currency"), F.when(F.col("p_partkey") % 2 == 0, "hour").otherwise("month").alias("period"))
+    prices = F.map_from_arrays(F.array(F.lit("input"), F.lit("kolom 3")), F.array(F.struct(price.alias("raw"), F.lit(1.0).alias("amount")), F.struct(F.lit(" 7").alias("raw"), F.lit(7.0).alias("amount"))))
+    model = F.struct(F.concat(F.lit("M"), F.col("p_partkey").cast("string")).alias("model"), prices.alias("prices"), F.lit("per 1m tokens").alias("unit"))
+    return p.select(F.col("p_partkey").alias("slug"), F.array(plan).alias("plans"), F.array(model).alias("models"))
+
+
+def _part_targets(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("slug"), F.col("p_brand").alias("name"), F.lit("u").alias("url"), (F.col("p_partkey") % 5 != 0).alias("enabled"), F.when(F.col("p_partkey") % 3 == 0, "gpu-rental").otherwise("ai-api").alias("category"))
+
+
+_PRICE_SQL = "CAST(CAST(p_retailprice AS DECIMAL(10, 2)) AS VARCHAR)"
+
+
+@query(f"""WITH l AS (SELECT l_partkey, max(l_orderkey) AS last FROM lineitem GROUP BY l_partkey)
+SELECT p_partkey AS slug, p_brand AS vendor, 'Plan ' || p_partkey % 9 AS item, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE '$' || {_PRICE_SQL} END AS price, p_size::DOUBLE AS amount, CASE WHEN p_partkey % 2 = 0 THEN 'per hour' ELSE 'per month' END AS unit, p_partkey % 2 = 0 AS hourly, last
+FROM part LEFT JOIN l ON l_partkey = p_partkey WHERE p_partkey % 5 <> 0 AND p_partkey % 3 = 0 AND p_partkey % 4 <> 0""")
+def plan_rate_rows(spark, sf_dir):
+    last = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("slug")).agg(F.max("l_orderkey").alias("last"))
+    last = last.withColumn("item_key", F.concat(F.lit("plan "), (F.col("slug") % 9).cast("string")))
+    rows = rp.plan_rates(_part_targets(spark, sf_dir), _current_records(spark, sf_dir), last, F.col("category") == "gpu-rental")
+    return rows.select("slug", "vendor", "item", "price", "amount", "unit", rp.is_hourly(F.col("period")).alias("hourly"), "last")
+
+
+@query(f"""SELECT p_partkey AS slug, p_brand AS vendor, 'M' || p_partkey AS item, 'input: ' || {_PRICE_SQL} || ' · 7' AS price, 'per 1m tokens' AS unit FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 3 <> 0""")
+def model_rate_rows(spark, sf_dir):
+    none = spark.createDataFrame([], "slug long, item_key string")
+    return rp.model_rates(_part_targets(spark, sf_dir), _current_records(spark, sf_dir), none, F.col("category") == "ai-api").select("slug", "vendor", "item", "price", "unit")
+
+
+@query(f"""SELECT p_partkey AS slug, 'Plan ' || p_partkey % 9 AS item, '$' || {_PRICE_SQL} AS price, CASE WHEN p_partkey % 2 = 0 THEN 'per hour' ELSE 'per month' END AS unit FROM part WHERE p_partkey % 6 <> 0
+UNION ALL SELECT p_partkey, 'M' || p_partkey, 'input: ' || {_PRICE_SQL} || ' · 7', 'per 1m tokens' FROM part""")
+def latest_price_rows(spark, sf_dir):
+    return rp.latest_prices(_current_records(spark, sf_dir))
+
+
+@query("""SELECT o_orderkey, '<item><title>' || o_custkey || '&amp;</title><link>https://example.org/t/' || o_custkey || '&amp;.html</link><guid isPermaLink="false">' || strftime(o_orderdate, '%Y-%m-%d') || '-' || o_custkey || '&amp;</guid><pubDate>' || strftime(o_orderdate, '%a, %d %b %Y') || ' 00:00:00 +0000</pubDate><description>' || o_orderpriority || ': 1 → ' || o_orderkey || '</description></item>' AS item FROM orders""")
+def rss_items(spark, sf_dir):
+    move = F.struct(F.col("o_orderpriority").alias("item"), F.lit("1").alias("from"), F.col("o_orderkey").cast("string").alias("to"), F.lit(None).cast("double").alias("pct"))
+    rows = _t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"), F.concat(F.col("o_custkey").cast("string"), F.lit("&")).alias("slug"), F.array(move).alias("moves"))
+    got = sinks.rss_items(rows, "https://example.org/")
+    return got.select(F.regexp_extract("item", "→ (\\d+)<", 1).cast("long").alias("o_orderkey"), "item")
+
+
+@query(f"""WITH {_RUN} SELECT date, slug, reason, count(*) AS n FROM (
+  SELECT date, slug, 'failed' AS reason FROM r WHERE status <> 'ok' UNION ALL SELECT date, slug, 'weak' FROM r WHERE status = 'ok' AND k % 4 IN (0, 1) UNION ALL SELECT date, slug, 'thin' FROM r WHERE k % 5 = 0 UNION ALL SELECT date, slug, 'reparsed' FROM r WHERE k % 6 = 0) GROUP BY ALL""", dates=("date",))
+def run_lists(spark, sf_dir):
+    k = F.col("rows")
+    r = _runs(spark, sf_dir).withColumns({"confidence": F.when(k % 4 == 0, "low").when(k % 4 == 1, "none").otherwise("high"), "thin": k % 5 == 0, "change_kind": F.when(k % 6 == 0, "parser_upgrade")})
+    return rn.run_lists(r).groupBy("date", "slug", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT count(*) FILTER (page_id % 4 > 1) AS ok, count(*) FILTER (page_id % 4 <= 1) AS bad, count(*) FILTER (length(html) < 2000) AS thin FROM pages""")
+def validator_counts(spark, sf_dir):
+    n = F.col("page_id") % 4
+    return rn.validator_counts(_t(spark, sf_dir, "pages").select(rn.diagnosis(F.lit(False), F.lit(False), n, n).alias("diagnosis"), (F.char_length("html") < 2000).alias("thin")))
+
+
+@query("""SELECT p_partkey, p_partkey % 5 <> 0 AS model, p_partkey % 3 = 0 AS free_top, p_partkey % 2 = 0 AS contradiction, CASE WHEN p_partkey % 4 = 0 THEN 'per 1m tokens' WHEN p_partkey % 4 = 1 THEN '/ 1k' ELSE '' END AS unit,
+  CASE WHEN p_size < 2 THEN p_size * 1000 || ' B' ELSE printf('%.1f KiB', p_size * 1000 / 1024.0) END AS size, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS metric, CASE WHEN p_partkey % 2 = 0 THEN 'none' ELSE p_name END AS filled, p_brand AS halved, coalesce(CASE p_size WHEN 1 THEN 'One' WHEN 2 THEN 'Two' END, CAST(p_size AS VARCHAR)) AS category FROM part""")
+def scalar_rows(spark, sf_dir):
+    """Small scalars over every part, each with both of its answers."""
+    k, text = F.col("p_partkey"), lambda c: F.col(c).cast("string")
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey",
+        fp.plausible_model(F.when(k % 5 != 0, F.col("p_name")).otherwise(F.lit("Subtotal"))).alias("model"),
+        fp.free_at_top(F.when(k % 3 == 0, F.concat(F.col("p_brand"), F.lit(" is gratis"))).otherwise(F.concat(F.repeat(F.lit("long "), 25), F.lit("free")))).alias("free_top"),
+        fp.free_contradiction(F.lit("Free for 14 days"), F.when(k % 2 == 0, F.col("p_size")).otherwise(F.lit(0))).alias("contradiction"),
+        fp.table_unit(F.when(k % 4 == 0, "Price Per  1M tokens").otherwise(""), F.array(F.lit("x"), F.when(k % 4 == 1, "cost / 1K").otherwise("y"))).alias("unit"),
+        fp.readable_size(F.col("p_size") * 1000).alias("size"),
+        ft.commit_metric(F.when(k % 7 != 0, F.concat(F.lit("moved="), text("p_size"))).otherwise("no number"), "moved=(\\d+)").alias("metric"),
+        ft.blank_to(F.when(k % 2 == 0, "  ").otherwise(F.col("p_name")), "none").alias("filled"),
+        ft.undouble(F.concat_ws(" ", "p_brand", "p_brand")).alias("halved"),
+        fp.category_label(text("p_size"), {"1": "One", "2": "Two"}).alias("category"),
+    )
