@@ -23,7 +23,7 @@ def clashing(df):
     """Extra columns whose names operators might use themselves."""
     from pyspark.sql import functions as F
 
-    return df.withColumns({c: F.lit("x") for c in ("id", "key", "n", "rep", "digest", "length", "part", "kept", "norm", "token", "words", "block")})
+    return df.withColumns({c: F.lit("x") for c in ("id", "key", "n", "rep", "digest", "length", "part", "kept", "norm", "token", "words", "block", "_s", "_kept", "_id", "_sha", "_chars", "_top", "_uid", "row_id", "row_forms", "seg", "edges", "component")})
 
 
 def empty(spark):

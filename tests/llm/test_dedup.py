@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -83,6 +84,25 @@ def test_large_group_of_near_copies_stays_one_component(spark):
     assert {r.component_id for r in out} == {0}
 
 
+@pytest.mark.parametrize("pairwise", [16, 2])
+def test_each_pair_is_verified_once_and_no_link_is_lost(spark, pairwise, monkeypatch):
+    """A large group of near copies of which not all reach one another, through lists, long lists and hubs."""
+    r = random.Random(3)
+    base = [f"t{i}" for i in range(150)]
+    texts = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(150)] = r.choice(["q", "z", f"e{i}"])
+        texts.append(" ".join(w))
+    judged = []
+    verify = J._sketched
+    monkeypatch.setattr(J, "_sketched", lambda pairs, *more: (judged.extend(map(tuple, pairs.collect())), verify(pairs, *more))[1])
+    got = {x.id: x.component_id for x in J.near_duplicates(S.docs(spark, texts), J.JaccardParams(k=3, num=9, den=10, pairwise=pairwise)).collect()}
+    assert got == dict(enumerate(brute_components(texts, 3, 9, 10)[0]))
+    assert len(judged) == len(set(judged)) and len(judged) < 90 * 89 / 2
+
+
 def test_near_duplicates_awkward_rows(spark):
     df = S.clashing(S.awkward(spark))
     got = J.near_duplicates(df).collect()

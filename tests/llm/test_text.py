@@ -14,17 +14,18 @@ from tidemark.llm import chat_format as C
 from tidemark.llm import quality_rules as Q
 from tidemark.llm import toxicity as X
 from tidemark.llm import warc as R
-from tidemark.llm.common import connected_components, scratch_path
+from tidemark.llm.common import connected_components, scratch_path, settings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 # --- components ---------------------------------------------------------------------------------------
-@pytest.mark.parametrize("one_task", [0, 200_000])
-def test_components_of_paths_stars_and_rings(spark, one_task, monkeypatch):
-    monkeypatch.setattr("tidemark.llm.common.ONE_TASK_EDGES", one_task)
+@pytest.mark.parametrize("together", ["true", "false"])
+def test_components_of_paths_stars_and_rings(spark, together):
+    """Thinned in one partition, and in several with rounds of stars after it."""
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 201), (201, 202), (202, 200), (7, 7), (None, 3), (201, 200)]
-    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": together}):
+        got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), 200: 200, 201: 200, 202: 200}
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, materialize, scratch_path, small_side
+from .common import WHITE, free_names, materialize, scratch_path, small_side
 
 #: Stands for a null identifier in the state: after all others.
 _LAST = (1 << 63) - 1
@@ -118,10 +118,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if ambiguous.isEmpty():
         gone = small_side(found.where("NOT kept").select(F.col("id").alias(id_col)))
         return docs.join(gone, id_col, "left_anti")
-    sha = F.sha2(normalised(F.col(text_col)), 256)
-    keep = found.where("kept").select(F.col("text_sha256").alias("_sha"), F.col("id").alias("_id"))
-    rows = docs.withColumn("_sha", sha).withColumn("_chars", F.char_length(F.coalesce(text_col, F.lit(""))))
-    rows = rows.join(keep, (rows["_sha"] == keep["_sha"]) & rows[id_col].eqNullSafe(keep["_id"]), "left_semi")
-    top = rows.groupBy("_sha").agg(F.max("_chars").alias("_top"))
-    rows = rows.join(top, "_sha").where("_chars = _top").dropDuplicates(["_sha"])
+    # by text then: of the rows that hold the winner's identifier and content the longest, and one of these
+    own, chars, by_sha, by_id, top = free_names(docs, "row_sha", "row_chars", "kept_sha", "kept_id", "most_chars")
+    keep = found.where("kept").select(F.col("text_sha256").alias(by_sha), F.col("id").alias(by_id))
+    rows = docs.withColumn(own, F.sha2(normalised(F.col(text_col)), 256)).withColumn(chars, F.char_length(F.coalesce(text_col, F.lit(""))))
+    rows = rows.join(keep, (F.col(own) == F.col(by_sha)) & F.col(id_col).eqNullSafe(F.col(by_id)), "left_semi")
+    best = rows.groupBy(F.col(own).alias(by_sha)).agg(F.max(chars).alias(top))
+    rows = rows.join(best, (F.col(own) == F.col(by_sha)) & (F.col(chars) == F.col(top)), "left_semi").dropDuplicates([own])
     return rows.select(docs.columns)

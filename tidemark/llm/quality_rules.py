@@ -144,7 +144,11 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     both = own.union(total)
     from pyspark.sql import Window
 
-    ranked = both.where("item LIKE 'w%'").withColumn("r", F.row_number().over(Window.partitionBy("all", "lang").orderBy(F.desc("n"), "item")))
+    # the first of each share of a language's words, then the first of these: no task ranks all words of a language
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "item"))
+    some = both.where("item LIKE 'w%'").withColumn("share", F.expr("pmod(xxhash64(item), 32)"))
+    some = some.withColumn("r", rank("all", "lang", "share")).where(F.col("r") <= rules.common_words)
+    ranked = some.withColumn("r", rank("all", "lang"))
     refs: dict = {}
     for r in both.where("item LIKE '#%'").collect():
         refs.setdefault((r["all"], r.lang), [np.zeros(N_CLASSES + 1), []])[0][int(r.item[1:])] = r.n

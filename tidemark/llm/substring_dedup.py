@@ -139,9 +139,8 @@ def _runs(rows: DataFrame, p: SubstringParams) -> DataFrame:
 
 
 def _with_texts(src: DataFrame, per_doc: DataFrame) -> DataFrame:
-    """Texts of the documents that per_doc, a scratch table, names. Where it is not small, texts move, unsorted, to its hash tables."""
-    small = small_side(per_doc)
-    return src.join(small if small is not per_doc else per_doc.hint("shuffle_hash"), "id")
+    """Texts of the documents that per_doc names: texts move, unsorted, to its hash tables, in one way at every size."""
+    return src.join(per_doc.hint("shuffle_hash"), "id")
 
 
 def _digests(src: DataFrame, ranges: DataFrame, scratch: Scratch) -> DataFrame:

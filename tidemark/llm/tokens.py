@@ -9,8 +9,9 @@ import numpy as np
 
 #: A space that a later white-space character or the end follows: the text is then encoded whole.
 _ODD = re.compile(r" (?=\s)| $")
-#: Distinct chunks, and distinct words, that a worker keeps; later ones live for their batch. Bounds memory, never results.
-CACHE_ENTRIES = 700_000
+#: Distinct chunks, and distinct words inside of chunks, that a worker keeps, and the longest ones that it keeps; later
+#: ones live for their batch. Bounds memory (about 80 MB), never results.
+CACHE_ENTRIES, CACHE_WORDS, CACHE_CHARS = 500_000, 150_000, 64
 _OPEN: dict = {}
 
 
@@ -56,21 +57,27 @@ class ByteBpe:
 
     def _word(self, word: str) -> bytes:
         spelled = "".join(map(self.letters.__getitem__, word.encode("utf-8")))
-        got = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
-        if len(self.words) < CACHE_ENTRIES:
-            self.words[word] = got
+        return np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
+
+    def _part(self, word: str) -> bytes:
+        got = self.words.get(word)
+        if got is None:
+            got = self._word(word)
+            if len(self.words) < CACHE_WORDS and len(word) <= CACHE_CHARS:
+                self.words[word] = got
         return got
 
     def _learn(self, new: list[str]) -> None:
         """Encode chunks, each of which stands after a space."""
-        words, word, find, chunks = self.words, self._word, self.words_of, self.chunks
+        part, find, chunks = self._part, self.words_of, self.chunks
         odd = []
         for c in new:
             if any(s in c for s in self.special):
                 odd.append(c)
                 continue
             parts = find(" " + c)
-            chunks[c] = b"".join([words.get(w) or word(w) for w in parts])
+            # a chunk of one word is kept as a chunk alone
+            chunks[c] = b"".join(map(part, parts)) if len(parts) > 1 else b"".join(map(self._word, parts))
         chunks.update(zip(odd, self._library([" " + c for c in odd])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -83,8 +90,9 @@ class ByteBpe:
         self._learn(new)
         apart = iter(self._library([t if c is None else c[0] for t, c in zip(texts, cut)]))
         out = [next(apart) if c is None else next(apart) + b"".join(map(known.__getitem__, c[1:])) for c in cut]
-        for c in new[max(0, room) :]:
-            del known[c]
+        for i, c in enumerate(new):
+            if i >= room or len(c) > CACHE_CHARS:
+                del known[c]
         return out
 
 
