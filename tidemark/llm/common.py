@@ -208,9 +208,12 @@ BROADCAST_BYTES = 8 << 20
 
 
 def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """A scratch table, or rows chosen from one, with a broadcast hint if its statistics prove it small, else as it is."""
+    """A scratch table, or rows chosen from one, hinted: broadcast if its statistics prove it small, else hash tables by key.
+
+    In neither case is the other side, which may hold texts, sorted.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= most else df
+    return F.broadcast(df) if size <= most else df.hint("shuffle_hash")
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:

@@ -212,11 +212,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, p: SubstringParams = Subst
     named = scanned.where(f"id IS NOT NULL AND n_words >= {p.k}")
     classes = scratch.table(named.groupBy("key").agg(F.min("id").alias("rep")), "substring-classes")
     copies = scratch.table(named.select("id", "key").join(classes, "key").where("rep < id").select("id", "key", "rep").distinct(), "substring-copies")
-    copies = small_side(copies)
-    rows = scanned.select("id", "n_words", "key", "k64", "words_sha").join(copies, ["id", "key"], "left").select("id", "n_words", "k64", "words_sha", F.col("rep").alias("copy_of"))
+    rows = scanned.select("id", "n_words", "key", "k64", "words_sha").join(copies.hint("shuffle_hash"), ["id", "key"], "left").select("id", "n_words", "k64", "words_sha", F.col("rep").alias("copy_of"))
     rows = scratch.table(rows, "substring-rows", keep=True)
     # copies are fewer than documents: they are taken out
-    grams = named.select("id", "key", "grams").join(copies, ["id", "key"], "left_anti").select("id", F.explode("grams").alias("gram"))
+    grams = named.select("id", "key", "grams").join(copies.hint("shuffle_hash"), ["id", "key"], "left_anti").select("id", F.explode("grams").alias("gram"))
     shared = scratch.table(grams.groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("gram"), "substring-grams")
     mine = grams.join(shared.hint("shuffle_hash"), "gram").groupBy("id").agg(F.collect_set("gram").alias("shared"))
     mine = scratch.table(mine, "substring-mine")
@@ -241,9 +240,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, p: SubstringParams = Subst
     read = _digests(src, paths.select(F.col("src_id").alias("id"), F.col("src_k").alias("k64"), F.col("src_start").alias("start"), "words"), scratch)
     read = read.select(F.col("id").alias("src_id"), F.col("k64").alias("src_k"), F.col("start").alias("src_start"), "words", "digest")
     paths = scratch.table(paths.join(read, ["src_id", "src_k", "src_start", "words"]), "substring-sources")
-    heads = distinct.select("seg", F.posexplode(F.slice("edges", F.lit(1), F.col("n"))).alias("i", "edge")).join(small_side(paths).hint("shuffle_hash"), "edge")
+    heads = distinct.select("seg", F.posexplode(F.slice("edges", F.lit(1), F.col("n"))).alias("i", "edge")).join(paths.hint("shuffle_hash"), "edge")
     heads = scratch.table(heads.drop("edge"), "substring-heads")
-    spans = occ.select("id", "k64", "start", "seg").join(small_side(heads), "seg").where("src_id < id")
+    spans = occ.select("id", "k64", "start", "seg").join(heads.hint("shuffle_hash"), "seg").where("src_id < id")
     spans = spans.select("id", "k64", (F.col("start") + F.col("i")).alias("start"), "words", "src_id", "src_k", "src_start", "digest")
     spans = scratch.table(spans, "substring-spans")
     scratch.drop("substring-runs", "substring-segments", "substring-paths", "substring-sources", "substring-heads", "substring-wanted")
@@ -294,7 +293,7 @@ def substring_dedup(docs: DataFrame, p: SubstringParams = SubstringParams(), id_
         rows, spans = repeated_spans(docs, scratch, p, id_col, text_col)
         cut = _cut(src, spans, scratch).withColumn("sha", F.sha2("kept", 256))
         cut = scratch.table(cut.dropDuplicates(["id", "k64"]) if not rows.groupBy("id", "k64").count().where("count > 1").isEmpty() else cut, "substring-cut", keep=True)
-    out = rows.join(small_side(cut), ["id", "k64"], "left")
+    out = rows.join(cut.hint("shuffle_hash"), ["id", "k64"], "left")
     copy = F.col("copy_of").isNotNull()
     return out.select(
         "id",
@@ -321,8 +320,7 @@ def remove_repeats(docs: DataFrame, p: SubstringParams = SubstringParams(), id_c
         by_id, forms = free_names(docs, "row_id", "row_forms")
         change = change.groupBy(F.col("id").alias(by_id)).agg(F.collect_list(F.struct("words_sha", "kept")).alias(forms))
         change = scratch.table(change, "substring-changes", keep=True)
-    small = small_side(change)
-    redo = docs.join(small if small is not change else change.hint("shuffle_hash"), F.col(id_col) == F.col(by_id), "left")
+    redo = docs.join(small_side(change), F.col(id_col) == F.col(by_id), "left")
     # only texts of documents that change are hashed again
     sha = F.sha2(F.trim(F.regexp_replace(text_col, r"[\x20\x09-\x0D]+", " ")), 256)
     new = F.when(F.col(forms).isNotNull(), F.get(F.filter(forms, lambda x: x["words_sha"] == sha), F.lit(0))["kept"])
