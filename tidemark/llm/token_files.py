@@ -149,8 +149,10 @@ def read_bytes(path: str) -> bytes:
         return f.read()
 
 
-def as_uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+def as_uri(spark: SparkSession, path: str) -> str:
+    """The path as Spark itself would read it: without a scheme it is one of the default file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().replace("file:/", "file:///", 1).replace("file://///", "file:///", 1)
 
 
 def write_token_files(docs: DataFrame, out: str, end_id: int = 2, vocab_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = 16_000_000, width: int = 2) -> DataFrame:
@@ -158,7 +160,7 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = 2, vocab_path: st
 
     width: bytes per id; two suffice for vocabularies of up to 65,536 ids. A shard closes at shard_ids ids.
     """
-    vocab, root = vocab_path or default_path("byte_bpe_50k.json"), as_uri(out)
+    vocab, root = vocab_path or default_path("byte_bpe_50k.json"), as_uri(docs.sparkSession, out)
 
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe.shared(vocab, f"<u{width}")
@@ -203,10 +205,13 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         for paths, bases in batches_with(["path", "base"], it):
             for path, base in zip(paths, bases):
                 s = Shard(read_bytes(path))
-                ends = s.ends.all()
-                starts = np.concatenate(([0], ends[:-1]))
-                crcs = [zlib.crc32(s.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(s.doc_ids(), pa.int64()), pa.array(starts + base), pa.array(ends - starts), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                for first in range(0, s.n_docs, 10_000):
+                    own = range(first, min(s.n_docs, first + 10_000))
+                    # each document by its select structures, as a reader of single documents would find it
+                    spans = [s.span(i) for i in own]
+                    crcs = [zlib.crc32(s.ids[a:b].astype("<u4").tobytes()) for a, b in spans]
+                    cols = [[s.doc_id(i) for i in own], [base + a for a, _ in spans], [b - a for a, b in spans], crcs]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return based.repartition(parts, "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -87,7 +87,7 @@ def revisits_of(pages: DataFrame, min_payload: int = 1000) -> DataFrame:
 
 def write_warcs(pages: DataFrame, out: str, min_payload: int = 1000, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", file_bytes: int = 64_000_000) -> DataFrame:
     """Write the archives under out; returns the index, already complete. A file closes at file_bytes."""
-    root = as_uri(out)
+    root = as_uri(pages.sparkSession, out)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).alias("html"))
     twins = revisits_of(rows, min_payload)
     if twins.isEmpty():
