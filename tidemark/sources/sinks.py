@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.price import rfc822_day
+from ..functions.price import month_label, pct_label, rfc822_day
 from ..functions.text import escape_markup
 from ..operators.runs import merge_run_log
 
@@ -92,3 +92,75 @@ def html_row(cols: list[tuple[str, Column]]) -> Column:
     """A table row whose cells carry their column's label."""
     cells = [F.concat(F.lit(f'<td data-label="{name}">'), escape_markup(c), F.lit("</td>")) for name, c in cols]
     return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+
+
+def html_table(rows: Column, headers: list[str], empty: str) -> Column:
+    """A table from an array of arrays of cell texts: a header, cells that carry their column's label, or a message if there are none."""
+    head = "".join(f"<th>{h}</th>" for h in headers)
+    cell = lambda r, i: F.concat(F.lit(f'<td data-label="{headers[i]}">'), escape_markup(F.get(r, F.lit(i))), F.lit("</td>"))
+    lines = F.transform(rows, lambda r: F.concat(F.lit("<tr>"), *[cell(r, i) for i in range(len(headers))], F.lit("</tr>")))
+    table = F.concat(F.lit(f"<table><thead><tr>{head}</tr></thead><tbody>"), F.array_join(lines, ""), F.lit("</tbody></table>"))
+    return F.when(F.coalesce(F.size(rows), F.lit(0)) > 0, table).otherwise(F.lit(f'<p class="empty">{empty}</p>'))
+
+
+def html_page(title: Column, body: Column) -> Column:
+    return F.concat(F.lit('<!doctype html><html><head><meta charset="utf-8"><title>'), escape_markup(title), F.lit("</title></head><body><h1>"), escape_markup(title), F.lit("</h1>"), body, F.lit("</body></html>"))
+
+
+_MOVE_HEADS = ["Date", "Item", "From", "To", "Change"]
+
+
+def _move_cells(m: Column) -> Column:
+    return F.array(F.date_format(m["date"], "yyyy-MM-dd"), m["item"], F.coalesce(m["from"], F.lit("")), F.coalesce(m["to"], F.lit("")), pct_label(m["pct"]))
+
+
+def tool_pages(history: DataFrame, most: int = 60) -> DataFrame:
+    """(path, html) of one page per target from reports.with_history rows (slug, name, history); what is cut is counted."""
+    shown = F.transform(F.slice("history", 1, most), _move_cells)
+    rest = F.size("history") - most
+    body = F.concat(html_table(shown, _MOVE_HEADS, "No moves yet."), F.when(rest > 0, F.concat(F.lit("<p>"), rest.cast("string"), F.lit(" more</p>"))).otherwise(""))
+    return history.select(F.concat(F.lit("t/"), F.col("slug"), F.lit(".html")).alias("path"), html_page(F.coalesce("name", "slug"), body).alias("html"))
+
+
+def month_page_files(moves: DataFrame) -> DataFrame:
+    """(path, html) of one page per month and vendor of moves; a vendor's month is bounded by its pages and days."""
+    month = F.date_format("date", "yyyy-MM")
+    item = F.struct("date", "item", "seq", "from", "to", "pct")
+    got = moves.groupBy(month.alias("month"), "vendor").agg(F.sort_array(F.collect_list(item), asc=False).alias("rows"))
+    title = F.concat(F.col("vendor"), F.lit(" in "), month_label(F.col("month")))
+    return got.select(F.concat(F.lit("m/"), "month", F.lit("/"), "vendor", F.lit(".html")).alias("path"), html_page(title, html_table(F.transform("rows", _move_cells), _MOVE_HEADS, "No moves.")).alias("html"))
+
+
+def index_page(targets: DataFrame, recent: DataFrame, title: str, most: int = 20) -> DataFrame:
+    """(path, html) of the index: the newest moves (a top-k) and how many targets each category has."""
+    top = recent.orderBy(F.desc("date"), F.desc("vendor"), "seq").limit(most)
+    rows = top.agg(F.sort_array(F.collect_list(F.struct("date", "vendor", (-F.col("seq")).alias("back"), "item", "from", "to", "pct")), asc=False).alias("r"))
+    groups = targets.groupBy("category").agg(F.count(F.lit(1)).alias("n")).agg(F.array_sort(F.collect_list(F.array("category", F.col("n").cast("string")))).alias("g"))
+    body = F.concat(html_table(F.transform("r", _move_cells), _MOVE_HEADS, "No moves yet."), html_table(F.col("g"), ["Category", "Targets"], "No targets."))
+    return rows.crossJoin(groups).select(F.lit("index.html").alias("path"), html_page(F.lit(title), body).alias("html"))  # one row each
+
+
+def write_files(files: DataFrame, root: str, path: str = "path", content: str = "html") -> DataFrame:
+    """Write each row's content to its path under root, through a name of its own, and name what was there and is no longer wanted.
+
+    root is a folder that every task reaches by name (a mounted folder); returns (path) of stale files.
+    """
+    import os
+    import uuid
+
+    def put(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for at, text in zip(pdf[path], pdf[content]):
+                full = os.path.join(root, at)
+                os.makedirs(os.path.dirname(full), exist_ok=True)
+                with open(tmp := f"{full}.{uuid.uuid4().hex}", "w", encoding="utf-8") as f:
+                    f.write(text)
+                os.replace(tmp, full)
+            yield pdf[[path]]
+
+    wanted = files.select(path, content).mapInPandas(put, f"{path} string")
+    names = [r[0] for r in wanted.collect()]  # pages of a site are few: targets and months
+    spark = files.sparkSession
+    there = [os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root) for f in fs if f.endswith((".html", ".xml"))]
+    existing, now = (spark.createDataFrame([(n,) for n in x], f"{path} string") for x in (there, names))
+    return stale(existing, now, path)
