@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -168,11 +169,13 @@ def test_automaton_equals_edit_distance():
     words = ["".join(w) for n in range(5) for w in itertools.product("ab", repeat=n)]
     for a in words[::3]:
         for b in words[::2]:
-            auto = X.Automaton(a, 99)
-            state, prev, before = auto.start(), None, ""
-            for c in b:
-                state, prev, before = auto.step(state, c, prev, before), state, c
-            assert state[-1] == distance(a, b)
+            for limit in (0, 1, 2, 4):
+                auto = X.Automaton(a, limit)
+                state, before, last = auto.start(), None, ""
+                for i, c in enumerate(b):
+                    state, before, last = auto.step(state, i, c, before, last), state, c
+                assert auto.distance(state, len(b)) == min(distance(a, b), limit + 1)
+                assert auto.nearest(state) == min(min(distance(a[:j], b) for j in range(len(a) + 1)), limit + 1)
 
 
 def test_misspelled_terms_and_quotation():
@@ -253,3 +256,22 @@ def test_toxicity_awkward_rows(spark):
     got = X.score_documents(S.clashing(S.awkward(spark)), lex).collect()
     assert len(got) == 11 and not any(r.predicted for r in got)
     assert X.score_documents(S.empty(spark), lex).count() == 0
+
+
+def test_the_filter_before_the_automaton_loses_no_match():
+    """Every word that the automaton matches is looked at: up to three random edits of terms and stems."""
+    r = random.Random(11)
+    terms = {w: 1.0 for w in ("moron", "idiot", "disgusting", "degenerate", "clown", "trash", "loser", "worthless")}
+    stems = {w: 1.0 for w in ("stupid", "imbecil", "abcdefgh", "nast")}
+    lex = X.Lexicon(terms, stems)
+    scorer = X.Scorer(lex, X.ToxicParams())
+    matched = 0
+    for _ in range(30_000):
+        w = r.choice([*terms, *stems]) + r.choice(["", "", "ity", "xq"])
+        for _ in range(r.randint(0, 3)):
+            i = r.randrange(len(w))
+            w = r.choice([w[:i] + w[i + 1 :], w[:i] + r.choice("abcdeimnorstuy") + w[i:], w[:i] + r.choice("aeinost") + w[i + 1 :], w[: i - 1] + w[i : i + 1] + w[i - 1 : i] + w[i + 1 :] if i else w]) or "x"
+        if X.match(lex, w, scorer.p):
+            matched += 1
+            assert scorer.maybe(w), w
+    assert matched > 3000

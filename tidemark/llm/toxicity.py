@@ -79,27 +79,80 @@ class Lexicon:
             node["\0" + kind] = (w, weight)
 
 
-class Automaton:
-    """The Levenshtein automaton of one word: a state is a row of distances, cut off above the limit."""
+class _Steps:
+    """Transitions of the Levenshtein automata of one limit, shared by all words.
 
-    def __init__(self, word: str, limit: int):
-        self.word, self.limit = word, limit
+    A state is the stretch of the row of distances that can stay within the limit, 2 * limit + 1 places about
+    the diagonal, cut off above it. Where it goes depends on that stretch, the one before it (a swap of
+    neighbours is one edit) and on which of the word's letters there equal the term's; each is worked out once.
+    """
 
-    def start(self) -> tuple[int, ...]:
-        return tuple(range(len(self.word) + 1))
+    def __init__(self, limit: int):
+        self.limit, self.width = limit, 2 * limit + 1
+        self.full = (1 << self.width) - 1
+        self.rows: list[tuple[int, ...]] = []
+        self.least: list[int] = []
+        self.ids: dict[tuple[int, ...], int] = {}
+        self.known: dict[tuple[int, int, int, int, int], int] = {}
+        self.dead = self.number((limit + 1,) * self.width)
+
+    def number(self, row: tuple[int, ...]) -> int:
+        if row not in self.ids:
+            self.ids[row] = len(self.rows)
+            self.rows.append(row)
+            self.least.append(min(row))
+        return self.ids[row]
+
+    def go(self, key: tuple[int, int, int, int, int]) -> int:
+        """key: state, state before it, letters that equal, letters that a swap makes equal, places inside the word."""
+        row, old, same, swapped, inside = self.rows[key[0]], self.rows[key[1]], *key[2:]
+        over = self.limit + 1
+        out: list[int] = []
+        for t in range(self.width):
+            d = over
+            if inside >> t & 1:
+                d = min(row[t] + (not same >> t & 1), row[t + 1] + 1 if t + 1 < self.width else over, out[-1] + 1 if out else over, old[t] + 1 if swapped >> t & 1 else over, over)
+            out.append(d)
+        got = self.known[key] = self.number(tuple(out))
+        return got
+
+
+_STEPS: dict[int, _Steps] = {}
 
-    def step(self, state: tuple[int, ...], c: str, prev: tuple[int, ...] | None = None, before: str = "") -> tuple[int, ...]:
-        """After one more character of a term; a swap of neighbours counts as one edit."""
-        row = [state[0] + 1]
-        for j, w in enumerate(self.word):
-            d = min(row[j] + 1, state[j + 1] + 1, state[j] + (w != c))
-            if prev is not None and j and before == w and self.word[j - 1] == c:
-                d = min(d, prev[j - 1] + 1)
-            row.append(d)
-        return tuple(row)
 
-    def alive(self, state: tuple[int, ...]) -> bool:
-        return min(state) <= self.limit
+class Automaton:
+    """The Levenshtein automaton of one word; states are numbers of its limit's table."""
+
+    def __init__(self, word: str, limit: int):
+        if limit not in _STEPS:
+            _STEPS[limit] = _Steps(limit)
+        self.steps, self.n, self.limit = _STEPS[limit], len(word), limit
+        self.at: dict[str, int] = {}
+        for i, c in enumerate(word):
+            self.at[c] = self.at.get(c, 0) | 1 << (i + limit)
+        self.inside = ((1 << (self.n + 1)) - 1) << limit
+
+    def start(self) -> int:
+        k = self.limit
+        return self.steps.number(tuple(t - k if 0 <= t - k <= self.n else k + 1 for t in range(self.steps.width)))
+
+    def step(self, state: int, depth: int, c: str, before: int | None = None, last: str = "") -> int:
+        """From the state after `depth` characters of a term to the one after its next, c; before and last: one character ago."""
+        s = self.steps
+        own = self.at.get(c, 0)
+        swapped = (self.at.get(last, 0) >> depth) & (own >> (depth - 1)) & s.full if before is not None else 0
+        key = (state, s.dead if before is None else before, (own >> depth) & s.full, swapped, (self.inside >> (depth + 1)) & s.full)
+        got = s.known.get(key)
+        return s.go(key) if got is None else got
+
+    def distance(self, state: int, depth: int) -> int:
+        """Of the whole word from a term of that length; above the limit it is the limit plus one."""
+        t = self.n - depth + self.limit
+        return self.steps.rows[state][t] if 0 <= t < self.steps.width else self.limit + 1
+
+    def nearest(self, state: int) -> int:
+        """Of the word's nearest beginning."""
+        return self.steps.least[state]
 
 
 def match(lex: Lexicon, word: str, p: ToxicParams) -> tuple[float, int] | None:
@@ -108,27 +161,29 @@ def match(lex: Lexicon, word: str, p: ToxicParams) -> tuple[float, int] | None:
     The first character of a term must match: edits there make other words more often than misspellings.
     """
     limit = 2 if len(word) >= p.two_edits else 1 if len(word) >= p.one_edit else 0
-    auto = Automaton(word, limit)
-    best: tuple[float, int] | None = None
     node = lex.trie.get(word[:1])
     if node is None:
         return None
-    stack = [(node, auto.step(auto.start(), word[0]), auto.start(), word[0])]
+    auto = Automaton(word, limit)
+    best: tuple[float, int] | None = None
+    first = auto.start()
+    stack = [(node, auto.step(first, 0, word[0]), first, word[0], 1)]
     while stack:
-        node, state, prev, before = stack.pop()
+        node, state, before, last, depth = stack.pop()
         for key, sub in node.items():
             if key[0] == "\0":
                 term, weight = sub
-                d = state[-1]
                 if key == "\0*":
                     # the nearest beginning of the word; short stems must stand exactly, as edits would reach other words
-                    d = 0 if word.startswith(term) else min(state) if len(term) >= p.stem_edit else limit + 1
+                    d = 0 if word.startswith(term) else auto.nearest(state) if len(term) >= p.stem_edit else limit + 1
+                else:
+                    d = auto.distance(state, depth)
                 if d <= limit and d <= len(term) // 4 and (best is None or (weight * 0.9**d) > best[0] * 0.9 ** best[1]):
                     best = (weight, d)
             else:
-                nxt = auto.step(state, key, prev, before)
-                if auto.alive(nxt):
-                    stack.append((sub, nxt, state, key))
+                nxt = auto.step(state, depth, key, before, last)
+                if auto.nearest(nxt) <= limit:
+                    stack.append((sub, nxt, state, key, depth + 1))
     return best
 
 
@@ -141,6 +196,23 @@ def _deletions(word: str, n: int) -> set[str]:
     return out
 
 
+class _Bit(dict):
+    def __missing__(self, c: str) -> int:
+        self[c] = bit = 1 << (ord(c) & 63)
+        return bit
+
+
+_BIT = _Bit()
+
+
+def _letters(word: str) -> int:
+    """The set of a word's letters as bits; letters that share a bit make it a smaller set, never another one."""
+    out = 0
+    for c in word:
+        out |= _BIT[c]
+    return out
+
+
 class Scorer:
     """Hits and score of a text; remembers the words it has matched."""
 
@@ -149,25 +221,23 @@ class Scorer:
         self.seen: dict[str, tuple[float, int] | None] = {}
         # words within k edits (swaps too) of a term with the same first letter share a form with up to k taken out of each
         self.keys: set[str] = set()
-        # first letter and length of a word -> the most edits that some term allows it
-        self.edits: dict[tuple[str, int], int] = {}
+        # first letter and length of a word -> the letters of each term that it may be, and the edits that this allows it
+        self.near: dict[tuple[str, int], list[tuple[int, int]]] = {}
         for w in lex.terms:
             k = min(2, len(w) // 4)
             self.keys |= _deletions(w, k)
             for n in range(max(1, len(w) - k), len(w) + k + 1):
                 own = min(k, self.limit(n))
                 if abs(n - len(w)) <= own:
-                    self.edits[w[0], n] = max(own, self.edits.get((w[0], n), 0))
+                    self.near.setdefault((w[0], n), []).append((_letters(w), own))
         self.stem_lengths = sorted({len(w) for w in lex.stems})
-        # first letter -> beginnings that may be a misspelled stem: (their length, the most edits)
-        self.begins: dict[str, dict[int, int]] = {}
+        # first letter -> of each stem that may be misspelled its letters, its length and the edits that it allows
+        self.begins: dict[str, list[tuple[int, int, int]]] = {}
         for w in lex.stems:
             if len(w) >= p.stem_edit:
                 k = min(2, len(w) // 4)
                 self.keys |= _deletions(w, k)
-                own = self.begins.setdefault(w[0], {})
-                for n in range(len(w) - k, len(w) + k + 1):
-                    own[n] = max(k, own.get(n, 0))
+                self.begins.setdefault(w[0], []).append((_letters(w), len(w), k))
 
     def limit(self, n: int) -> int:
         return 2 if n >= self.p.two_edits else 1 if n >= self.p.one_edit else 0
@@ -176,19 +246,23 @@ class Scorer:
         """False only where match() finds nothing."""
         if any(word[:n] in self.lex.stems for n in self.stem_lengths):
             return True
-        k = self.edits.get((word[:1], len(word)))
+        # an edit takes one letter from the set of a word's letters and adds one at most; few words come through
+        has = _letters(word)
+        k = max((k for m, k in self.near.get((word[:1], len(word)), ()) if (m & ~has).bit_count() <= k and (has & ~m).bit_count() <= k), default=None)
         if k is not None and not self.keys.isdisjoint(_deletions(word, k)):
             return True
         limit = self.limit(len(word))
-        begins = self.begins.get(word[:1]) if limit else None
-        return bool(begins) and any(n <= len(word) and not self.keys.isdisjoint(_deletions(word[:n], min(k, limit))) for n, k in begins.items())
+        for m, n, k in self.begins.get(word[:1], ()) if limit else ():
+            if (m & ~has).bit_count() <= k and any(not self.keys.isdisjoint(_deletions(word[:i], min(k, limit))) for i in range(n - k, min(n + k, len(word)) + 1)):
+                return True
+        return False
 
     def matched(self, word: str) -> tuple[float, int] | None:
         return match(self.lex, word, self.p) if self.maybe(word) else None
 
     def lookup(self, word: str) -> tuple[float, int] | None:
         if word not in self.seen:
-            if len(self.seen) > 200_000:
+            if len(self.seen) > 400_000:
                 self.seen.clear()
             plain = word.translate(SIGNS) if not word.isalpha() else word
             got = self.matched(word) or (self.matched(plain) if plain != word else None)
