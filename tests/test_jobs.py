@@ -59,7 +59,7 @@ def test_two_days(spark, targets, tmp_path):
     assert [r.path for r in J.build_reports(spark, targets, root, str(site)).collect()] == ["t/old.html"]
     assert "$15" in (site / "t" / "one.html").read_text() and "No moves yet." in (site / "t" / "two.html").read_text()
     assert "+50%" in (site / "index.html").read_text() and (site / "m" / "2026-01" / "v.html").exists()
-    assert "<item>" in (site / "feed.xml").read_text() and "t/one.html" in (site / "sitemap.xml").read_text()
+    assert "<item>" in (site / "feed.xml").read_text() and "t/one.html" in (site / "sitemap-0.xml").read_text() and "sitemap-0.xml" in (site / "sitemap.xml").read_text()
 
 
 def test_unknown_slug_is_an_error(spark, targets):

@@ -81,7 +81,7 @@ def escape_markup(c: Column) -> Column:
 def shorten(c: Column, most: int = 260) -> Column:
     """At most `most` characters, cut at a word, with an ellipsis when cut."""
     c = F.coalesce(c, F.lit(""))
-    head = F.regexp_replace(F.substring(c, 1, most), "\\s+\\S*$", "")
+    head = F.regexp_replace(F.substring(c, 1, most), "\\s+\\S*\\z", "")
     return F.when(F.char_length(c) <= most, c).otherwise(F.concat(head, F.lit(" …")))
 
 

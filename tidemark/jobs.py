@@ -150,8 +150,7 @@ def build_reports(spark: SparkSession, targets: DataFrame, root: str, site: str,
     files = files.union(sinks.month_page_files(moves)).union(sinks.index_page(targets, moves, "Price moves"))
     feed = sinks.rss(reports.feed(moves), "Price moves", "Moves of watched prices", base_url).select(F.lit("feed.xml").alias("path"), F.col("xml").alias("html"))
     pages = moves.groupBy(F.concat(F.lit("t/"), "slug", F.lit(".html")).alias("path")).agg(F.max("date").alias("lastmod"))
-    urls = sinks.sitemap(pages, base_url).select(F.lit("sitemap.xml").alias("path"), F.col("xml").alias("html"))
-    return sinks.write_files(files.union(feed).union(urls), site)
+    return sinks.write_files(files.union(feed).union(sinks.sitemap_files(pages, base_url)), site)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import patterns as pt
 from ..functions import price as fp
 from ..functions import text as ft
 from ..functions import urls as fu
@@ -372,6 +373,26 @@ def redact_secrets(spark, sf_dir):
     return spark.sql(f"SELECT CAST(id AS long) AS id, t FROM {_SECRET_ROWS} AS v(id, t)").union(d).select("id", ft.content_hash(ft.redact_secrets(F.col("t"))).alias("redacted"))
 
 
+_NORMAL = "regexp_replace(coalesce(text, ''), '[\\x{200B}\\x{FEFF}]', '', 'g')"
+for _p in pt.SECRETS:
+    _NORMAL = f"regexp_replace({_NORMAL}, '{_p}', '{pt.SECRET_MARK}', 'g')"
+for _p, _m in pt.VOLATILE:
+    _NORMAL = f"regexp_replace({_NORMAL}, '{_p}', '{_m}', 'g')"
+_EDGE = "[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+
+
+@query(rf"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split({_NORMAL}, chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \t\x{{00A0}}\x{{2007}}\x{{202F}}]+', ' ', 'g'), '^{_EDGE}|{_EDGE}$', '', 'g')), lambda x: x <> '') AS a FROM documents)
+SELECT doc_id, sha256(array_to_string(list_transform(a, lambda x: regexp_replace(x, '^\d{{1,3}}([.,]\d+)?\s?[KMB]\+?$', '<count>')), chr(10)) || chr(10)) AS content_hash FROM l""")
+def normalized_text(spark, sf_dir):
+    """Without the Unicode normal form, which SQL lacks."""
+    return _t(spark, sf_dir, "documents").select("doc_id", ft.content_hash(ft.normalize_text(F.col("text"), unicode=False)).alias("content_hash"))
+
+
+@query(r"""SELECT doc_id, CASE WHEN length(text) <= 260 THEN text ELSE regexp_replace(substr(text, 1, 260), '\s+\S*$', '') || ' …' END AS shown FROM documents""")
+def shortened_text(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", ft.shorten(F.col("text")).alias("shown"))
+
+
 _COUNTER = "VALUES (1, '173.1K'), (2, '10K requests per month'), (3, '5M+'), (4, '12'), (5, '1,5B'), (6, '173.1k')"
 
 

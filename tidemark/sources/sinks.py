@@ -74,6 +74,20 @@ def sitemap(pages: DataFrame, base_url: str) -> DataFrame:
     return pages.agg(F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), all_, F.lit("</urlset>")).alias("xml"))
 
 
+def sitemap_files(pages: DataFrame, base_url: str, most: int = 50_000) -> DataFrame:
+    """(path, html): sitemaps of some `most` URLs at most each, and an index of them; for sites of any size."""
+    shards = max(1, -(-pages.count() * 5 // (4 * most)))  # dealt by hash, so a fifth is left free
+    files = pages.withColumn("shard", F.expr(f"pmod(xxhash64(path), {shards})"))
+    url = F.concat(F.lit("<url><loc>"), escape_markup(F.concat(F.lit(base_url.rstrip("/") + "/"), F.col("path"))), F.lit("</loc><lastmod>"), F.date_format("lastmod", "yyyy-MM-dd"), F.lit("</lastmod></url>"))
+    space = "http://www.sitemaps.org/schemas/sitemap/0.9"
+    body = files.groupBy("shard").agg(F.array_join(F.array_sort(F.collect_list(url)), "").alias("urls"), F.max("lastmod").alias("lastmod"))
+    name = F.concat(F.lit("sitemap-"), F.col("shard").cast("string"), F.lit(".xml"))
+    maps = body.select(name.alias("path"), F.concat(F.lit(f'<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="{space}">'), F.col("urls"), F.lit("</urlset>")).alias("html"))
+    entry = F.concat(F.lit(f"<sitemap><loc>{base_url.rstrip('/')}/"), name, F.lit("</loc></sitemap>"))
+    index = body.agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("e")).select(F.lit("sitemap.xml").alias("path"), F.concat(F.lit(f'<?xml version="1.0" encoding="UTF-8"?><sitemapindex xmlns="{space}">'), F.col("e"), F.lit("</sitemapindex>")).alias("html"))
+    return maps.union(index)
+
+
 def status_document(row: DataFrame) -> DataFrame:
     """One JSON document per row; unknown values stay as nulls."""
     return row.select(F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"}).alias("json"))
