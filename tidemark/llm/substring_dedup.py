@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_names, materialize, sequence_key, small_side
+from .common import Scratch, free_names, sequence_key
 from .wordscan import Words, binary_column, list_column, mix64, sliding_least, text_slices, window_hashes, words_in
 
 
@@ -320,7 +320,7 @@ def remove_repeats(docs: DataFrame, p: SubstringParams = SubstringParams(), id_c
         by_id, forms = free_names(docs, "row_id", "row_forms")
         change = change.groupBy(F.col("id").alias(by_id)).agg(F.collect_list(F.struct("words_sha", "kept")).alias(forms))
         change = scratch.table(change, "substring-changes", keep=True)
-    redo = docs.join(small_side(change), F.col(id_col) == F.col(by_id), "left")
+    redo = docs.join(change.hint("shuffle_hash"), F.col(id_col) == F.col(by_id), "left")
     # only texts of documents that change are hashed again
     sha = F.sha2(F.trim(F.regexp_replace(text_col, r"[\x20\x09-\x0D]+", " ")), 256)
     new = F.when(F.col(forms).isNotNull(), F.get(F.filter(forms, lambda x: x["words_sha"] == sha), F.lit(0))["kept"])
