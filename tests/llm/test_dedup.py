@@ -33,6 +33,21 @@ def test_exact_dedup_matches_brute_force(spark, bits):
         assert (r.keep_id, r.group_size, r.kept, r.text_sha256) == (keep, size, r.id == keep, sha)
 
 
+def test_locators_name_file_and_row(spark, tmp_path):
+    S.docs(spark, ["a b", "c", "ab", "c c"]).coalesce(1).write.parquet(f"{tmp_path}/d")
+    got = {r.id: r.keep_locator for r in E.exact_dedup(spark.read.parquet(f"{tmp_path}/d")).collect()}
+    assert got[0] == got[2] and got[0].endswith("#0") and got[3].endswith("#3") and ".parquet" in got[1]
+
+
+def test_state_goes_on_where_it_ended(spark, tmp_path):
+    """Two runs over a growing source with the same folders: entries keep their counts, no digest is forgotten."""
+    source, sink, at = (f"{tmp_path}/{x}" for x in ("keys", "sink", "state"))
+    for texts, ids in ((["x y", "z"], [5, 6]), (["xy ", "w"], [3, 9])):
+        E.keyed_rows(S.docs(spark, texts, ids)).write.mode("append").parquet(source)
+        state = {r.keep_id: r.n for r in E.stream_state(spark, source, sink, at).collect()}
+    assert state == {3: 2, 6: 1, 9: 1}
+
+
 def test_exact_dedup_awkward_rows(spark):
     df = S.clashing(S.awkward(spark))
     got = E.exact_dedup(df).collect()

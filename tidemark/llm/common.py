@@ -203,8 +203,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return materialize(cur.select(F.col("u").alias("id"), F.col("v").alias("component")).union(cur.select(F.col("v"), F.col("v")).distinct()), "components")
 
 
-#: Bytes of a written table up to which it may be broadcast; beyond them the shuffled, skew-split join is used.
-BROADCAST_BYTES = 8 << 20
+#: Bytes of a written, compressed table up to which it may be broadcast (sorted identifiers take a byte or two each there and
+#: some fifty in a hash table, so about 100 MB); beyond them the shuffled, skew-split join is used.
+BROADCAST_BYTES = 2 << 20
 
 
 def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:

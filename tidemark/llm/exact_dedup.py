@@ -3,8 +3,10 @@
 Each row becomes (digest of the normalised text, stable identifier, code points, content locator). A
 Structured Streaming query keyed by digest keeps one RocksDB entry for each digest for ever: how many
 rows had it, and the identifier and locator of the row that stays. Digests with more than one row are
-hits; the full normalised bytes of their rows are then read again and compared. A digest whose rows
-differ in bytes (a collision) is settled by the bytes themselves.
+hits; the full normalised bytes of their rows are then read again and compared, the least with the
+greatest of each digest, so that a hot digest's rows combine before they move. A digest whose rows differ
+in bytes (a collision) is settled by the bytes themselves. The locator (file and row) of the row that
+stays is part of the result.
 
 Defined cases: a null text counts as empty; all texts that normalise to nothing are equal. A null
 identifier sorts after all others on ties; keep_id is null where such a row stays. Of rows repeated in
@@ -14,10 +16,11 @@ read by the decision, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, free_names, materialize, scratch_path, small_side
+from .common import WHITE, free_names, materialize, remove_path, scratch_path, small_side
 
 #: Stands for a null identifier in the state: after all others.
 _LAST = (1 << 63) - 1
@@ -37,6 +40,15 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, "")
 
 
+def content_locator(docs: DataFrame) -> Column:
+    """Where a row's content lies: its file and its place there; of rows that come from no such file, the file or nothing."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return F.input_file_name()
+    return F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+
+
 def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 256) -> DataFrame:
     """All that the state sees of a row; uid tells rows with one identifier apart. digest_bits: fewer only in tests."""
     sha = F.sha2(normalised(F.col(text_col)), 256)
@@ -46,17 +58,17 @@ def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"),
         F.col(id_col).cast("long").alias("id"),
         F.monotonically_increasing_id().alias("uid"),
-        F.input_file_name().alias("locator"),
+        content_locator(docs).alias("locator"),
     )
 
 
-def stream_state(spark, source: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_state(spark: SparkSession, source: str, sink: str, at: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream the keyed rows at source through the state; its last entry for each digest.
 
     No watermark and no timeout: an entry never expires. State lives in RocksDB on the executors' disks,
-    its checkpoint in the shared folder, so the part of a lost executor is loaded anew.
+    its checkpoint in the folder `at` (shared by all), so the part of a lost executor is loaded anew and a
+    later call with the same folders goes on from there; changed entries are written to `sink`.
     """
-    sink, at = scratch_path(spark, "dedup-changes"), scratch_path(spark, "dedup-state")
     before = {k: spark.conf.get(k, None) for k in _ROCKS}
     for k, v in _ROCKS.items():
         spark.conf.set(k, v)
@@ -66,7 +78,7 @@ def stream_state(spark, source: str, files_per_batch: int | None = None) -> Data
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         best = F.max(F.struct("n_chars", (-F.coalesce("id", F.lit(_LAST))).alias("neg"), (-F.col("uid")).alias("neg_uid"), "locator"))
         state = reader.parquet(source).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
-        spark.createDataFrame([], _STATE).write.parquet(f"{sink}/batch=-1")
+        spark.createDataFrame([], _STATE).write.mode("overwrite").parquet(f"{sink}/batch=-1")
 
         def changed(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
@@ -96,7 +108,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source = scratch_path(spark, "dedup-keys")
     keyed_rows(docs, id_col, text_col, digest_bits).write.parquet(source)
     keyed = spark.read.schema(_KEYED).parquet(source)
-    state = materialize(stream_state(spark, source, files_per_batch), "dedup-final")
+    sink, at = scratch_path(spark, "dedup-changes"), scratch_path(spark, "dedup-state")
+    state = materialize(stream_state(spark, source, sink, at, files_per_batch), "dedup-final")
+    for path in (sink, at):
+        remove_path(spark, path)
     bad = materialize(_collided(docs, state, text_col, digest_bits), "dedup-collided")
     named = ["id", "keep_id", "group_size", "kept", "text_sha256", "keep_locator"]
     out = keyed.join(state, "digest").select("digest", "id", "keep_id", F.col("n").alias("group_size"), (F.col("uid") == F.col("keep_uid")).alias("kept"), F.col("sha").alias("text_sha256"), "keep_locator")
@@ -104,7 +119,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return out.select(named)
     # collided digests: the bytes decide; their full SHA-256 and text together name a group
     norm = normalised(F.col(text_col))
-    rows = docs.select(F.substring(F.sha2(norm, 256), 1, digest_bits // 4).alias("digest"), norm.alias("norm"), F.col(id_col).cast("long").alias("id"), F.char_length(F.coalesce(text_col, F.lit(""))).alias("n_chars"), F.monotonically_increasing_id().alias("uid"), F.input_file_name().alias("locator"))
+    rows = docs.select(F.substring(F.sha2(norm, 256), 1, digest_bits // 4).alias("digest"), norm.alias("norm"), F.col(id_col).cast("long").alias("id"), F.char_length(F.coalesce(text_col, F.lit(""))).alias("n_chars"), F.monotonically_increasing_id().alias("uid"), content_locator(docs).alias("locator"))
     rows = materialize(rows.join(bad, "digest", "left_semi"), "dedup-bytes")
     groups = rows.groupBy("norm").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("n_chars", (-F.coalesce("id", F.lit(_LAST))).alias("neg"), (-F.col("uid")).alias("neg_uid"), "locator")).alias("b"))
     redone = rows.join(groups, "norm").select("id", F.expr(f"nullif(-b.neg, {_LAST})").alias("keep_id"), "group_size", (F.col("uid") == -F.col("b.neg_uid")).alias("kept"), F.sha2("norm", 256).alias("text_sha256"), F.col("b.locator").alias("keep_locator"))
