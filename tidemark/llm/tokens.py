@@ -4,17 +4,32 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
 #: A space that a later white-space character or the end follows: the text is then encoded whole.
 _ODD = re.compile(r" (?=\s)| $")
-#: Distinct chunks, and distinct words inside of chunks, that a worker keeps, and the longest ones that it keeps; later
-#: ones live for their batch. Bounds memory (about 80 MB), never results.
+#: Distinct chunks, and distinct words inside of chunks, that a worker keeps, and the longest ones that it keeps; others
+#: are worked out whenever they come. Bounds memory (about 80 MB), never results.
 CACHE_ENTRIES, CACHE_WORDS, CACHE_CHARS = 500_000, 150_000, 64
 _OPEN: dict = {}
 
 
+class _Kept(dict):
+    """What was worked out, kept while there is room for it."""
+
+    def __init__(self, work, most: int):
+        self.work, self.most = work, most
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.work(key)
+        if len(self) < self.most and len(key) <= CACHE_CHARS:
+            self[key] = got
+        return got
+
+
 class ByteBpe:
     """Ids of whole texts as little-endian bytes, equal to tokenizers' encode(text, add_special_tokens=False).
 
@@ -29,6 +44,8 @@ class ByteBpe:
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
+        if sys.byteorder != "little" or array("H").itemsize != 2 or array("I").itemsize != 4:
+            raise RuntimeError("ids are written as little-endian arrays of two or four bytes")
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
@@ -41,9 +58,13 @@ class ByteBpe:
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
         if set(self.letters.values()) != set(pre_tokenizers.ByteLevel.alphabet()):
             raise ValueError("unexpected byte alphabet")
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or r"(?!)").search
+        self.code = {"<u2": "H", "<u4": "I"}[dtype]
+        # a space and ASCII letters make one word, and are spelled as themselves behind the space's letter
+        self.plain = self.words_of(" azAZ") == [" azAZ"]
+        self.space = self.letters[0x20]
+        self.chunks = _Kept(self._chunk, CACHE_ENTRIES)
+        self.words = _Kept(self._word, CACHE_WORDS)
 
     @classmethod
     def shared(cls, path: str, dtype: str = "<u4") -> ByteBpe:
@@ -55,45 +76,28 @@ class ByteBpe:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _word(self, word: str) -> bytes:
-        spelled = "".join(map(self.letters.__getitem__, word.encode("utf-8")))
-        return np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
-
-    def _part(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            got = self._word(word)
-            if len(self.words) < CACHE_WORDS and len(word) <= CACHE_CHARS:
-                self.words[word] = got
-        return got
+    def _ids(self, spelled: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode chunks, each of which stands after a space."""
-        part, find, chunks = self._part, self.words_of, self.chunks
-        odd = []
-        for c in new:
-            if any(s in c for s in self.special):
-                odd.append(c)
-                continue
-            parts = find(" " + c)
-            # a chunk of one word is kept as a chunk alone
-            chunks[c] = b"".join(map(part, parts)) if len(parts) > 1 else b"".join(map(self._word, parts))
-        chunks.update(zip(odd, self._library([" " + c for c in odd])))
+    def _word(self, word: str) -> bytes:
+        return self._ids("".join(map(self.letters.__getitem__, word.encode("utf-8"))))
+
+    def _chunk(self, c: str) -> bytes:
+        """A chunk that stands after a space."""
+        if self.special(c):
+            return self._library([" " + c])[0]
+        if self.plain and c.isascii() and c.isalpha():
+            return self._ids(self.space + c)
+        parts = self.words_of(" " + c)
+        # one word alone is kept as a chunk
+        return self._word(parts[0]) if len(parts) == 1 else b"".join(map(self.words.__getitem__, parts))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
         # the first chunk, which no space precedes, is encoded apart
-        cut = [None if _ODD.search(t) else t.split(" ") for t in texts]
-        known = self.chunks
-        room = CACHE_ENTRIES - len(known)
-        new = list(set().union(*[c[1:] for c in cut if c is not None]).difference(known))
-        self._learn(new)
-        apart = iter(self._library([t if c is None else c[0] for t, c in zip(texts, cut)]))
-        out = [next(apart) if c is None else next(apart) + b"".join(map(known.__getitem__, c[1:])) for c in cut]
-        for i, c in enumerate(new):
-            if i >= room or len(c) > CACHE_CHARS:
-                del known[c]
-        return out
+        cut = [t if _ODD.search(t) else t.split(" ") for t in (t or "" for t in texts)]
+        apart = self._library([c if isinstance(c, str) else c[0] for c in cut])
+        known = self.chunks.__getitem__
+        return [a if isinstance(c, str) else a + b"".join(map(known, c[1:])) for a, c in zip(apart, cut)]
 
 
 def default_path(name: str) -> str:
