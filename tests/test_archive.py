@@ -113,6 +113,40 @@ def test_fetch(spark):
     assert A._retry_after("7", 1.0) == 7.0 and A._retry_after(None, 1.0) == A._retry_after("soon", 1.0) == 1.0 and 80 < A._retry_after(later, 1.0) <= 90
 
 
+def test_http_get():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(404 if self.path == "/gone" else 200)
+            self.send_header("Content-Type", "text/html; charset=latin-1")
+            self.end_headers()
+            self.wfile.write("caf\xe9".encode("latin-1") * (5 if self.path == "/long" else 1))
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        get, root = A.http_get("agent", 5.0, max_bytes=8), f"http://127.0.0.1:{server.server_port}"
+        assert get(root)[::2] == (200, "caf\xe9") and get(root + "/gone")[0] == 404
+        assert len(get(root + "/long")[2]) == 9  # one byte more than allowed, which tells that it is too long
+    finally:
+        server.shutdown()
+
+
+def test_commit_log_and_correction_order(spark, tmp_path):
+    (tmp_path / "log").write_text("a1\0002026-01-02T03:04:05Z\000snapshot: moved=3\nbroken line\nb2\0002026-01-03T03:04:05Z\000other\n")
+    rows = A.read_commit_log(spark, str(tmp_path / "log"), "^snapshot").collect()
+    assert [(r.hash, str(r.committed_at), r.subject) for r in rows] == [("a1", "2026-01-02 03:04:05", "snapshot: moved=3")]
+    (tmp_path / "c").mkdir()
+    for name, slugs in (("b.jsonl", "zy"), ("a.jsonl", "xw")):
+        (tmp_path / "c" / name).write_text("".join(json.dumps({"date": "2026-01-01", "slug": s}) + "\n" for s in slugs))
+    assert [r.slug for r in A.read_corrections(spark, str(tmp_path / "c")).orderBy("seq").collect()] == ["x", "w", "z", "y"]
+
+
 def test_json_ld_blocks(spark):
     df = spark.createDataFrame([(1, '<script type="application/ld+json">{"a":1}</script><script type="application/ld+json">{x</script>')], "id int, html string")
     assert A.json_ld_blocks(df, ["id"]).count() == 1

@@ -47,6 +47,17 @@ def test_plan_cascade(spark):
         assert got == case[2], case
 
 
+def test_features_and_lines_are_counted_in_full_and_shown_in_part(spark):
+    many = [f"f{i:02d}" for i in range(40)]
+    rows = spark.createDataFrame([("old", "s", 0, "Pro", "1", 1.0, "USD", "month", [], []), ("new", "s", 0, "Pro", "1", 1.0, "USD", "month", many, [])], PLAN)
+    pairs = C.plan_pairs(rows.where("side = 'old'").drop("side"), rows.where("side = 'new'").drop("side"), ["slug"])
+    assert C.plan_events(pairs, ["slug"]).first().added == many[:15]
+    old = spark.createDataFrame([snap(text="a\nb\n")], SNAP)
+    for text, want in (("a\nb\nb\n", (1, 0)), ("b\na\n", (1, 1)), ("a\nb\n", (0, 0)), ("".join(f"x{i}\n" for i in range(70)), (70, 2))):
+        d = C.compare_snapshots(old, spark.createDataFrame([snap("h2", text=text)], SNAP)).first().text_diff
+        assert (d.lines_added, d.lines_removed) == want and len(d.sample_added) == min(60, want[0])
+
+
 def test_invariants(spark):
     old = [{"name": n, "amount": a} for n, a in (("Pro", 1.0), ("Team", 2.0), ("Max", None))]
     new = [{"name": n, "amount": a} for n, a in (("Pro", 1.5), ("Solo", 2.0))]

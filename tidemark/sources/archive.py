@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.document import MODEL, PLAN, TABLE
@@ -67,9 +67,23 @@ def read_changes(spark: SparkSession, path: str, date: str | None = None) -> Dat
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
-    """Retractions with date and slug; kind defaults to a price change; seq is the line's order."""
-    rows = read_json_lines(spark, path, CORRECTIONS).where("date IS NOT NULL AND slug IS NOT NULL")
-    return rows.withColumn("kind", F.coalesce("kind", F.lit("price_change"))).withColumn("seq", F.monotonically_increasing_id())
+    """Retractions with date and slug; kind defaults to a price change; seq is the line's order, file after file by name.
+
+    The log is edited by hand, so one task may number it.
+    """
+    rows = read_json_lines(spark, path, CORRECTIONS).withColumns({"_file": F.input_file_name(), "_at": F.monotonically_increasing_id()})
+    rows = rows.withColumn("seq", F.row_number().over(Window.orderBy("_file", "_at")).cast("long")).drop("_file", "_at")
+    return rows.where("date IS NOT NULL AND slug IS NOT NULL").withColumn("kind", F.coalesce("kind", F.lit("price_change")))
+
+
+def read_commit_log(spark: SparkSession, path: str, subject: str = "") -> DataFrame:
+    """(hash, committed_at, subject) of an exported commit log: a line each, fields parted by NUL; lines of another shape are left out.
+
+    subject: a pattern that subjects must match; the latest row by committed_at is the last snapshot.
+    """
+    parts = F.split("value", "\u0000")
+    rows = spark.read.text(path).where(F.size(parts) == 3).select(parts[0].alias("hash"), F.try_to_timestamp(parts[1]).alias("committed_at"), parts[2].alias("subject"))
+    return rows.where(F.col("subject").rlike(subject)) if subject else rows
 
 
 def read_current(spark: SparkSession, json_path: str, text_path: str | None = None) -> DataFrame:
