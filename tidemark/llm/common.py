@@ -167,13 +167,14 @@ def _union_find(it: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([find(x) for x in own], pa.int64())], ["u", "v"])
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60, into: Scratch | None = None) -> DataFrame:
     """(a long, b long) -> (id, component): the smallest id reachable, for every id in an edge.
 
     Each partition first thins its own edges to a forest, which for a graph of one partition is the answer.
     Then large-star and small-star alternate; a round is a pair of grouped minima, written to the shared
     folder. A vertex of high degree meets partial aggregation, never one collected group.
-    Nulls on either end and self-loops are ignored; repeated edges count once.
+    Nulls on either end and self-loops are ignored; repeated edges count once. The result is a table of
+    `into` where that is given, else one that stays.
     """
     with Scratch(edges.sparkSession) as scratch:
         cur = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
@@ -200,7 +201,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             scratch.drop("cc", but_last=True)
         else:
             raise RuntimeError("components did not converge")
-        return materialize(cur.select(F.col("u").alias("id"), F.col("v").alias("component")).union(cur.select(F.col("v"), F.col("v")).distinct()), "components")
+        found = cur.select(F.col("u").alias("id"), F.col("v").alias("component")).union(cur.select(F.col("v"), F.col("v")).distinct())
+        return into.table(found, "components") if into else materialize(found, "components")
 
 
 #: Bytes of a written, compressed table up to which it may be broadcast (sorted identifiers take a byte or two each there and

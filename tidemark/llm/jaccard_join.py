@@ -221,7 +221,7 @@ class _Found:
         self.judged = pairs if self.judged is None else self.judged.union(pairs)
         likely = scratch.table(_sketched(pairs, self.sketches, self.p), "jaccard-likely")
         self.links = self.links.union(scratch.table(_verified(likely, self.full, self.p), "jaccard-links"))
-        self.comp = connected_components(self.links)
+        self.comp = connected_components(self.links, into=scratch)
 
     def through(self, lists: DataFrame) -> None:
         """Find all links between rows of the lists that are in different components."""
@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col:
     """One row per input row: id, n_shingles, component_id (smallest id that links reach, itself included)."""
     with Scratch(docs.sparkSession) as scratch:
         rows, classes, links = similar_sets(docs, p, id_col, text_col, scratch)
-        comp = connected_components(links)
+        comp = connected_components(links, into=scratch)
         named = classes.join(comp, classes.rep == comp.id, "left").select("key", F.coalesce("component", "rep").alias("component"))
         out = rows.join(named, "key", "left").select("id", F.col("n").alias("n_shingles"), "component")
         if not classes.where("rep <> src").isEmpty():
@@ -313,7 +313,7 @@ def near_duplicates(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col:
             out = scratch.table(out, "jaccard-found")
             held = out.where("id IS NOT NULL AND component IS NOT NULL")
             tied = held.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-            joined = connected_components(tied.select("a", "b")).select(F.col("id").alias("component"), F.col("component").alias("c2"))
+            joined = connected_components(tied.select("a", "b"), into=scratch).select(F.col("id").alias("component"), F.col("component").alias("c2"))
             out = out.join(joined, "component", "left").select("id", "n_shingles", F.coalesce("c2", "component").alias("component"))
             least = out.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
             out = out.join(least, "component", "left").select("id", "n_shingles", F.col("least").alias("component"))

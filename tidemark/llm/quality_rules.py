@@ -19,10 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batches_with, materialize, window_hashes, words_of
+from .common import Scratch, WordHashes, batches_with, window_hashes, words_of
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 #: Character classes: lower case, upper case, other letters, digits, sentence marks, other marks, symbols, line ends.
@@ -137,23 +137,22 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
             items = [f"#{i}" for i in range(N_CLASSES + 1)] + ["w" + w for w in got]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(items), pa.string()), pa.array(items, pa.string()), pa.array(c.tolist() + list(got.values()), pa.int64())], ["lang", "item", "n"])
 
-    sums = materialize(docs.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).mapInArrow(count, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "quality-sums")
-    total = sums.groupBy("item").agg(F.sum("n").alias("n")).select(F.lit(True).alias("all"), F.lit(None).cast("string").alias("lang"), "item", "n")
-    big = sums.where((F.col("item") == f"#{N_CLASSES}") & (F.col("n") >= rules.min_reference_words)).select(F.col("lang").alias("_l"))
-    own = sums.join(F.broadcast(big), sums.lang.eqNullSafe(big["_l"]), "left_semi").select(F.lit(False).alias("all"), "lang", "item", "n")
-    both = own.union(total)
-    from pyspark.sql import Window
-
-    # the first of each share of a language's words, then the first of these: no task ranks all words of a language
-    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "item"))
-    some = both.where("item LIKE 'w%'").withColumn("share", F.expr("pmod(xxhash64(item), 32)"))
-    some = some.withColumn("r", rank("all", "lang", "share")).where(F.col("r") <= rules.common_words)
-    ranked = some.withColumn("r", rank("all", "lang"))
-    refs: dict = {}
-    for r in both.where("item LIKE '#%'").collect():
-        refs.setdefault((r["all"], r.lang), [np.zeros(N_CLASSES + 1), []])[0][int(r.item[1:])] = r.n
-    for r in ranked.where(F.col("r") <= rules.common_words).orderBy("r").collect():
-        refs[(r["all"], r.lang)][1].append((r.item[1:], r.n))
+    with Scratch(docs.sparkSession) as scratch:
+        sums = scratch.table(docs.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).mapInArrow(count, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "quality-sums")
+        total = sums.groupBy("item").agg(F.sum("n").alias("n")).select(F.lit(True).alias("all"), F.lit(None).cast("string").alias("lang"), "item", "n")
+        big = sums.where((F.col("item") == f"#{N_CLASSES}") & (F.col("n") >= rules.min_reference_words)).select(F.col("lang").alias("_l"))
+        own = sums.join(F.broadcast(big), sums.lang.eqNullSafe(big["_l"]), "left_semi").select(F.lit(False).alias("all"), "lang", "item", "n")
+        both = own.union(total)
+        # the first of each share of a language's words, then the first of these: no task ranks all words of a language
+        rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "item"))
+        some = both.where("item LIKE 'w%'").withColumn("share", F.expr("pmod(xxhash64(item), 32)"))
+        some = some.withColumn("r", rank("all", "lang", "share")).where(F.col("r") <= rules.common_words)
+        ranked = some.withColumn("r", rank("all", "lang"))
+        refs: dict = {}
+        for r in both.where("item LIKE '#%'").collect():
+            refs.setdefault((r["all"], r.lang), [np.zeros(N_CLASSES + 1), []])[0][int(r.item[1:])] = r.n
+        for r in ranked.where(F.col("r") <= rules.common_words).orderBy("r").collect():
+            refs[(r["all"], r.lang)][1].append((r.item[1:], r.n))
     out = {}
     for key, (c, ws) in refs.items():
         n = c[N_CLASSES]
