@@ -97,7 +97,8 @@ def _collided(docs: DataFrame, state: DataFrame, text_col: str, digest_bits: int
     """Digests of hits whose rows differ in normalised bytes: least and greatest text of each are compared."""
     norm = normalised(F.col(text_col))
     rows = docs.select(F.substring(F.sha2(norm, 256), 1, digest_bits // 4).alias("digest"), norm.alias("norm"))
-    hits = small_side(state.where("n > 1").select("digest"))
+    # hits grow with the corpus: rows meet them by digest, in one way at every size, and combine where they met
+    hits = state.where("n > 1").select("digest").hint("shuffle_hash")
     ends = rows.join(hits, "digest", "left_semi").groupBy("digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     return ends.where("lo <> hi").select("digest")
 
