@@ -111,8 +111,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = spark.read.schema(_KEYED).parquet(source)
     sink, at = scratch_path(spark, "dedup-changes"), scratch_path(spark, "dedup-state")
     state = materialize(stream_state(spark, source, sink, at, files_per_batch), "dedup-final")
-    for path in (sink, at):
-        remove_path(spark, path)
+    # the state's own folder stays: executors still hold its stores, and let go of them in their own time
+    remove_path(spark, sink)
     bad = materialize(_collided(docs, state, text_col, digest_bits), "dedup-collided")
     named = ["id", "keep_id", "group_size", "kept", "text_sha256", "keep_locator"]
     out = keyed.join(state, "digest").select("digest", "id", "keep_id", F.col("n").alias("group_size"), (F.col("uid") == F.col("keep_uid")).alias("kept"), F.col("sha").alias("text_sha256"), "keep_locator")

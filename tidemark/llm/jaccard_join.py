@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, connected_components, materialize, sequence_key, small_side
+from .tokens import forget
 from .wordscan import binary_column, list_column, mix64, text_slices, window_hashes, words_in
 
 
@@ -96,6 +97,7 @@ def build_sets(docs: DataFrame, p: JaccardParams, id_col: str, text_col: str) ->
     names = ["id", "n", "key", "n_low", "n_counted", "tokens", "sketch"]
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in it:
             for lo, hi, got in shingle_sets(batch.column(1), p.k):
                 n = np.array([len(s) for s in got], np.int64)

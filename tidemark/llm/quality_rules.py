@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, WordHashes, batches_with, window_hashes, words_of
+from .tokens import forget
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 #: Character classes: lower case, upper case, other letters, digits, sentence marks, other marks, symbols, line ends.
@@ -121,6 +122,7 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     short = rules.short_word
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         classes: dict = {}
         words: dict = {}
         for texts, langs in batches_with([text_col, lang_col], it):

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, free_names, sequence_key
+from .tokens import forget
 from .wordscan import Words, binary_column, list_column, mix64, sliding_least, text_slices, window_hashes, words_in
 
 
@@ -77,6 +78,7 @@ def _scan(src: DataFrame, p: SubstringParams) -> DataFrame:
     names = ["id", "n_words", "key", "k64", "words_sha", "grams"]
 
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in it:
             for lo, hi, words, h, ends in _slices(batch):
                 least = _winnowed(h, p)

@@ -100,6 +100,11 @@ class ByteBpe:
         return [a if isinstance(c, str) else a + b"".join(map(known, c[1:])) for a, c in zip(apart, cut)]
 
 
+def forget() -> None:
+    """Give up what this worker keeps, when it turns to work that has no use for it."""
+    _OPEN.clear()
+
+
 def default_path(name: str) -> str:
     import public_tokenizers
 
