@@ -101,6 +101,26 @@ def test_word_bpe_awkward_rows(spark):
     assert W.encode_decode(S.empty(spark)).count() == 0
 
 
+def test_word_bpe_rows_are_bounded(spark, monkeypatch):
+    """A block's documents come in parts of bounded words, a long text in spans; results stay the library's."""
+    monkeypatch.setattr(W, "PART_WORDS", 200, raising=False)
+    monkeypatch.setattr(W, "SPAN_WORDS", 7, raising=False)
+    texts = [*S.corpus(n=40), "", " \n", " ".join(f"q{i}é x{i % 7}" for i in range(300)), *TEXTS]
+    rows = S.docs(spark, texts).coalesce(1)
+    parts = [r.counts for r in W.split_blocks(rows, 4, "doc_id", "text").where("bucket < 0").collect()]
+    assert sum(map(len, parts)) == len(texts) and max(map(sum, parts)) >= 600
+    assert all(sum(p) <= 200 or len(p) == 1 for p in parts)
+    lib = library("word_bpe_49k.json")
+    got = {r.doc_id: r for r in W.encode_decode(rows).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        ids = lib.encode(t, add_special_tokens=False).ids
+        text = lib.decode(ids, skip_special_tokens=False)
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
 def check_packing(rows, ids_of, capacity):
     by_doc, by_seq = {}, {}
     for r in rows:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,10 +147,29 @@ def batches_with(columns: list[str], it: Iterator) -> Iterator[tuple]:
         yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
+def give_back() -> None:
+    """Return to the system what this worker has freed; its allocators would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # other C libraries
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """Work on Arrow batches that leaves its worker small: one that waits beside the JVM's stages keeps its memory else."""
+
+    @functools.wraps(work)
+    def run(it: Iterator) -> Iterator:
+        try:
+            yield from work(it)
+        finally:
+            give_back()
+
+    return run
+
+
+@giving_back
 def _union_find(it: Iterator) -> Iterator:
     """A forest of the edges that a task gets: each of their vertices tied to the smallest that it reaches by them."""
-    import pyarrow as pa
-
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
