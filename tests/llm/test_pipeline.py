@@ -1,7 +1,9 @@
 import itertools
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -12,6 +14,7 @@ from tests.llm import support as S
 from tests.llm.test_dedup import WORD, brute_components, brute_exact
 from tests.llm.test_text import brute_quality
 from tidemark.llm import quality_rules as Q
+from tidemark.llm import tokens
 from tidemark.llm.tokens import default_path
 
 KEEP = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -146,3 +149,17 @@ def test_a_run_leaves_the_tables_of_others(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).count() > 0
     assert late.count() == spark.read.parquet(f"{DATA}/pages.parquet").count()
+
+
+def private_mb():
+    return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) // 1024
+
+
+def test_a_worker_that_turns_to_other_work_gives_its_memory_back():
+    """Token caches are many small pieces; without a word the allocator keeps them all while the next stages run."""
+    before = private_mb()
+    tokens._OPEN["test"] = [bytes(2000) for _ in range(100_000)]
+    pin = bytes(2000)  # the last piece stays in use, so the heap can't shrink by itself
+    assert private_mb() - before > 150
+    tokens.forget()
+    assert private_mb() - before < 60 and pin

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, materialize, sequence_key, small_side
+from .common import Scratch, connected_components, giving_back, materialize, sequence_key, small_side
 from .tokens import forget
 from .wordscan import binary_column, list_column, mix64, text_slices, window_hashes, words_in
 
@@ -96,6 +96,7 @@ def build_sets(docs: DataFrame, p: JaccardParams, id_col: str, text_col: str) ->
     top_small = p.small * p.den // p.num
     names = ["id", "n", "key", "n_low", "n_counted", "tokens", "sketch"]
 
+    @giving_back
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in it:
@@ -190,6 +191,7 @@ def _verified(pairs: DataFrame, full: DataFrame, p: JaccardParams) -> DataFrame:
 def _full_sets(docs: DataFrame, ids: DataFrame, p: JaccardParams, id_col: str, text_col: str) -> DataFrame:
     """(id, n, key, tokens) of the documents named by ids."""
 
+    @giving_back
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for lo, hi, got in shingle_sets(batch.column(1), p.k):

@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_with, materialize, small_side
-from .tokens import ByteBpe, default_path, groups_by_size
+from .common import batches_with, giving_back, materialize, small_side
+from .tokens import ByteBpe, default_path, forget, groups_by_size
 
 Pattern = tuple[int, ...]
 
@@ -258,6 +258,7 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int, vocab_path: str, i
     """(doc_id, piece, start, length, ids_crc32, part, k[, ids]); k counts like lengths within a task's part."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, k long" + ", ids binary" * with_ids
 
+    @giving_back
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe.shared(vocab_path)
         end = np.array([end_id], "<u4").tobytes()
@@ -294,7 +295,9 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocab_path: str
     ranked = pieces.join(small_side(counts.select("length", "part", before.alias("before"))), ["length", "part"]).withColumn("rank", F.col("before") + F.col("k"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
+    @giving_back
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in it:
             length = batch.column(batch.schema.get_field_index("length")).to_numpy()
             rank = batch.column(batch.schema.get_field_index("rank")).to_numpy()

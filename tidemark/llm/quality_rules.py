@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, batches_with, window_hashes, words_of
+from .common import Scratch, WordHashes, batches_with, giving_back, window_hashes, words_of
 from .tokens import forget
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -121,6 +121,7 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     """
     short = rules.short_word
 
+    @giving_back
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         classes: dict = {}
@@ -170,6 +171,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id
     """One row per input row with the counts, both distances, base_failed and kept."""
     refs = references(docs, rules, text_col, lang_col)
 
+    @giving_back
     def judge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         names = [f.split()[0] for f in _SCHEMA.split(", ")]

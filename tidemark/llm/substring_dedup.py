@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_names, sequence_key
+from .common import Scratch, free_names, giving_back, sequence_key
 from .tokens import forget
 from .wordscan import Words, binary_column, list_column, mix64, sliding_least, text_slices, window_hashes, words_in
 
@@ -77,6 +77,7 @@ def _scan(src: DataFrame, p: SubstringParams) -> DataFrame:
     """(id, n_words, key, k64, words_sha, grams): the distinct winnowed grams of each row; words_sha of all its words."""
     names = ["id", "n_words", "key", "k64", "words_sha", "grams"]
 
+    @giving_back
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in it:
@@ -103,6 +104,7 @@ def _runs(rows: DataFrame, p: SubstringParams) -> DataFrame:
     """
     names = ["id", "k64", "start", "n", "seg", "edges"]
 
+    @giving_back
     def runs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -151,6 +153,7 @@ def _digests(src: DataFrame, ranges: DataFrame, scratch: Scratch) -> DataFrame:
     per_doc = scratch.table(ranges.groupBy("id").agg(F.collect_list(F.struct("k64", "ranges")).alias("texts")), "substring-wanted")
     names = ["id", "k64", "start", "words", "digest"]
 
+    @giving_back
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ids = batch.column(0).to_pylist()
@@ -260,6 +263,7 @@ def _cut(src: DataFrame, spans: DataFrame, scratch: Scratch) -> DataFrame:
     per_doc = scratch.table(per_doc.groupBy("id").agg(F.collect_list(F.struct("k64", "ranges")).alias("texts")), "substring-ranges")
     names = ["id", "k64", "n_removed", "kept"]
 
+    @giving_back
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ids = batch.column(0).to_pylist()

@@ -9,6 +9,8 @@ from array import array
 
 import numpy as np
 
+from .common import give_back
+
 #: A space that a later white-space character or the end follows: the text is then encoded whole.
 _ODD = re.compile(r" (?=\s)| $")
 #: Distinct chunks, and distinct words inside of chunks, that a worker keeps, and the longest ones that it keeps; others
@@ -102,7 +104,9 @@ class ByteBpe:
 
 def forget() -> None:
     """Give up what this worker keeps, when it turns to work that has no use for it."""
-    _OPEN.clear()
+    if _OPEN:
+        _OPEN.clear()
+        give_back()
 
 
 def default_path(name: str) -> str:
