@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+from pyspark.core.rdd import PipelinedRDD
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -163,3 +164,16 @@ def test_a_worker_that_turns_to_other_work_gives_its_memory_back():
     assert private_mb() - before > 150
     tokens.forget()
     assert private_mb() - before < 60 and pin
+
+
+def test_no_stage_starts_workers_beside_those_of_its_arrow_tasks(spark, monkeypatch):
+    """An RDD of Python's, even an empty one, has a daemon and workers of its own on each executor: 84 MB that do nothing."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    docs = docs.union(docs.withColumn("doc_id", docs.doc_id + 1_000_000))
+
+    def refused(*args, **more):
+        raise AssertionError("an RDD of Python's")
+
+    monkeypatch.setattr(PipelinedRDD, "__init__", refused)
+    for _, stage in P.STAGES:
+        assert stage(spark, docs, DATA).count() > 0

@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table. createDataFrame makes an RDD of Python's for it, for which every executor starts a daemon and workers of their own."""
+    return spark.range(0).select(F.from_json(F.lit(None).cast("string"), schema).alias("row")).select("row.*")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a folder of our own only where it is unset (tests)."""
     global _own_root
@@ -52,7 +57,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 #: While a table is written: its shuffle files go as soon as it stands, and Python gets Arrow batches of bounded bytes.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Bytes of a batch; fewer for work that takes whole texts apart and needs many times a batch's bytes.
+BATCH_BYTES, SMALL_BATCH_BYTES = 8 << 20, 2 << 20
 
 
 @contextmanager
@@ -67,17 +74,17 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def write_table(df: DataFrame, path: str, *partitions: str) -> DataFrame:
+def write_table(df: DataFrame, path: str, *partitions: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Write df to a folder that all executors share and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    with settings(spark, _WRITING):
+    with settings(spark, _WRITING | {"spark.sql.execution.arrow.maxBytesPerBatch": str(batch_bytes)}):
         df.write.partitionBy(*partitions).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """A scratch table that nobody deletes but the owner of the shared folder: for what a returned DataFrame reads."""
-    return write_table(df, scratch_path(df.sparkSession, name))
+    return write_table(df, scratch_path(df.sparkSession, name), batch_bytes=batch_bytes)
 
 
 class Scratch:
@@ -96,11 +103,11 @@ class Scratch:
     def __exit__(self, *exc) -> None:
         self.drop(*list(self._paths))
 
-    def table(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    def table(self, df: DataFrame, name: str, keep: bool = False, batch_bytes: int = BATCH_BYTES) -> DataFrame:
         path = scratch_path(self.spark, name)
         if not keep:
             self._paths.setdefault(name, []).append(path)
-        return write_table(df, path)
+        return write_table(df, path, batch_bytes=batch_bytes)
 
     def drop(self, *names: str, but_last: bool = False) -> None:
         """Delete the tables made under these names (but the last one of each), which nothing reads any more."""

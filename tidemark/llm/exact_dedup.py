@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, free_names, materialize, remove_path, scratch_path, small_side
+from .common import WHITE, free_names, materialize, no_rows, remove_path, scratch_path, small_side
 
 #: Stands for a null identifier in the state: after all others.
 _LAST = (1 << 63) - 1
@@ -78,7 +78,7 @@ def stream_state(spark: SparkSession, source: str, sink: str, at: str, files_per
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         best = F.max(F.struct("n_chars", (-F.coalesce("id", F.lit(_LAST))).alias("neg"), (-F.col("uid")).alias("neg_uid"), "locator"))
         state = reader.parquet(source).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
-        spark.createDataFrame([], _STATE).write.mode("overwrite").parquet(f"{sink}/batch=-1")
+        no_rows(spark, _STATE).write.mode("overwrite").parquet(f"{sink}/batch=-1")
 
         def changed(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, giving_back, materialize, sequence_key, small_side
+from .common import SMALL_BATCH_BYTES, Scratch, connected_components, giving_back, materialize, no_rows, sequence_key, small_side
 from .tokens import forget
 from .wordscan import binary_column, list_column, mix64, text_slices, window_hashes, words_in
 
@@ -212,7 +212,7 @@ class _Found:
 
     def __init__(self, sketches: DataFrame, full: DataFrame, p: JaccardParams, scratch: Scratch):
         self.sketches, self.full, self.p, self.scratch = sketches, full, p, scratch
-        self.links = sketches.sparkSession.createDataFrame([], "a long, b long")
+        self.links = no_rows(sketches.sparkSession, "a long, b long")
         self.judged: DataFrame | None = None
         self.comp: DataFrame | None = None
 
@@ -265,7 +265,7 @@ def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: st
     Links connect every two representatives that a chain of similar sets connects.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    sets = scratch.table(build_sets(docs, p, id_col, text_col), "jaccard-sets")
+    sets = scratch.table(build_sets(docs, p, id_col, text_col), "jaccard-sets", batch_bytes=SMALL_BATCH_BYTES)
     rows = sets.select("id", "n", "key")
     named = rows.where("n > 0 AND id IS NOT NULL")
     classes = named.groupBy("key").agg(F.min("id").alias("src"), F.max("n").alias("n"))
@@ -292,7 +292,7 @@ def similar_sets(docs: DataFrame, p: JaccardParams = JaccardParams(), id_col: st
     full = _full_sets(docs, small_side(wanted.select(F.col("src").alias("id")).distinct()), p, id_col, text_col)
     if mixed:
         full = full.join(wanted.select("key", "rep"), "key").withColumn("id", F.col("rep")).drop("rep")
-    full = scratch.table(full.dropDuplicates(["id"]).drop("key"), "jaccard-full")
+    full = scratch.table(full.dropDuplicates(["id"]).drop("key"), "jaccard-full", batch_bytes=SMALL_BATCH_BYTES)
     found = _Found(sketches, full, p, scratch)
     sizes = scratch.table(lists.groupBy("token", "class").agg(F.count(F.lit(1)).alias("m")).where(f"m > {p.pairwise + 1}").select("token", "class"), "jaccard-long")
     found.through(lists.join(small_side(sizes), ["token", "class"], "left_anti"))

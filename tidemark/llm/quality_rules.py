@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, batches_with, giving_back, window_hashes, words_of
+from .common import SMALL_BATCH_BYTES, Scratch, WordHashes, batches_with, giving_back, window_hashes, words_of
 from .tokens import forget
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -141,7 +141,7 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(items), pa.string()), pa.array(items, pa.string()), pa.array(c.tolist() + list(got.values()), pa.int64())], ["lang", "item", "n"])
 
     with Scratch(docs.sparkSession) as scratch:
-        sums = scratch.table(docs.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).mapInArrow(count, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "quality-sums")
+        sums = scratch.table(docs.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).mapInArrow(count, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n")), "quality-sums", batch_bytes=SMALL_BATCH_BYTES)
         total = sums.groupBy("item").agg(F.sum("n").alias("n")).select(F.lit(True).alias("all"), F.lit(None).cast("string").alias("lang"), "item", "n")
         big = sums.where((F.col("item") == f"#{N_CLASSES}") & (F.col("n") >= rules.min_reference_words)).select(F.col("lang").alias("_l"))
         own = sums.join(F.broadcast(big), sums.lang.eqNullSafe(big["_l"]), "left_semi").select(F.lit(False).alias("all"), "lang", "item", "n")
