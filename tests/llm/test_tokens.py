@@ -82,6 +82,28 @@ def test_token_files_awkward_rows(spark):
         T.Shard(b"x" * 100)
 
 
+def test_token_files_encode_bounded_texts_at_once(spark, monkeypatch):
+    """A worker holds the chunks of a bounded stretch of texts, however many a batch brings; results stay the same."""
+    shared = T.ByteBpe.shared
+
+    class Watched:
+        @staticmethod
+        def shared(path, dtype):
+            class One:
+                def encode(self, texts):
+                    if len(texts) > 1 and sum(len(t or "") for t in texts) > 300:
+                        raise ValueError("too many characters at once")
+                    return shared(path, dtype).encode(texts)
+
+            return One()
+
+    df = S.docs(spark, S.corpus(n=30) + TEXTS).coalesce(1)
+    want = sorted(T.token_files_round_trip(df).collect())
+    monkeypatch.setattr(T, "ByteBpe", Watched)
+    monkeypatch.setattr(T, "ENCODE_CHARS", 300, raising=False)
+    assert sorted(T.token_files_round_trip(df).collect()) == want
+
+
 def test_word_bpe_equals_the_library(spark, monkeypatch):
     texts = S.corpus(n=60) + TEXTS + ["<|startoftext|> a<|endoftext|>b"]
     lib = library("word_bpe_49k.json")

@@ -30,12 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches_with, materialize, scratch_path
+from .common import SMALL_BATCH_BYTES, batches_with, giving_back, materialize, scratch_path
 from .tokens import ByteBpe, default_path, groups_by_size
 
 MAGIC = b"TMIDS001"
 _HEAD = struct.Struct("<8Q")
 SAMPLE = 256
+#: Characters that are cut and encoded at once: a worker holds their chunks beside those that it keeps.
+ENCODE_CHARS = 500_000
 
 
 class EliasFano:
@@ -162,6 +164,7 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = 2, vocab_path: st
     """
     vocab, root = vocab_path or default_path("byte_bpe_50k.json"), as_uri(docs.sparkSession, out)
 
+    @giving_back
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe.shared(vocab, f"<u{width}")
         end = np.array([end_id], f"<u{width}").tobytes()
@@ -174,7 +177,7 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = 2, vocab_path: st
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(names)], pa.int64()), pa.array([size], pa.int64())], ["path", "part", "shard", "n_docs", "n_ids"])
 
         for ids, texts in batches_with(["doc_id", "text"], it):
-            for lo, hi in groups_by_size(texts):
+            for lo, hi in groups_by_size(texts, ENCODE_CHARS):
                 for i, b in zip(ids[lo:hi], bpe.encode(texts[lo:hi])):
                     n = len(b) // width + 1
                     if size and size + n > shard_ids:
@@ -191,7 +194,7 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = 2, vocab_path: st
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    return materialize(ordered.mapInArrow(write, "path string, part int, shard int, n_docs long, n_ids long"), "token-manifest")
+    return materialize(ordered.mapInArrow(write, "path string, part int, shard int, n_docs long, n_ids long"), "token-manifest", SMALL_BATCH_BYTES)
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -201,6 +204,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     based = manifest.select("path", earlier.alias("base"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    @giving_back
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for paths, bases in batches_with(["path", "base"], it):
             for path, base in zip(paths, bases):
