@@ -3,6 +3,7 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tests.llm import support as S
@@ -159,6 +160,26 @@ def test_substring_dedup_matches_brute_force(spark, k, segment):
     assert sorted(map(tuple, got)) == sorted(brute_substring(rows, k))
 
 
+def test_substring_workers_take_bounded_texts_at_once(spark, monkeypatch):
+    """Python gets small batches wherever texts are taken apart, and takes them apart in smaller slices still."""
+    batch = pa.RecordBatch.from_pydict({"id": list(range(40)), "text": ["word " * 20_000] * 39 + ["word " * 200_000]})
+    slices = [(hi - lo, len(words.data)) for lo, hi, words, _, _ in D._slices(batch)]
+    assert sum(n for n, _ in slices) == 40
+    assert all(size <= 600_000 or n == 1 for n, size in slices)
+    made = {}
+    table = D.Scratch.table
+
+    def noted(self, df, name, keep=False, batch_bytes=None):
+        made[name] = batch_bytes
+        return table(self, df, name, keep, **({"batch_bytes": batch_bytes} if batch_bytes else {}))
+
+    monkeypatch.setattr(D.Scratch, "table", noted)
+    passage = " ".join(f"p{i}" for i in range(30))
+    got = D.substring_dedup(S.docs(spark, [f"a {passage} b", f"c {passage} d"]), D.SubstringParams(k=13)).collect()
+    assert {r.id: r.n_removed for r in got} == {0: 0, 1: 30}
+    assert all(made[f"substring-{x}"] == 2 << 20 for x in ("scan", "runs", "sources", "cut"))
+
+
 def test_substring_dedup_awkward_rows(spark):
     df = S.clashing(S.awkward(spark))
     got = D.substring_dedup(df).collect()

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_names, giving_back, sequence_key
+from .common import SMALL_BATCH_BYTES, Scratch, free_names, giving_back, sequence_key
 from .tokens import forget
 from .wordscan import Words, binary_column, list_column, mix64, sliding_least, text_slices, window_hashes, words_in
 
@@ -54,6 +54,8 @@ class SubstringParams:
 
 #: Positions of a source that are compacted at once, as a power of two.
 _BLOCK = 5
+#: Bytes of text that a worker takes apart at once: its words, grams and windows take many times as many.
+_SLICE = 1 << 19
 
 
 def _k64(key: bytes) -> int:
@@ -62,7 +64,7 @@ def _k64(key: bytes) -> int:
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Words, np.ndarray, list[int]]]:
     """(first row, row behind the last, words, hashes, word_at) of the slices of a batch of (id, text, ...)."""
-    for lo, hi, data, text_at in text_slices(batch.column(1)):
+    for lo, hi, data, text_at in text_slices(batch.column(1), _SLICE):
         words = words_in(data, text_at)
         yield lo, hi, words, words.hashes(), words.word_at.tolist()
 
@@ -213,7 +215,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, p: SubstringParams = Subst
     it with the words at start. Spans are given for rows that are no copies. Both are scratch tables; only rows stays.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scanned = scratch.table(_scan(src, p), "substring-scan")
+    scanned = scratch.table(_scan(src, p), "substring-scan", batch_bytes=SMALL_BATCH_BYTES)
     named = scanned.where(f"id IS NOT NULL AND n_words >= {p.k}")
     classes = scratch.table(named.groupBy("key").agg(F.min("id").alias("rep")), "substring-classes")
     copies = scratch.table(named.select("id", "key").join(classes, "key").where("rep < id").select("id", "key", "rep").distinct(), "substring-copies")
@@ -227,7 +229,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, p: SubstringParams = Subst
     twins = not scanned.where("id IS NOT NULL").groupBy("id", "key").count().where("count > 1").isEmpty()
     scratch.drop("substring-scan", "substring-classes", "substring-grams")
     occ = _runs(_with_texts(src, mine), p)
-    occ = scratch.table(occ.distinct() if twins else occ, "substring-runs")
+    occ = scratch.table(occ.distinct() if twins else occ, "substring-runs", batch_bytes=SMALL_BATCH_BYTES)
     # of each segment the first occurrence; the narrow columns alone are compared
     first = occ.groupBy("seg").agg(F.min(F.struct("id", "k64", "start")).alias("s"), F.max("id").alias("last"), F.count(F.lit(1)).alias("w"))
     first = scratch.table(first.select("seg", "s.id", "s.k64", "s.start", "last", "w"), "substring-firsts")
@@ -244,7 +246,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, p: SubstringParams = Subst
     # sources are read again; then heads are found in the distinct segments, and through these in all documents
     read = _digests(src, paths.select(F.col("src_id").alias("id"), F.col("src_k").alias("k64"), F.col("src_start").alias("start"), "words"), scratch)
     read = read.select(F.col("id").alias("src_id"), F.col("k64").alias("src_k"), F.col("start").alias("src_start"), "words", "digest")
-    paths = scratch.table(paths.join(read, ["src_id", "src_k", "src_start", "words"]), "substring-sources")
+    paths = scratch.table(paths.join(read, ["src_id", "src_k", "src_start", "words"]), "substring-sources", batch_bytes=SMALL_BATCH_BYTES)
     heads = distinct.select("seg", F.posexplode(F.slice("edges", F.lit(1), F.col("n"))).alias("i", "edge")).join(paths.hint("shuffle_hash"), "edge")
     heads = scratch.table(heads.drop("edge"), "substring-heads")
     spans = occ.select("id", "k64", "start", "seg").join(heads.hint("shuffle_hash"), "seg").where("src_id < id")
@@ -298,7 +300,7 @@ def substring_dedup(docs: DataFrame, p: SubstringParams = SubstringParams(), id_
         src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         rows, spans = repeated_spans(docs, scratch, p, id_col, text_col)
         cut = _cut(src, spans, scratch).withColumn("sha", F.sha2("kept", 256))
-        cut = scratch.table(cut.dropDuplicates(["id", "k64"]) if not rows.groupBy("id", "k64").count().where("count > 1").isEmpty() else cut, "substring-cut", keep=True)
+        cut = scratch.table(cut.dropDuplicates(["id", "k64"]) if not rows.groupBy("id", "k64").count().where("count > 1").isEmpty() else cut, "substring-cut", keep=True, batch_bytes=SMALL_BATCH_BYTES)
     out = rows.join(cut.hint("shuffle_hash"), ["id", "k64"], "left")
     copy = F.col("copy_of").isNotNull()
     return out.select(
@@ -320,7 +322,7 @@ def remove_repeats(docs: DataFrame, p: SubstringParams = SubstringParams(), id_c
         src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         rows, spans = repeated_spans(docs, scratch, p, id_col, text_col)
         copies = rows.where("copy_of IS NOT NULL").select("id", "words_sha", F.lit("").alias("kept"))
-        cut = scratch.table(_cut(src, spans, scratch), "substring-cut")
+        cut = scratch.table(_cut(src, spans, scratch), "substring-cut", batch_bytes=SMALL_BATCH_BYTES)
         cut = cut.join(rows.select("id", "k64", "words_sha"), ["id", "k64"]).select("id", "words_sha", "kept")
         change = cut.union(copies).dropDuplicates(["id", "words_sha"])
         by_id, forms = free_names(docs, "row_id", "row_forms")
