@@ -101,12 +101,18 @@ def table_unit(caption: Column, labels: Column) -> Column:
     return F.coalesce(F.get(F.filter(hits, lambda x: x != ""), F.lit(0)), F.lit(""))
 
 
-def pct_change(a: Column, b: Column) -> Column:
-    """Percent with two digits; null unless both are known and the first is positive.
+def percent(a: Column, b: Column) -> Column:
+    """Percent with two digits, whatever the first number; infinite from zero.
 
-    Half cases round away from zero on the decimal value, so they may differ by 0.01 from binary rounding.
+    The hundredfold is rounded, half cases away from zero, and a small fall keeps its sign (-0.0), as SQL's round does.
     """
-    return F.when(a > 0, F.round((b - a) / a * 100, 2))
+    p = F.when(a != 0, (b - a) / a * 100).otherwise(F.signum(b - a) * F.lit(float("inf")))
+    return F.signum(p) * F.round(F.abs(p) * 100) / 100
+
+
+def pct_change(a: Column, b: Column) -> Column:
+    """Percent with two digits; null unless both are known and the first is positive."""
+    return F.when(a > 0, percent(a, b))
 
 
 def direction(a: Column, b: Column) -> Column:
